@@ -32,3 +32,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def drop_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids``; null equals null.
+
+    The ids are counted first: up to ``broadcast_rows`` (8 MB) they are broadcast, beyond that both sides
+    are shuffled.
+    """
+    ids = materialise(ids.select(F.col(key).alias("_id")).distinct(), "ids")
+    small = ids.count() <= broadcast_rows
+    return df.join(F.broadcast(ids) if small else ids, df[key].eqNullSafe(ids["_id"]), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bookloom.llm import chat, language, packing, token_count
+from bookloom.llm import chat, decontamination, language, line_dedup, packing, token_count, toxicity
 from bookloom.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -47,6 +47,22 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id"""
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.drop_repeated_lines(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""WITH l AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+k AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(CASE WHEN keep <> doc_id THEN 1 END) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN keep IS NULL OR keep = doc_id THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM l LEFT JOIN k USING (key) GROUP BY doc_id"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
@@ -56,10 +72,25 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, public_tokenizers.path(VOCABULARY)).drop("text")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(docs.where(~held_out), labels)
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
+    "op3_line_dedup": op3_line_dedup,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
-ORACLES = {"op2_chat_format": OP2_SQL}
+ORACLES = {"op2_chat_format": OP2_SQL, "op3_line_dedup": OP3_SQL}
