@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bookloom.llm import chat, decontamination, language, line_dedup, packing, token_count, toxicity
+from bookloom.llm import chat, decontamination, language, line_dedup, main_text, neighbours, packing, token_count, toxicity
 from bookloom.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,6 +63,14 @@ SELECT doc_id, count(*) AS n_lines, count(CASE WHEN keep <> doc_id THEN 1 END) A
 FROM l LEFT JOIN k USING (key) GROUP BY doc_id"""
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
@@ -88,6 +96,8 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
     "op3_line_dedup": op3_line_dedup,
+    "op4_main_text": op4_main_text,
+    "op5_neighbours": op5_neighbours,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
