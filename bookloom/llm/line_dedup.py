@@ -15,11 +15,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from bookloom.llm import bloom
 from bookloom.llm.common import materialise
 
 #: White space that a key loses at both ends.
 STRIPPED = " \t\n\x0b\x0c\r"
-BLOCK_BITS = 20
 
 
 def key_of(line: str, least: int) -> bytes | None:
@@ -32,72 +32,27 @@ def _keys(text: str | None, least: int) -> set[bytes]:
     return {k for line in text.split("\n") if (k := key_of(line, least))} if text else set()
 
 
-def twice_seen(df: DataFrame, text: str = "text", least: int = 40, bits: int = 27, flush: int = 2_000_000) -> dict[int, bytes]:
-    """The twice-seen filter over all documents: block number -> 2^20 bits, blocks without a bit left out.
-
-    ``bits``: the filter has 2^bits bits (16 MB at 27), whatever the input's size; a fuller filter only
-    sends more lines to the exact count. A task holds at most ``flush`` positions at a time.
-    """
-    shift, block = 64 - bits, min(bits, BLOCK_BITS)
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[int] = []
-        for batch in batches:
-            for words in batch["t"]:
-                held += [xxhash.xxh3_64_intdigest(k) >> shift for k in _keys(words, least)]
-            if len(held) >= flush:
-                yield _blocks(np.array(held, dtype=np.uint64))
-                held = []
-        if held:
-            yield _blocks(np.array(held, dtype=np.uint64))
-
-    def _blocks(positions: np.ndarray) -> pd.DataFrame:
-        once, n = np.unique(positions, return_counts=True)
-        number = (once >> np.uint64(block)).astype(np.int64)
-        starts = np.flatnonzero(np.diff(number, prepend=-1))
-        rows = []
-        for at, end in zip(starts, [*starts[1:], len(once)]):
-            low = (once[at:end] & np.uint64((1 << block) - 1)).astype("<u4")
-            rows.append((int(number[at]), low.tobytes(), low[n[at:end] > 1].tobytes()))
-        return pd.DataFrame(rows, columns=["block", "once", "twice"])
-
-    def merge(parts: pd.DataFrame) -> pd.DataFrame:
-        once, twice = np.zeros(1 << block, dtype=bool), np.zeros(1 << block, dtype=bool)
-        for a, b in zip(parts["once"], parts["twice"]):
-            a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-            twice[a] |= once[a]
-            twice[b] = True
-            once[a] = True
-        if not twice.any():
-            return pd.DataFrame({"block": [], "bits": []})
-        return pd.DataFrame({"block": [int(parts["block"].iloc[0])], "bits": [np.packbits(twice).tobytes()]})
-
-    parts = df.select(F.col(text).alias("t")).mapInPandas(build, "block long, once binary, twice binary")
-    found = parts.groupBy("block").applyInPandas(merge, "block long, bits binary").collect()
-    return {r["block"]: bytes(r["bits"]) for r in found}
+def _hashes(keys) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64)
 
 
 def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 40, min_docs: int = 5, bits: int = 27) -> tuple[DataFrame, DataFrame]:
     """(suspects: line, id) and (confirmed lines in at least ``min_docs`` documents: line, keep).
 
-    ``keep`` is the largest id holding the line. Every row counts as one document, also one that repeats
+    The filter has 2^``bits`` bits (16 MB at 27). ``keep`` is the largest id holding the line. Every row counts as one document, also one that repeats
     another's id; a null id is below all others.
     """
-    filter_blocks = df.sparkSession.sparkContext.broadcast(twice_seen(df, text, least, bits))
-    shift, block = 64 - bits, min(bits, BLOCK_BITS)
+    each_line = lambda batches: (_hashes(_keys(words, least)) for batch in batches for words in batch["t"])
+    twice = df.sparkSession.sparkContext.broadcast(bloom.build(df.select(F.col(text).alias("t")), each_line, bits))
 
     def suspects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        twice = {k: np.frombuffer(v, np.uint8) for k, v in filter_blocks.value.items()}
+        seen = twice.value.table()
         for batch in batches:
-            lines, ids = [], []
-            for doc, words in zip(batch["k"], batch["t"]):
-                for k in _keys(words, least):
-                    at = xxhash.xxh3_64_intdigest(k) >> shift
-                    have, low = twice.get(at >> block), at & ((1 << block) - 1)
-                    if have is not None and have[low >> 3] >> (7 - (low & 7)) & 1:
-                        lines.append(k)
-                        ids.append(doc)
-            yield pd.DataFrame({"line": lines, "id": pd.array(ids, dtype="Int64")})
+            keys = [list(_keys(words, least)) for words in batch["t"]]
+            lines = [k for own in keys for k in own]
+            may = bloom.passes(seen, _hashes(lines), bits)
+            ids = batch["k"].repeat([len(own) for own in keys])
+            yield pd.DataFrame({"line": np.array(lines, dtype=object)[may], "id": ids.array[may]})
 
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(suspects, "line binary, id long")
     confirmed = rows.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keep")).where(F.col("n") >= min_docs)
