@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bookloom.llm import chat, decontamination, language, line_dedup, main_text, neighbours, packing, token_count, toxicity
+from bookloom.llm import chat, decontamination, jaccard_join, language, line_dedup, main_text, neighbours, packing, token_count, toxicity
 from bookloom.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -88,6 +88,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM w),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT i.a, i.b FROM i JOIN s x ON x.doc_id = i.a JOIN s y ON y.doc_id = i.b WHERE 100 * i.n >= 90 * (len(x.g) + len(y.g) - i.n)),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(r.other) AS component_id FROM s JOIN r USING (doc_id) GROUP BY 1, 2"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -101,6 +116,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES = {"op2_chat_format": OP2_SQL, "op3_line_dedup": OP3_SQL}
+ORACLES = {"op2_chat_format": OP2_SQL, "op3_line_dedup": OP3_SQL, "op9_jaccard_join": OP9_SQL}
