@@ -1,9 +1,9 @@
 """Byte-level BPE ids of whole texts, equal to the library's, through bounded per-worker caches.
 
-A text in which every space stands alone between two non-spaces splits at its spaces into chunks whose
-ids do not depend on each other: the pre-tokenizer always starts a new pre-token at such a space. So a
-chunk's ids can be kept and reused. Any other text, and any chunk with characters outside the plain
-Latin ranges, goes to the library as it is.
+Where every space and line feed stands alone between two non-spaces, a text splits before them into
+chunks whose ids do not depend on each other: the pre-tokenizer always starts a new pre-token there, and a
+lone line feed is one of its own. So a chunk's ids can be kept and reused. Any other text, and any chunk
+with characters outside the plain Latin ranges, goes to the library as it is.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-#: A space beside other white space: such texts are encoded whole.
-_ODD = re.compile(r" \s|\s |^ | $")
+#: Every character that any reading of Unicode counts as white space, but the space itself.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PLAIN = re.compile(rf"[!-~ \n{_LETTERS}]+")
 #: The pre-token pattern of the vocabulary, its classes written out for the plain ranges.
@@ -34,12 +34,13 @@ def _byte_letters() -> str:
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes. ``capacity`` bounds the entries of each cache."""
 
-    def __init__(self, path: str, capacity: int = 400_000):
+    def __init__(self, path: str, capacity: int = 700_000):
         self.library = Tokenizer.from_file(path)
         self.capacity = capacity
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self._model = self.library.model
-        self._map = {b: c for b, c in enumerate(_byte_letters())}
+        self._map = dict(enumerate(_byte_letters()))
+        self._bytes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
         self._pre: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -47,14 +48,16 @@ class Encoder:
 
     def chunk(self, text: str) -> bytes:
         """Ids of one chunk, by its pre-tokens where its characters are plain."""
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+        plain = text.isascii() and text.isprintable()
+        if not plain and not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self.whole(text)
+        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return self._piece(text)
         kept, out = self._pre, []
         for x in _PRE_TOKEN.findall(text):
             ids = kept.get(x)
             if ids is None:
-                mapped = x.encode().decode("latin-1").translate(self._map)
-                ids = np.array([t.id for t in self._model.tokenize(mapped)], dtype="<u4").tobytes()
+                ids = self._piece(x)
                 if len(x) <= _KEPT:
                     if len(kept) >= self.capacity:
                         kept.clear()
@@ -62,16 +65,32 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
+    def _piece(self, pre_token: str) -> bytes:
+        mapped = pre_token.encode().decode("latin-1").translate(self._map)
+        return b"".join([self._bytes[t.id] for t in self._model.tokenize(mapped)])
+
+
+def _lone(text: str) -> bool:
+    """Whether all spaces and line feeds stand alone between non-spaces."""
+    if "  " in text or text[0] in " \n" or text[-1] in " \n":
+        return False
+    return not any(c in text and (f" {c}" in text or f"{c} " in text or f"\n{c}" in text or f"{c}\n" in text) for c in _SPACES)
+
 
 class Chunks(dict):
-    """chunk that follows a space -> what ``make`` gives of its ids; the first tier is never dropped."""
+    """chunk -> what ``make`` gives of its ids; the first tier is never dropped.
+
+    A chunk is the text after a space, or a line feed and the text after it.
+    """
 
     def __init__(self, encoder: Encoder, make, first: dict | None = None):
         super().__init__(first or {})
         self.encoder, self.make, self.first = encoder, make, first or {}
+        self.line_feed = encoder.whole("\n")
 
     def __missing__(self, chunk: str):
-        value = self.make(self.encoder.chunk(f" {chunk}"))
+        ids = self.line_feed + self.encoder.chunk(chunk[1:]) if chunk[0] == "\n" else self.encoder.chunk(f" {chunk}")
+        value = self.make(ids)
         if len(chunk) <= _KEPT:
             if len(self) >= self.encoder.capacity + len(self.first):
                 self.clear()
@@ -81,10 +100,10 @@ class Chunks(dict):
 
     def split(self, text: str):
         """(value of the first chunk, iterator over the others' values), or None if the text must go whole."""
-        if _ODD.search(text):
+        if not _lone(text):
             return None
-        first, *rest = text.split(" ")
-        return self.make(self.encoder.chunk(first)) if first else None, map(self.__getitem__, rest)
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return self.make(self.encoder.chunk(first)), map(self.__getitem__, rest)
 
 
 def vocabulary_chunks(path: str) -> list[str]:

@@ -115,7 +115,7 @@ class Packer:
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 0, piece: int = 512, windows: int = 192, cache: int = 400_000) -> DataFrame:
+def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 0, piece: int = 512, windows: int = 192, cache: int = 700_000) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its ids (``path``: a byte-level vocabulary; null text: empty) and ``end_id``. Its first

@@ -23,7 +23,7 @@ def frequent_lengths(path: str) -> tuple[str, bytes]:
 class Counter:
     """Counts tokens of whole texts exactly as the library does with its defaults."""
 
-    def __init__(self, path: str, first: dict[str, int] | None = None, capacity: int = 400_000):
+    def __init__(self, path: str, first: dict[str, int] | None = None, capacity: int = 700_000):
         self.encoder = Encoder(path, capacity)
         self.chunks = Chunks(self.encoder, lambda ids: len(ids) // 4, first)
 
@@ -36,7 +36,7 @@ class Counter:
         return (parts[0] or 0) + sum(parts[1])
 
 
-def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 1024, capacity: int = 400_000) -> DataFrame:
+def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 1024, capacity: int = 700_000) -> DataFrame:
     """Adds n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) to every row.
 
     ``path``: a byte-level vocabulary file. A null text counts as empty: 0 bytes, 0 tokens. Repeated rows
