@@ -90,21 +90,22 @@ class Model:
         self.context[contexts] = np.arange(len(contexts))
         uniform = np.full(size, 1 / 256)
         uniform[-1] = max(256 - len(seen), 1) / 256
-        low, high = [], []
-        for grams, n in zip(counts.grams, counts.counts):
+        self.base = len(contexts) * size  # where the two-byte contexts begin
+        self.cost = np.empty((self.base + size**3, len(counts.languages)), dtype=np.float32)
+        share = np.ones(size)
+        share[-1] = 1 / max(256 - len(seen), 1)  # the one symbol stands for that many bytes
+        for k, (grams, n) in enumerate(zip(counts.grams, counts.counts)):
             codes = [self.letter[(grams >> s) & 255] for s in (24, 16, 8, 0)]
             p0 = _distribution(np.zeros(len(n), np.int64), codes[3], n, 1, size, uniform[None, :])
             p1 = _distribution(codes[2], codes[3], n, size, size, np.repeat(p0, size, axis=0))
             p2 = _distribution(codes[1] * size + codes[2], codes[3], n, size * size, size, np.tile(p1, (size, 1)))
-            at = self.context[(codes[0] * size + codes[1]) * size + codes[2]]
-            p3 = _distribution(at, codes[3], n, len(contexts), size, p2[contexts % (size * size)])
-            share = np.ones(size)
-            share[-1] = 1 / max(256 - len(seen), 1)  # the one symbol stands for that many bytes
-            low.append(-np.log2(p2 * share).reshape(-1))
-            high.append(-np.log2(p3 * share).reshape(-1))
-        cost = np.stack(low + high, axis=1) if not low else np.concatenate([np.stack(high, axis=1), np.stack(low, axis=1)])
-        self.cost = cost.astype(np.float32)
-        self.base = len(contexts) * size  # where the two-byte contexts begin
+            self.cost[self.base :, k] = -np.log2(p2 * share).reshape(-1)
+            at = self.context[(codes[0] * size + codes[1]) * size + codes[2]]  # rising, as the strings are
+            for first in range(0, len(contexts), 4096):  # in slabs, to keep the peak of memory low
+                last = min(first + 4096, len(contexts))
+                own = (at >= first) & (at < last)
+                p3 = _distribution(at[own] - first, codes[3][own], n[own], last - first, size, p2[contexts[first:last] % (size * size)])
+                self.cost[first * size : last * size, k] = -np.log2(p3 * share).reshape(-1)
 
     def _code(self, packed: np.ndarray, n: int) -> np.ndarray:
         out = np.zeros(len(packed), np.int64)
