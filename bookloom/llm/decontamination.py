@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bookloom.llm.common import materialise
+
 #: Word positions that a seed reads; both masks span eight words and read five.
 MASKS = ("11010011", "10110101")
 
@@ -23,42 +25,56 @@ def _hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seed(array: str, at: str, number: int, mask: str) -> Column:
-    """Hash of the words that mask ``number`` reads at position ``at``; null where it reaches past the end."""
-    read = [F.get(array, F.col(at) + k) for k, bit in enumerate(mask) if bit == "1"]
-    return F.when(F.col(at) + len(mask) <= F.size(array), F.xxhash64(F.lit(number), *read))
+def _seeds(array: str, masks: tuple[str, ...]) -> Column:
+    """For every position, an array of (span, seed) of the masks that fit there."""
+
+    def at(p: Column) -> Column:
+        seed = lambda i, m: F.struct(F.lit(len(m)).alias("span"), F.xxhash64(F.lit(i), *[F.get(array, p + k) for k, bit in enumerate(m) if bit == "1"]).alias("seed"))
+        fitting = F.array(*[F.when(p + len(m) <= F.size(array), seed(i, m)) for i, m in enumerate(masks)])
+        return F.filter(fitting, lambda x: x.isNotNull())
 
+    return F.when(F.size(array) > 0, F.transform(F.sequence(F.lit(0), F.size(array) - 1), at))
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 24, share: float = 0.75, least: int = 5, masks: tuple[str, ...] = MASKS, broadcast_bytes: int = 8 << 20) -> DataFrame:
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 24, share: float = 0.75, least: int = 5, masks: tuple[str, ...] = MASKS, broadcast_bytes: int = 8 << 20, broadcast_rows: int = 200_000) -> DataFrame:
     """One row per document id and item: key, item, matched, window.
 
     ``matched`` is the largest number of equal aligned words in a window of the item of min(``window``, its
-    words); at least ``share`` of them must agree and a seed must lie inside. An item of fewer words than
-    the masks span must occur in full; one of fewer than ``least`` words identifies nothing and is left
-    out, as are null and empty texts. Rows of the same id or item count together (the best window); extra
-    columns are not read. The seeds of the benchmark are broadcast if its text takes at most
-    ``broadcast_bytes``, else Spark joins by shuffle.
+    words), from the reach of its first seed hit to that of its last; at least ``share`` of them must agree.
+    An item of fewer words than the masks span must occur in full; one of fewer than ``least`` words
+    identifies nothing and is left out, as are null and empty texts. Rows of the same id or item count
+    together (the best window); extra columns are not read. Seeds are broadcast if the benchmark's text
+    takes at most ``broadcast_bytes``, and hits if at most ``broadcast_rows`` documents have any; otherwise
+    Spark joins by shuffle.
     """
     items = benchmark.select(F.col(item).alias("item"), _hashes(F.col(item_text)).alias("iw")).where(F.size("iw") >= least)
     span = max(map(len, masks))
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("n")).first()["n"]
     short = [r["n"] for r in items.where(F.size("iw") < span).select(F.size("iw").alias("n")).distinct().orderBy("n").collect()]
     every = (*masks, *("1" * n for n in short))  # an item shorter than the masks is a seed of its own
-    seeds = items.withColumn("ip", F.explode(F.sequence(F.lit(0), F.size("iw") - 1))).select("item", "iw", "ip", F.inline(F.array(*[F.struct(F.lit(len(m)).alias("span"), _seed("iw", "ip", i, m).alias("seed")) for i, m in enumerate(every)])))
-    seeds = seeds.where(F.col("seed").isNotNull() & ((F.col("span") >= span) | (F.col("span") == F.size("iw")))).dropDuplicates(["item", "ip", "seed"])
+    seeds = items.select("item", "iw", _seeds("iw", every).alias("own")).select("item", F.size("iw").alias("n"), "iw", F.posexplode("own")).select("item", "n", "iw", F.col("pos").alias("ip"), F.inline("col"))
+    seeds = seeds.where((F.col("span") >= span) | (F.col("span") == F.col("n"))).dropDuplicates(["item", "ip", "seed"])
     hint = F.broadcast if size <= broadcast_bytes else (lambda x: x)
 
-    dw = docs.select(F.col(key).alias("doc"), _hashes(F.col(text)).alias("dw")).where(F.size("dw") >= min([span, *short]))
-    at = dw.withColumn("dp", F.explode(F.sequence(F.lit(0), F.size("dw") - 1)))
-    probes = F.array(*[_seed("dw", "dp", i, m) for i, m in enumerate(every)])
-    hits = at.select("doc", "dw", "dp", F.explode(probes).alias("seed")).where(F.col("seed").isNotNull()).join(hint(seeds), "seed")
-
-    width = F.least(F.lit(window), F.size("iw"))
-    low = F.greatest(F.lit(0), F.col("ip") + F.col("span") - width)
-    high = F.least(F.size("iw"), F.col("ip") + width)  # exclusive
+    # Only ids, places and hashes leave a document's row here; its words stay behind.
+    probes = docs.select(F.col(key).alias("doc"), _hashes(F.col(text)).alias("dw")).select("doc", F.posexplode(_seeds("dw", every)))
+    probes = probes.select("doc", F.col("pos").alias("dp"), F.explode(F.transform("col", lambda s: s["seed"])).alias("seed"))
+    hits = probes.join(hint(seeds), "seed")
     shift = F.col("dp") - F.col("ip")
-    bits = F.array_join(F.transform(F.sequence(F.col("low"), F.col("high") - 1), lambda j: F.when(F.get("iw", j) == F.get("dw", F.col("shift") + j), F.lit("1")).otherwise(F.lit("0"))), "")
-    best = F.array_max(F.transform(F.sequence(F.lit(1), F.char_length("bits") - F.col("width") + 1), lambda s: F.char_length(F.replace(F.substring(F.col("bits"), s, F.col("width")), F.lit("0"), F.lit("")))))
-    found = hits.select("doc", "item", "iw", "dw", width.alias("width"), low.alias("low"), high.alias("high"), shift.alias("shift")).withColumn("bits", bits).select("doc", "item", "width", best.alias("matched"))
-    kept = found.where(F.col("matched") >= F.ceil(F.col("width") * share))
+    lined = hits.groupBy("doc", "item", shift.alias("shift")).agg(F.min(F.col("ip") + F.col("span")).alias("first"), F.max("ip").alias("last"), F.first("iw").alias("iw"))
+    width = F.least(F.lit(window), F.size("iw"))
+    low = F.greatest(F.lit(0), F.col("first") - width)
+    high = F.least(F.size("iw"), F.col("last") + width)  # exclusive
+    place = F.struct("item", width.alias("width"), (low + F.col("shift")).alias("at"), F.slice("iw", low + 1, high - low).alias("words"))
+    places = materialise(lined.select("doc", place.alias("place")).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("place").alias("places")), "hits")
+    few = places.count() <= broadcast_rows
+
+    def best(dw: Column, p: Column) -> Column:
+        bits = F.array_join(F.transform(p["words"], lambda w, j: F.when(w == F.get(dw, p["at"] + j), F.lit("1")).otherwise(F.lit("0"))), "")
+        return F.array_max(F.transform(F.array(bits), lambda b: F.array_max(F.transform(F.sequence(F.lit(1), F.char_length(b) - p["width"] + 1), lambda s: F.char_length(F.replace(b.substr(s, p["width"]), F.lit("0"), F.lit("")))))))
+
+    # The words are bound once per document, as the variable of a lambda.
+    compared = F.transform(F.array(_hashes(F.col(text))), lambda dw: F.transform("places", lambda p: F.struct(p["item"].alias("item"), p["width"].alias("width"), best(dw, p).alias("matched"))))
+    met = docs.join(F.broadcast(places) if few else places, docs[key].eqNullSafe(places["_doc"])).select(F.col(key).alias("doc"), F.explode(compared).alias("x")).select("doc", F.inline("x"))
+    kept = met.where(F.col("matched") >= F.ceil(F.col("width") * share))
     return kept.groupBy(F.col("doc").alias(key), F.col("item").alias(item)).agg(F.max("matched").cast("long").alias("matched"), F.max("width").cast("long").alias("window"))

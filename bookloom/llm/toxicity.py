@@ -48,21 +48,25 @@ def word_codes(text: str | None, words: Words) -> set[int]:
     return set(map(words.__getitem__, text.lower().split())) if text else set()
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 4096, steps: int = 300, rate: float = 0.1, decay: float = 1e-4, least: int = 3) -> Classifier:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 4096, steps: int = 300, rate: float = 0.1, decay: float = 1e-4, least: int = 5, share_of_positive: float = 0.01, significance: float = 5.0) -> Classifier:
     """Full-batch Adam on the non-negative risk with the logistic loss.
 
-    Words are those of at least ``least`` positive texts, the ``features`` furthest from their share among
-    the unlabelled ones. Without positive examples the classifier is a constant below one half.
+    Words are those that ``least`` positive texts hold and ``share_of_positive`` of them, at least twice as
+    often as unlabelled texts and by ``significance`` standard deviations of chance; of more than
+    ``features`` such words the most significant. Without positive examples the classifier is a constant below one half.
     """
     if not positive or not unlabelled:
         return Classifier(np.zeros(0, np.int64), np.zeros(0), -20.0)
     count = lambda rows: np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_counts=True)
     codes, n = count(positive)
-    codes, n = codes[n >= least], n[n >= least] / len(positive)
+    often = n >= max(least, share_of_positive * len(positive))
+    codes, n = codes[often], n[often] / len(positive)
     every, m = count(unlabelled)
     at = np.searchsorted(every, codes).clip(max=max(len(every) - 1, 0))
     share = np.where(every[at] == codes, m[at], 0) / len(unlabelled)
-    spread = np.abs(n - share) / np.sqrt((share + 1 / len(unlabelled)) * (1 - share + 1e-9))
+    spread = (n - share) / np.sqrt((share * (1 - share)).clip(min=1 / len(unlabelled)) / len(positive))
+    tell = (spread >= significance) & (n >= 2 * share)
+    codes, spread = codes[tell], spread[tell]
     codes = np.sort(codes[np.argsort(-spread, kind="stable")[:features]])
     d = len(codes)
 
