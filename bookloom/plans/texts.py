@@ -1 +1,94 @@
-"""Plans."""
+"""Plans over texts, names and page links."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from bookloom.functions import text as tx
+from bookloom.plans.registry import query, table
+
+WRAP = "'x [b]' || substr(text, 1, 30) || '[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]' || chr(10) || chr(10) || 'end'"
+
+
+@query("replace_tags", rf"""WITH a AS (SELECT doc_id, ' ' || {WRAP} || ' ' AS t FROM documents),
+ b AS (SELECT doc_id, replace(regexp_replace(regexp_replace(regexp_replace(t, '\n\n+', chr(10), 'g'), '\n', '<br/>', 'g'), '\[(\w)\]', '<\1>', 'g'), '[/b]', '</b>') AS t FROM a),
+ c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\[quote\]', '<q>', 'gi'), '\[/quote\]', '</q>', 'gi') AS t FROM b),
+ d AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\[img\](.*?)\[/img\]', '<img src="\1"/>', 'g'), '\[(?:URL|url)=(.*?)\](.*?)\[/(?:URL|url)\]', '<a href="\1"/>\2</a>', 'g') AS t FROM c),
+ e AS (SELECT doc_id, replace(regexp_replace(t, '\[color=(.*?)\]', '<font color="\1">', 'g'), '[/color]', '</font>') AS t FROM d)
+SELECT doc_id, trim(regexp_replace(regexp_replace(t, '([^"])(https?://\S+?)([\s<])', '\1<a href="\2">\2</a>\3', 'g'), '\s+', ' ', 'g')) AS html FROM e""")
+def replace_tags(spark, sf_dir):
+    text = F.concat(F.lit("x [b]"), F.substring("text", 1, 30), F.lit("[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]\n\nend"))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.replace_tags(text).alias("html"))
+
+
+@query("dash_fold", r"""SELECT doc_id, regexp_replace(translate(substr(text, 1, 200) || ' — a -- b ё', '‐‑‒–—―ёЁ', '------еЕ'), ' --? ', ' – ', 'g') AS folded FROM documents""")
+def dash_fold(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", tx.dash_fold(F.concat(F.substring("text", 1, 200), F.lit(" — a -- b ё"))).alias("folded"))
+
+
+@query("title_words", r"""WITH w AS (SELECT item_id, unnest(string_split_regex(replace(lower(text), 'ё', 'е'), '[^\p{L}\p{N}]+')) AS w FROM benchmark) SELECT item_id, string_agg(DISTINCT w, ' ' ORDER BY w) AS words FROM w WHERE w <> '' GROUP BY 1""")
+def title_words(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(tx.title_tokens(F.col("text")), " ").alias("words"))
+
+
+@query("magic_sniff", "SELECT CASE WHEN lower(ltrim(html)) LIKE '<!doctype html%' OR lower(ltrim(html)) LIKE '<html%' THEN 'html' ELSE 'other' END AS kind, count(*) AS n FROM pages GROUP BY 1")
+def magic_sniff(spark, sf_dir):
+    return table(spark, sf_dir, "pages").groupBy(tx.signature(F.substring("html", 1, 64)).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("regex_links", r"""WITH l AS (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href="(/[^"]+)"', 1))) AS link FROM pages) SELECT link, count(*) AS n FROM l WHERE link NOT IN (SELECT link FROM l WHERE page_id = 0) GROUP BY 1""")
+def regex_links(spark, sf_dir):
+    """Links of pages, each once per page, without those that are ready already."""
+    links = table(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(r'href="(/[^"]+)"'), F.lit(1)))).alias("link"))
+    ready = links.where("page_id = 0").select("link")
+    return links.join(ready, "link", "left_anti").groupBy("link").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sidecar_join", """WITH p AS (SELECT page_id, CAST(page_id % 50 AS VARCHAR) || '.fb2' AS name FROM pages), s AS (SELECT CAST(item_id AS VARCHAR) || CASE WHEN item_id % 2 = 0 THEN '.fb2.fbd' ELSE '.fbd' END AS name, item_id FROM benchmark)
+SELECT page_id, coalesce(a.item_id, b.item_id) AS sidecar FROM p LEFT JOIN s a ON a.name = p.name || '.fbd' LEFT JOIN s b ON b.name = replace(p.name, '.fb2', '.fbd')""")
+def sidecar_join(spark, sf_dir):
+    """A file's description beside it: under its full name, else under its base name."""
+    files = table(spark, sf_dir, "pages").select("page_id", F.concat((F.col("page_id") % 50).cast("string"), F.lit(".fb2")).alias("name"))
+    side = table(spark, sf_dir, "benchmark").select(F.concat(F.col("item_id").cast("string"), F.when(F.col("item_id") % 2 == 0, ".fb2.fbd").otherwise(".fbd")).alias("name"), "item_id")
+    full, base = side.toDF("n1", "i1"), side.toDF("n2", "i2")
+    out = files.join(full, F.concat("name", F.lit(".fbd")) == F.col("n1"), "left").join(base, F.concat(tx.base_name(F.col("name")), F.lit(".fbd")) == F.col("n2"), "left")
+    return out.select("page_id", F.coalesce("i1", "i2").alias("sidecar"))
+
+
+@query("template_fill", "SELECT n_nationkey, n_name || ' of ' || CAST(n_regionkey AS VARCHAR) || ' (' || n_name || ')' AS line FROM nation")
+def template_fill(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select("n_nationkey", tx.fill(F.lit("%1 of %2 (%1)"), F.col("n_name"), F.col("n_regionkey").cast("string")).alias("line"))
+
+
+@query("unescape_twice", "SELECT page_id, length(replace(replace(replace(replace(replace(html, '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', '''')) AS n FROM pages")
+def unescape_twice(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.char_length(tx.unescape_twice(F.col("html"))).cast("long").alias("n"))
+
+
+@query("image_best_version", """SELECT name, max_by(vec_id, (size, vec_id)) AS vec_id, max(size) AS size FROM (SELECT vec_id, label AS name, CAST(floor(abs(embedding[1]) * 1000) AS BIGINT) AS size FROM embeddings) GROUP BY 1""")
+def image_best_version(spark, sf_dir):
+    """The largest body of each name; of equal ones the larger id."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("name"), F.floor(F.abs(F.get("embedding", F.lit(0))) * 1000).alias("size"))
+    return rows.groupBy("name").agg(F.max_by("vec_id", F.struct("size", "vec_id")).alias("vec_id"), F.max("size").alias("size"))
+
+
+@query("scaled_sizes", "SELECT p_partkey, CAST(floor(p_size * 40 * least(1024.0 / (p_size * 40), 480.0 / (p_size * 25), 1)) AS BIGINT) AS width, CAST(floor(p_size * 25 * least(1024.0 / (p_size * 40), 480.0 / (p_size * 25), 1)) AS BIGINT) AS height FROM part")
+def scaled_sizes(spark, sf_dir):
+    """Sizes after scaling down into 1024 by 480 with the aspect ratio kept."""
+    w, h = (F.col("p_size") * 40).cast("double"), (F.col("p_size") * 25).cast("double")
+    ratio = F.least(1024.0 / w, 480.0 / h, F.lit(1.0))
+    return table(spark, sf_dir, "part").select("p_partkey", F.floor(w * ratio).alias("width"), F.floor(h * ratio).alias("height"))
+
+
+@query("cursor_places", """SELECT conv_id, turn, CAST(coalesce(sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place FROM conversations""")
+def cursor_places(spark, sf_dir):
+    from pyspark.sql import Window
+
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce(F.sum(F.char_length("text") + 1).over(before), F.lit(0)).cast("long").alias("place"))
+
+
+@query("line_count_votes", r"""SELECT role, count(DISTINCT len(string_split(text, chr(10)))) AS kinds, bool_or(text = '') AS any_empty, bool_and(length(text) > 3) AS all_long FROM conversations GROUP BY 1""")
+def line_count_votes(spark, sf_dir):
+    lines = F.size(F.split("text", "\n"))
+    return table(spark, sf_dir, "conversations").groupBy("role").agg(F.countDistinct(lines).alias("kinds"), F.bool_or(F.col("text") == "").alias("any_empty"), F.bool_and(F.char_length("text") > 3).alias("all_long"))
