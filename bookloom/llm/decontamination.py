@@ -26,14 +26,14 @@ def _hashes(text: Column) -> Column:
 
 
 def _seeds(array: str, masks: tuple[str, ...]) -> Column:
-    """For every position, an array of (span, seed) of the masks that fit there."""
+    """For each mask a struct (span, seeds): its seed at every position where it fits, in order."""
 
-    def at(p: Column) -> Column:
-        seed = lambda i, m: F.struct(F.lit(len(m)).alias("span"), F.xxhash64(F.lit(i), *[F.get(array, p + k) for k, bit in enumerate(m) if bit == "1"]).alias("seed"))
-        fitting = F.array(*[F.when(p + len(m) <= F.size(array), seed(i, m)) for i, m in enumerate(masks)])
-        return F.filter(fitting, lambda x: x.isNotNull())
+    def one(number: int, mask: str) -> Column:
+        last = F.size(array) - len(mask)
+        seed = lambda p: F.xxhash64(F.lit(number), *[F.get(array, p + k) for k, bit in enumerate(mask) if bit == "1"])
+        return F.struct(F.lit(len(mask)).alias("span"), F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), seed)).alias("seeds"))
 
-    return F.when(F.size(array) > 0, F.transform(F.sequence(F.lit(0), F.size(array) - 1), at))
+    return F.array(*[one(i, m) for i, m in enumerate(masks)])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 24, share: float = 0.75, least: int = 5, masks: tuple[str, ...] = MASKS, broadcast_bytes: int = 8 << 20, broadcast_rows: int = 200_000) -> DataFrame:
@@ -52,13 +52,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("n")).first()["n"]
     short = [r["n"] for r in items.where(F.size("iw") < span).select(F.size("iw").alias("n")).distinct().orderBy("n").collect()]
     every = (*masks, *("1" * n for n in short))  # an item shorter than the masks is a seed of its own
-    seeds = items.select("item", "iw", _seeds("iw", every).alias("own")).select("item", F.size("iw").alias("n"), "iw", F.posexplode("own")).select("item", "n", "iw", F.col("pos").alias("ip"), F.inline("col"))
+    seeds = items.select("item", F.size("iw").alias("n"), "iw", F.inline(_seeds("iw", every))).select("item", "n", "iw", "span", F.posexplode("seeds").alias("ip", "seed"))
     seeds = seeds.where((F.col("span") >= span) | (F.col("span") == F.col("n"))).dropDuplicates(["item", "ip", "seed"])
     hint = F.broadcast if size <= broadcast_bytes else (lambda x: x)
 
     # Only ids, places and hashes leave a document's row here; its words stay behind.
-    probes = docs.select(F.col(key).alias("doc"), _hashes(F.col(text)).alias("dw")).select("doc", F.posexplode(_seeds("dw", every)))
-    probes = probes.select("doc", F.col("pos").alias("dp"), F.explode(F.transform("col", lambda s: s["seed"])).alias("seed"))
+    probes = docs.select(F.col(key).alias("doc"), _hashes(F.col(text)).alias("dw")).select("doc", F.inline(_seeds("dw", every))).select("doc", F.posexplode("seeds").alias("dp", "seed"))
     hits = probes.join(hint(seeds), "seed")
     shift = F.col("dp") - F.col("ip")
     lined = hits.groupBy("doc", "item", shift.alias("shift")).agg(F.min(F.col("ip") + F.col("span")).alias("first"), F.max("ip").alias("last"), F.first("iw").alias("iw"))
