@@ -92,3 +92,18 @@ def cursor_places(spark, sf_dir):
 def line_count_votes(spark, sf_dir):
     lines = F.size(F.split("text", "\n"))
     return table(spark, sf_dir, "conversations").groupBy("role").agg(F.countDistinct(lines).alias("kinds"), F.bool_or(F.col("text") == "").alias("any_empty"), F.bool_and(F.char_length("text") > 3).alias("all_long"))
+
+
+@query("repair_tail", """SELECT page_id, CASE WHEN strpos(html, '</article>') > 0 THEN strpos(html, '</article>') + 9 ELSE length(html) END AS n FROM pages""")
+def repair_tail(spark, sf_dir):
+    """Pages cut after the end tag of their article."""
+    from bookloom.sources import markup
+
+    return table(spark, sf_dir, "pages").select("page_id", F.char_length(markup.repair_tail(F.col("html"), "article")).cast("long").alias("n"))
+
+
+@query("encoding_vote", "SELECT 'utf-8' AS encoding, count(*) AS n FROM documents")
+def encoding_vote(spark, sf_dir):
+    from bookloom.sources import markup
+
+    return table(spark, sf_dir, "documents").groupBy(markup.encoding(F.col("text").cast("binary")).alias("encoding")).agg(F.count(F.lit(1)).alias("n"))
