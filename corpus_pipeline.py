@@ -28,8 +28,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out that five or more documents share, and documents that held nothing else; n_chars follows."""
-    out = line_dedup.drop_repeated_lines(docs).where(F.col("text").rlike(r"\S") | (F.col("n_dropped") == 0))
+    """Takes out lines that five or more documents share; every document stays, n_chars follows its text."""
+    out = line_dedup.drop_repeated_lines(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 

@@ -382,7 +382,7 @@ def test_pipeline_stages(spark):
         frame = p.materialise(stage(spark, frame, SF), "test")
         assert frame.columns == start.columns
         kept[name] = {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
-    assert set(kept["benchmark"]) <= set(kept["near copies"]) <= set(kept["lines"]) <= set(kept["language"])
+    assert set(kept["benchmark"]) <= set(kept["near copies"]) <= set(kept["lines"]) == set(kept["language"])
     ids = sorted(kept["lines"])
     groups = brute_groups([kept["lines"][i] for i in ids], p.NEAR_WORDS, p.NEAR_PERCENT)
     assert set(kept["near copies"]) == {i for k, i in enumerate(ids) if groups[k][1] == k}
