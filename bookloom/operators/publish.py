@@ -41,7 +41,7 @@ def series_of_book(rows: DataFrame, key: str, most: int | None) -> DataFrame:
 
 def contents(rows: DataFrame, group: str, keys: list[Column], line: Column, name: str = "line") -> DataFrame:
     """group, place, line: lines numbered within their group in the order of ``keys``."""
-    return rows.select(F.col(group), F.row_number().over(Window.partitionBy(group).orderBy(*keys)).alias("place"), line.alias(name))
+    return rows.select(F.col(group), F.row_number().over(Window.partitionBy(group).orderBy(*keys)).cast("long").alias("place"), line.alias(name))
 
 
 def months(times: DataFrame, column: str) -> DataFrame:

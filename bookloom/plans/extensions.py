@@ -18,7 +18,7 @@ def scratch(spark) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-@query("image_stats_load", """SELECT event_type AS archive, count(*) AS n, sum(CASE WHEN event_id % 5 <> 0 THEN event_id END) AS size FROM events WHERE event_id % 7 <> 0 GROUP BY 1""")
+@query("image_stats_load", """SELECT event_type AS archive, count(*) AS n, CAST(sum(CASE WHEN event_id % 5 <> 0 THEN event_id END) AS BIGINT) AS size FROM events WHERE event_id % 7 <> 0 GROUP BY 1""")
 def image_stats_load(spark, sf_dir):
     """Statistics lines written, with comments and short lines among them, and loaded again."""
     at = scratch(spark)
