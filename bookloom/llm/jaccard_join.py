@@ -29,33 +29,71 @@ SKETCH_BITS, SKETCH_BLOCK, RANGES = 21, 16, 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class Shingles(dict):
-    """Hashes of a text's distinct word n-grams, sorted. Words: runs without ASCII white space, A-Z lower-cased."""
+#: Words are hashed as polynomials over their bytes, from running sums over the text; words longer than this by themselves.
+_LONG, _TABLE = 512, 1 << 16
+_BASE = 0xD1B54A32D192ED03
+_BLANK = bytes(x in (0x20, *range(0x09, 0x0E)) for x in range(256))
+#: Blanks count as 0, so that only they do the zero byte takes the place of the space.
+_WORTH = bytes(0 if _BLANK[x] else x or 0x20 for x in range(256))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_UP, _DOWN = _powers(_BASE, _TABLE), _powers(pow(_BASE, -1, 1 << 64), _TABLE)
+
+
+def _power(table: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` powers; beyond the table by products."""
+    if n <= _TABLE:
+        return table[:n]
+    step = (table[-1:] * table[1:2])[0]
+    high = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n // _TABLE, step)]), dtype=np.uint64)
+    return (high[:, None] * table[None, :]).reshape(-1)[:n]
 
-    def __init__(self, n: int, capacity: int = 400_000):
-        super().__init__()
-        self.n, self.capacity = n, capacity
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= self.capacity:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = value
-        return value
+def _mixed(h: np.ndarray, factor: np.uint64) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * factor
+    return h ^ (h >> np.uint64(32))
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the runs of bytes without ASCII white space."""
+    blank = (b" " + text + b" ").translate(_BLANK)
+    edge = np.flatnonzero(np.diff(np.frombuffer(blank, dtype=np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    n = len(text)
+    run = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(np.frombuffer(text.translate(_WORTH), dtype=np.uint8) * _power(_UP, n), out=run[1:])
+    out = (run[ends] - run[starts]) * _power(_DOWN, n)[starts]
+    for k in np.flatnonzero(ends - starts > _LONG):  # a longer word is hashed by itself
+        out[k] = xxhash.xxh3_64_intdigest(text[starts[k] : ends[k]])
+    return _mixed(out, _A)
+
+
+class Shingles:
+    """Hashes of a text's distinct word n-grams, sorted. Words: runs without ASCII white space, A-Z lower-cased."""
+
+    def __init__(self, n: int):
+        self.n = n
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = text.encode().lower().split() if text else []  # both methods know ASCII alone
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        if len(words) < self.n:  # the whole sequence is the one n-gram
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-        w = np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+        low = text.encode().lower() if text else b""  # bytes.lower() knows ASCII alone
+        w = _word_hashes(low)
+        if not len(w):
+            return w
+        if len(w) < self.n:  # the whole sequence is the one n-gram
+            return np.array([xxhash.xxh3_64_intdigest(b" ".join(low.split()), seed=len(w))], dtype=np.uint64)
         h = w[: len(w) - self.n + 1]
         for k in range(1, self.n):
             h = (h ^ (h >> np.uint64(31))) * _A + w[k : len(w) - self.n + 1 + k]
-        h = (h ^ (h >> np.uint64(29))) * _B
-        return np.unique(h ^ (h >> np.uint64(32)))
+        h = np.sort(_mixed(h, _B))
+        return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def _digest(shingles: np.ndarray) -> bytes:
