@@ -3,18 +3,20 @@
 Documents with the same n-gram set are one class. A class's n-grams are ordered rare first, by a sketch of
 their frequencies over all documents; two sets of the wanted Jaccard similarity share an n-gram among the
 first few of each (the prefix). Classes that share one are candidates if their sizes (length filter), the
-places of the shared n-gram (positional filter) and their counts per hash range (suffix filter: the sum of
-the smaller counts bounds the overlap) allow it; only then are the sets compared.
+places of the shared n-gram (positional filter) and what tells them apart over the whole of both sets
+(suffix filter) allow it: bits that hold the parity of the counts per hash range bound the number of n-grams
+in one set alone, and the smaller counts per range bound the overlap. Only then are the sets compared.
 
 Groups of thousands of near copies share their prefixes with each other. So that pairs within a group are
-not all made, each round lets the members of a list meet only a few pivots of it, and links found are
-contracted to components before the next; the last round makes all pairs that still lie in different
+not all made, each round lets the members of a list meet only a few pivots of it, tries each with the
+likeliest one, and contracts links found to components before the next; the last round makes all pairs that still lie in different
 components, so no link between components can be missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ from bookloom.llm import bloom
 from bookloom.llm.common import materialise
 from bookloom.llm.components import components
 
-SKETCH_BITS, SKETCH_BLOCK, RANGES = 21, 16, 64
+SKETCH_BITS, SKETCH_BLOCK, RANGES, PARITY = 21, 16, 64, 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -104,13 +106,19 @@ def _ranges(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=RANGES)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """256 bits: for each value of eight hash bits whether an odd number of n-grams has it, as four numbers."""
+    odd = np.bincount(((shingles >> np.uint64(40)) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def _needed(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
     """Whether an overlap of that size makes two sets similar: 100 I >= p (a + b - I)."""
     return overlap * (100 + percent) >= percent * (na + nb)
 
 
 def _summary(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """One pass: a row per document (id, n, cls, ranges), and per task the blocks of its frequency sketch."""
+    """One pass: a row per document (id, n, cls, ranges, parity), and per task the blocks of its frequency sketch."""
     size, width = 1 << SKETCH_BITS, 1 << SKETCH_BLOCK
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,19 +135,19 @@ def _summary(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
             rows = []
             for doc, words in zip(batch["k"], batch["t"]):
                 s = shingles(words)
-                rows.append((doc, len(s), _digest(s) if len(s) else None, _ranges(s).astype("<u4").tobytes() if len(s) else None))
+                rows.append((doc, len(s), _digest(s) if len(s) else None, _ranges(s).astype("<u4").tobytes() if len(s) else None, _parity(s)))
                 held.append(s)
                 count += len(s)
                 if count >= 4_000_000:
                     add()
-            out = pd.DataFrame(rows, columns=["id", "n", "cls", "ranges"])
+            out = pd.DataFrame(rows, columns=["id", "n", "cls", "ranges", "parity"])
             yield out.assign(id=batch["k"].array, block=pd.array([None] * len(rows), dtype="Int32"), counts=None)
         add()
         low = np.minimum(total, 255).astype(np.uint8)
         blocks = [(b, x.tobytes()) for b, x in enumerate(low.reshape(-1, width)) if x.any()]
-        yield pd.DataFrame({"id": pd.array([None] * len(blocks), dtype="Int64"), "n": 0, "cls": None, "ranges": None, "block": pd.array([b for b, _ in blocks], dtype="Int32"), "counts": [x for _, x in blocks]})
+        yield pd.DataFrame({"id": pd.array([None] * len(blocks), dtype="Int64"), "n": 0, "cls": None, "ranges": None, "parity": None, "block": pd.array([b for b, _ in blocks], dtype="Int32"), "counts": [x for _, x in blocks]})
 
-    schema = "id long, n long, cls binary, ranges binary, block int, counts binary"
+    schema = "id long, n long, cls binary, ranges binary, parity array<long>, block int, counts binary"
     return df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(run, schema)
 
 
@@ -203,11 +211,21 @@ def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int)
     return texts.mapInPandas(run, "h long, cls binary, n long, pos long").dropDuplicates(["h", "cls"])
 
 
+def _near(apart: Column, na: Column, nb: Column, percent: int) -> Column:
+    """Whether sets that differ in that many n-grams can be similar: overlap = (a + b - apart) / 2."""
+    return (na + nb - apart) * (100 + percent) >= 2 * percent * (na + nb)
+
+
 def _reach(na, pa, nb, pb, percent: int) -> Column:
     """Positional filter for the first n-gram that two ordered sets share; it holds the length filter."""
     return _needed(1 + F.least(na - pa - 1, nb - pb - 1), na, nb, percent)
 
 
+def _apart(a: str, b: str) -> Column:
+    """At least so many n-grams lie in one of two sets alone: each of them turns one bit of the parity."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(PARITY)])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
 
@@ -265,17 +283,19 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     """
     spark = df.sparkSession
     summary = materialise(_summary(df, key, text, words), "summary")
-    docs = summary.where(F.col("block").isNull()).select("id", "n", "cls", "ranges")
-    classes = materialise(docs.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("ranges").alias("ranges")), "classes")
+    docs = summary.where(F.col("block").isNull()).select("id", "n", "cls", "ranges", "parity")
+    firsts = [F.first(c).alias(c) for c in ("n", "ranges", "parity")]
+    classes = materialise(docs.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), *firsts), "classes")
     sketch = spark.sparkContext.broadcast(_sketch(summary.where(F.col("block").isNotNull())))
-    shared = materialise(_postings(df, text, words, percent, sketch, bits), "prefixes")
-    common = shared.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("h")
-    shared = materialise(shared.join(common, "h"), "postings")
+    every = materialise(_postings(df, text, words, percent, sketch, bits), "prefixes")
+    common = every.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("h")
+    parity = classes.select("cls", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
+    shared = materialise(every.join(common, "h").join(parity, "cls"), "postings")
 
     tested = links = sets = labels = None
     for turn in range(rounds + 1):
         own = shared if labels is None else shared.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
-        own = own.withColumn("comp", F.col("cls") if labels is None else F.coalesce("label", "cls")).select("h", "cls", "comp", "n", "pos")
+        own = own.withColumn("comp", F.col("cls") if labels is None else F.coalesce("label", "cls")).select("h", "cls", "comp", "n", "pos", *[f"p{k}" for k in range(PARITY)])
         if turn < rounds:  # the lists' pivots against their other members
             order = Window.partitionBy("h").orderBy(F.xxhash64("cls", F.lit(turn)), "cls")
             other = own.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots).drop("at")
@@ -284,12 +304,15 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
             sizes = own.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("h", F.col("top.comp").alias("top"))
             left = own.join(sizes, "h").where(F.col("comp") != F.col("top")).drop("top")
             other = own
-        other = other.select("h", F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-        met = left.join(other, (left["h"] == other["h"]) & (F.col("comp") != F.col("comp2")) & _reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent))
-        pairs = met.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).dropDuplicates()
+        other = other.select("h", F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), *[F.col(f"p{k}").alias(f"q{k}") for k in range(PARITY)])
+        may = _reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent) & _near(_apart("p", "q"), F.col("n"), F.col("n2"), percent)
+        met = left.join(other, (left["h"] == other["h"]) & (F.col("comp") != F.col("comp2")) & may)
+        pairs = met.select("cls", "cls2", _apart("p", "q").alias("far"), F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).dropDuplicates(["cls", "cls2"])
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(_suffix(pairs, classes, percent), "pairs")
+        if turn < rounds:  # of a member's partners the likeliest; the others wait for what that links
+            pairs = pairs.groupBy("cls").agg(F.min_by(F.struct("a", "b"), F.struct("far", "cls2")).alias("x")).select("x.a", "x.b")
+        pairs = materialise(_suffix(pairs.select("a", "b").dropDuplicates(), classes, percent), "pairs")
         if not pairs.limit(1).count():
             if turn < rounds:
                 continue
