@@ -7,10 +7,11 @@ places of the shared n-gram (positional filter) and what tells them apart over t
 (suffix filter) allow it: bits that hold the parity of the counts per hash range bound the number of n-grams
 in one set alone, and the smaller counts per range bound the overlap. Only then are the sets compared.
 
-Groups of thousands of near copies share their prefixes with each other. So that pairs within a group are
-not all made, each round lets the members of a list meet only a few pivots of it, tries each with the
-likeliest one, and contracts links found to components before the next; the last round makes all pairs that still lie in different
-components, so no link between components can be missed.
+Lists of a few members are joined once; their candidates wait in a table of pairs. Groups of thousands of
+near copies share their prefixes with each other, so in longer lists each round lets the members meet only
+a few pivots. A round tries each class with its likeliest candidate and contracts the links found to
+components before the next; the last round takes all candidates that still lie in different components,
+so no link between components can be missed.
 """
 
 from __future__ import annotations
@@ -174,31 +175,31 @@ def _prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarra
 
 
 def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int) -> DataFrame:
-    """Prefix n-grams that more than one document may have: h, cls, n, pos."""
+    """Prefix n-grams that more than one document may have: h, cls, pos."""
     texts = df.select(F.col(text).alias("t"))
 
     def prefixes(batches: Iterator[pd.DataFrame], common: np.ndarray):
-        """(class, set size, prefix) of the partition's different sets."""
+        """(class, prefix) of the partition's different sets."""
         shingles, seen = Shingles(n), set()
         for batch in batches:
             for words in batch["t"]:
                 s = shingles(words)
                 if len(s) and (d := _digest(s)) not in seen:
                     seen.add(d)
-                    yield d, len(s), _prefix(s, common, percent)
+                    yield d, _prefix(s, common, percent)
 
-    twice = df.sparkSession.sparkContext.broadcast(bloom.build(texts, lambda batches: (p for _, _, p in prefixes(batches, sketch.value)), bits))
+    twice = df.sparkSession.sparkContext.broadcast(bloom.build(texts, lambda batches: (p for _, p in prefixes(batches, sketch.value)), bits))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, held = twice.value.table(), []
 
         def frame(held):
-            all_h = np.concatenate([p for _, _, p in held])
-            may, sizes = bloom.passes(table, all_h, bits), [len(p) for _, _, p in held]
+            all_h = np.concatenate([p for _, p in held])
+            may, sizes = bloom.passes(table, all_h, bits), [len(p) for _, p in held]
             place = np.concatenate([np.arange(k) for k in sizes])
             at = np.repeat(np.arange(len(held)), sizes)[may]
-            own, size = np.array([d for d, _, _ in held], dtype=object), np.array([k for _, k, _ in held])
-            return pd.DataFrame({"h": all_h[may].view(np.int64), "cls": own[at], "n": size[at], "pos": place[may]})
+            own = np.array([d for d, _ in held], dtype=object)
+            return pd.DataFrame({"h": all_h[may].view(np.int64), "cls": own[at], "pos": place[may].astype(np.int32)})
 
         for x in prefixes(batches, sketch.value):
             held.append(x)
@@ -208,7 +209,7 @@ def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int)
         if held:
             yield frame(held)
 
-    return texts.mapInPandas(run, "h long, cls binary, n long, pos long").dropDuplicates(["h", "cls"])
+    return texts.mapInPandas(run, "h long, cls binary, pos int").dropDuplicates(["h", "cls"])
 
 
 def _near(apart: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -226,6 +227,15 @@ def _apart(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(PARITY)])
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("c")).dropDuplicates()
+
+
+def _of(table: DataFrame, ids: DataFrame, few: bool, how: str = "left_semi") -> DataFrame:
+    """Rows of ``table`` for the classes in ``ids``; nothing moves where these are few."""
+    return table.join(F.broadcast(ids) if few else ids, "c", how)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
 
@@ -238,11 +248,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    two = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
-    return two.where(similar("ga", "gb")).select("a", "b")
+    two = pairs.join(sets.alias("x"), F.col("a") == F.col("x.c")).join(sets.alias("y"), F.col("b") == F.col("y.c"))
+    return two.where(similar("x.grams", "y.grams")).select("a", "b")
 
 
-def _suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _suffix(pairs: DataFrame, classes: DataFrame, percent: int, broadcast_rows: int) -> DataFrame:
     """Pairs whose counts per hash range allow the overlap that is needed."""
 
     @F.pandas_udf("long")
@@ -252,23 +262,67 @@ def _suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         x, y = (np.frombuffer(b"".join(s), "<u4").reshape(-1, RANGES).astype(np.int64) for s in (left, right))
         return pd.Series(np.minimum(x, y).sum(axis=1))
 
-    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("ranges").alias(f"r{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.where(_needed(bound("ra", "rb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
+    ids = _ends(pairs)
+    own = _of(classes.select("c", "n", "ranges"), ids, ids.count() <= broadcast_rows)
+    both = pairs.join(own.alias("x"), F.col("a") == F.col("x.c")).join(own.alias("y"), F.col("b") == F.col("y.c"))
+    return both.where(_needed(bound("x.ranges", "y.ranges"), F.col("x.n"), F.col("y.n"), percent)).select(*pairs.columns)
 
 
-def _sets(df: DataFrame, key: str, text: str, n: int, needed: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(cls, grams) of the classes in ``needed`` (cls, rep), from the texts of the documents named there."""
-    small = needed.count() <= broadcast_rows
-    rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).join(F.broadcast(needed) if small else needed, F.col("k").eqNullSafe(F.col("rep")))
+def _sets(df: DataFrame, key: str, text: str, n: int, needed: DataFrame, few: bool) -> DataFrame:
+    """(c, grams) of the classes in ``needed`` (c, cls, rep), from the texts of the documents named there.
+
+    Where an id repeats with the same text, a class may come once per partition.
+    """
+    rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).join(F.broadcast(needed) if few else needed, F.col("k").eqNullSafe(F.col("rep")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles(n)
+        shingles, seen = Shingles(n), set()
         for batch in batches:
-            found = [(c, s.tobytes()) for c, t in zip(batch["cls"], batch["t"]) if _digest(s := shingles(t)) == bytes(c)]
-            yield pd.DataFrame(found, columns=["cls", "grams"])
+            found = []
+            for c, cls, t in zip(batch["c"], batch["cls"], batch["t"]):
+                if c not in seen and _digest(s := shingles(t)) == bytes(cls):
+                    seen.add(c)
+                    found.append((c, s.tobytes()))
+            yield pd.DataFrame(found, columns=["c", "grams"])
+
+    return rows.select("c", "cls", "t").mapInPandas(run, "c long, grams binary")
+
 
-    return rows.select("cls", "t").mapInPandas(run, "cls binary, grams binary").dropDuplicates(["cls"])
+def _meet(left: DataFrame, right: DataFrame, unlike: Column, percent: int) -> DataFrame:
+    """Candidates (c, other, far) of two tables of postings x and y: those of one list that the filters allow."""
+    far = _apart("x.p", "y.p")
+    may = _reach(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent) & _near(far, F.col("x.n"), F.col("y.n"), percent)
+    met = left.alias("x").join(right.alias("y"), (F.col("x.h") == F.col("y.h")) & unlike & may)
+    return met.select(F.col("x.c").alias("c"), F.col("y.c").alias("other"), far.alias("far")).dropDuplicates(["c", "other"])
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns({"a": F.least("c", "other"), "b": F.greatest("c", "other")})
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of each class's candidates (c, other, far, a, b) the one with the fewest differences."""
+    return pairs.groupBy("c").agg(F.min_by(F.struct("a", "b"), F.struct("far", "other")).alias("x")).select("x.a", "x.b").dropDuplicates()
+
+
+def _component(df: DataFrame, column: str, labels: DataFrame | None, name: str) -> DataFrame:
+    """Adds ``name``: the component of the class in ``column``, which is the class itself while it has no link."""
+    if labels is None:
+        return df.withColumn(name, F.col(column))
+    joined = df.join(labels.select(F.col("node").alias(column), F.col("label").alias(name)), column, "left")
+    return joined.withColumn(name, F.coalesce(name, column))
+
+
+def _long_lists(postings: DataFrame, labels: DataFrame | None, turn: int, last: bool, pivots: int, percent: int) -> DataFrame:
+    """Candidates (c, other, far) from long lists, between components only."""
+    own = _component(postings, "c", labels, "comp")
+    if last:  # members outside a list's largest component against all others
+        sizes = own.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("h", F.col("top.comp").alias("top"))
+        left, right = own.join(sizes, "h").where(F.col("comp") != F.col("top")).drop("top"), own
+    else:  # all members against the list's pivots
+        order = Window.partitionBy("h").orderBy(F.xxhash64("c", F.lit(turn)), "c")
+        left, right = own, own.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots).drop("at")
+    return _meet(left, right, F.col("x.comp") != F.col("y.comp"), percent)
 
 
 def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90, pivots: int = 8, rounds: int = 3, bits: int = 27, broadcast_rows: int = 500_000) -> DataFrame:
@@ -279,57 +333,53 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     hash). ``component_id`` is the smallest id reachable over links, the row's own included. A null or
     blank text has an empty set and links with nothing. Rows that repeat an id are rows of their own; a
     null id never is a component's smallest unless all are null. Extra columns are not read; an empty
-    table gives no rows. ``bits``: size of the filter in front of the postings (16 MB at 27).
+    table gives no rows. ``bits``: size of the filter in front of the postings (16 MB at 27). Lists of more
+    than twice ``pivots`` members are long. Ids of classes are broadcast up to ``broadcast_rows`` (40 bytes each).
     """
     spark = df.sparkSession
     summary = materialise(_summary(df, key, text, words), "summary")
     docs = summary.where(F.col("block").isNull()).select("id", "n", "cls", "ranges", "parity")
     firsts = [F.first(c).alias(c) for c in ("n", "ranges", "parity")]
-    classes = materialise(docs.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), *firsts), "classes")
+    grouped = docs.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), *firsts)
+    classes = materialise(grouped.withColumn("c", F.monotonically_increasing_id()), "classes")  # numbers hold once written
     sketch = spark.sparkContext.broadcast(_sketch(summary.where(F.col("block").isNotNull())))
     every = materialise(_postings(df, text, words, percent, sketch, bits), "prefixes")
-    common = every.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("h")
-    parity = classes.select("cls", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
-    shared = materialise(every.join(common, "h").join(parity, "cls"), "postings")
+    common = every.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    parity = classes.select("cls", "c", "n", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
+    shared = materialise(every.join(common, "h").join(parity, "cls").drop("cls"), "postings")
+
+    short, long = (shared.where(x).drop("many") for x in (F.col("many") <= 2 * pivots, F.col("many") > 2 * pivots))
+    met = materialise(_ordered(_meet(short, short, F.col("x.c") < F.col("y.c"), percent)).select("a", "b", "far"), "met")
+    waiting = materialise(_suffix(met, classes, percent, broadcast_rows), "waiting")
+    any_long = long.limit(1).count() > 0
 
-    tested = links = sets = labels = None
+    tested = links = labels = None
     for turn in range(rounds + 1):
-        own = shared if labels is None else shared.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
-        own = own.withColumn("comp", F.col("cls") if labels is None else F.coalesce("label", "cls")).select("h", "cls", "comp", "n", "pos", *[f"p{k}" for k in range(PARITY)])
-        if turn < rounds:  # the lists' pivots against their other members
-            order = Window.partitionBy("h").orderBy(F.xxhash64("cls", F.lit(turn)), "cls")
-            other = own.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots).drop("at")
-            left = own
-        else:  # all that is left: members outside a list's largest component against all others
-            sizes = own.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("h", F.col("top.comp").alias("top"))
-            left = own.join(sizes, "h").where(F.col("comp") != F.col("top")).drop("top")
-            other = own
-        other = other.select("h", F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), *[F.col(f"p{k}").alias(f"q{k}") for k in range(PARITY)])
-        may = _reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent) & _near(_apart("p", "q"), F.col("n"), F.col("n2"), percent)
-        met = left.join(other, (left["h"] == other["h"]) & (F.col("comp") != F.col("comp2")) & may)
-        pairs = met.select("cls", "cls2", _apart("p", "q").alias("far"), F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).dropDuplicates(["cls", "cls2"])
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if turn < rounds:  # of a member's partners the likeliest; the others wait for what that links
-            pairs = pairs.groupBy("cls").agg(F.min_by(F.struct("a", "b"), F.struct("far", "cls2")).alias("x")).select("x.a", "x.b")
-        pairs = materialise(_suffix(pairs.select("a", "b").dropDuplicates(), classes, percent), "pairs")
-        if not pairs.limit(1).count():
-            if turn < rounds:
-                continue
-            break
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).dropDuplicates()
-        needed = needed if sets is None else needed.join(sets.select("cls"), "cls", "left_anti")
-        needed = materialise(needed.join(classes.select("cls", "rep"), "cls"), "needed")
-        if needed.limit(1).count():
-            more = materialise(_sets(df, key, text, words, needed, broadcast_rows), "sets")
-            sets = more if sets is None else sets.unionByName(more)
+        last = turn == rounds
+        pairs = waiting.select("a", "b")
+        if not last:
+            pairs = _likeliest(waiting.select("*", F.inline(F.array(F.struct(F.col("a").alias("c"), F.col("b").alias("other")), F.struct(F.col("b").alias("c"), F.col("a").alias("other"))))))
+        if any_long:
+            more = _ordered(_long_lists(long, labels, turn, last, pivots, percent))
+            more = more if tested is None else more.join(tested, ["a", "b"], "left_anti")
+            more = materialise(more.select("a", "b").dropDuplicates() if last else _likeliest(more), "met")
+            pairs = pairs.unionByName(_suffix(more, classes, percent, broadcast_rows)).dropDuplicates()
+        pairs = materialise(pairs, "pairs")
+        ids = materialise(_ends(pairs), "ends")
+        n = ids.count()
+        if not n:
+            continue
+        needed = _of(classes.select("c", "cls", "rep"), ids, n <= broadcast_rows, "inner")
+        sets = materialise(_sets(df, key, text, words, needed, n <= broadcast_rows), "sets")
         found = materialise(_verified(pairs, sets, percent), "found")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if found.limit(1).count():
             links = found if links is None else links.unionByName(found)
             labels = components(links)
-    named = classes.select("cls", "rep") if labels is None else classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    named = named.withColumn("comp", F.col("cls") if labels is None else F.coalesce("label", "cls"))
+        if not last:  # what still lies between components
+            left = _component(_component(waiting.join(pairs, ["a", "b"], "left_anti"), "a", labels, "ca"), "b", labels, "cb")
+            waiting = materialise(left.where(F.col("ca") != F.col("cb")).select("a", "b", "far"), "waiting")
+    named = _component(classes.select("cls", "c", "rep"), "c", labels, "comp")
     smallest = named.groupBy("comp").agg(F.min("rep").alias("smallest"))
     named = named.join(smallest, "comp").select("cls", "smallest")
     out = docs.select("id", "n", "cls").join(named, "cls", "left")
