@@ -44,14 +44,27 @@ def series_topk(spark, sf_dir):
     return out.select("book_id", F.array_join(F.transform("series", lambda s: F.concat(s["title"], F.lit("#"), s["number"].cast("string"))), "|").alias("series"))
 
 
-@query("contents_by_lang", r"""SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY CASE WHEN source = 'src0' THEN '￿' ELSE source END, doc_id) AS place,
- concat_ws(chr(9), source, substr(regexp_replace(text, '\s+', ' ', 'g'), 1, 40), CAST(doc_id AS VARCHAR)) AS line FROM documents""")
+CONTENTS = r"""SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY CASE WHEN source = 'src0' THEN '￿' ELSE source END, doc_id) AS place,
+ concat_ws(chr(9), source, substr(regexp_replace(text, '\s+', ' ', 'g'), 1, 40), CAST(doc_id AS VARCHAR)) AS line FROM documents"""
+
+
+def contents(spark, sf_dir, most=None):
+    text = F.regexp_replace("text", r"\s+", " ")
+    author = tx.sort_text(F.when(F.col("source") != "src0", F.col("source")))
+    line = F.concat_ws("\t", "source", text if most is None else F.substring(text, 1, most), F.col("doc_id").cast("string"))
+    return publish.contents(table(spark, sf_dir, "documents"), "lang", [author, F.col("doc_id")], line)
+
+
+@query("contents_by_lang", CONTENTS)
 def contents_by_lang(spark, sf_dir):
     """Contents of each language, sorted by author, those without one last."""
-    docs = table(spark, sf_dir, "documents")
-    author = tx.sort_text(F.when(F.col("source") != "src0", F.col("source")))
-    line = F.concat_ws("\t", "source", F.substring(F.regexp_replace("text", r"\s+", " "), 1, 40), F.col("doc_id").cast("string"))
-    return publish.contents(docs, "lang", [author, F.col("doc_id")], line)
+    return contents(spark, sf_dir, 40)
+
+
+@query("contents_by_lang_whole", CONTENTS.replace(r"substr(regexp_replace(text, '\s+', ' ', 'g'), 1, 40)", r"regexp_replace(text, '\s+', ' ', 'g')"))
+def contents_by_lang_whole(spark, sf_dir):
+    """The same with whole texts."""
+    return contents(spark, sf_dir)
 
 
 @query("review_months", "SELECT DISTINCT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month FROM events UNION SELECT DISTINCT CAST(year(o_orderdate) AS INT), CAST(month(o_orderdate) AS INT) FROM orders")
@@ -79,12 +92,25 @@ def rating_sums(spark, sf_dir):
     return sums.where(F.col("rate_sum") > 2.22e-16)
 
 
-@query("author_packs", """SELECT doc_id // 100 AS bucket, md5(lower(source)) AS author_key, min_by(substr(text, 1, 50), doc_id) AS body, string_agg(DISTINCT lang, '|' ORDER BY lang) AS files FROM documents GROUP BY 1, 2""")
-def author_packs(spark, sf_dir):
-    notes = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("nid"), F.col("source").alias("name"), F.substring("text", 1, 50).alias("body"), F.col("lang").alias("file"))
+PACKS = """SELECT doc_id // 100 AS bucket, md5(lower(source)) AS author_key, min_by(substr(text, 1, 50), doc_id) AS body, string_agg(DISTINCT lang, '|' ORDER BY lang) AS files FROM documents GROUP BY 1, 2"""
+
+
+def packs(spark, sf_dir, body):
+    notes = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("nid"), F.col("source").alias("name"), body.alias("body"), F.col("lang").alias("file"))
     return publish.author_packs(notes, 100)
 
 
+@query("author_packs", PACKS)
+def author_packs(spark, sf_dir):
+    return packs(spark, sf_dir, F.substring("text", 1, 50))
+
+
+@query("author_packs_whole", PACKS.replace("substr(text, 1, 50)", "text"))
+def author_packs_whole(spark, sf_dir):
+    """The same with whole bodies."""
+    return packs(spark, sf_dir, F.col("text"))
+
+
 @query("routed_reviews", """WITH e AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS root FROM documents)
 SELECT root AS book_id, count(*) AS n FROM events JOIN e ON e.doc_id = user_id WHERE root % 3 <> 0 GROUP BY 1""")
 def routed_reviews(spark, sf_dir):

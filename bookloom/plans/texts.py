@@ -10,22 +10,44 @@ from bookloom.plans.registry import query, table
 WRAP = "'x [b]' || substr(text, 1, 30) || '[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]' || chr(10) || chr(10) || 'end'"
 
 
-@query("replace_tags", rf"""WITH a AS (SELECT doc_id, ' ' || {WRAP} || ' ' AS t FROM documents),
+TAGS = rf"""WITH a AS (SELECT doc_id, ' ' || {WRAP} || ' ' AS t FROM documents),
  b AS (SELECT doc_id, replace(regexp_replace(regexp_replace(regexp_replace(t, '\n\n+', chr(10), 'g'), '\n', '<br/>', 'g'), '\[(\w)\]', '<\1>', 'g'), '[/b]', '</b>') AS t FROM a),
  c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\[quote\]', '<q>', 'gi'), '\[/quote\]', '</q>', 'gi') AS t FROM b),
  d AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\[img\](.*?)\[/img\]', '<img src="\1"/>', 'g'), '\[(?:URL|url)=(.*?)\](.*?)\[/(?:URL|url)\]', '<a href="\1"/>\2</a>', 'g') AS t FROM c),
  e AS (SELECT doc_id, replace(regexp_replace(t, '\[color=(.*?)\]', '<font color="\1">', 'g'), '[/color]', '</font>') AS t FROM d)
-SELECT doc_id, trim(regexp_replace(regexp_replace(t, '([^"])(https?://\S+?)([\s<])', '\1<a href="\2">\2</a>\3', 'g'), '\s+', ' ', 'g')) AS html FROM e""")
-def replace_tags(spark, sf_dir):
-    text = F.concat(F.lit("x [b]"), F.substring("text", 1, 30), F.lit("[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]\n\nend"))
+SELECT doc_id, trim(regexp_replace(regexp_replace(t, '([^"])(https?://\S+?)([\s<])', '\1<a href="\2">\2</a>\3', 'g'), '\s+', ' ', 'g')) AS html FROM e"""
+
+
+def tagged(spark, sf_dir, text):
+    text = F.concat(F.lit("x [b]"), text, F.lit("[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]\n\nend"))
     return table(spark, sf_dir, "documents").select("doc_id", tx.replace_tags(text).alias("html"))
 
 
-@query("dash_fold", r"""SELECT doc_id, regexp_replace(translate(substr(text, 1, 200) || ' — a -- b ё', '‐‑‒–—―ёЁ', '------еЕ'), ' --? ', ' – ', 'g') AS folded FROM documents""")
+@query("replace_tags", TAGS)
+def replace_tags(spark, sf_dir):
+    return tagged(spark, sf_dir, F.substring("text", 1, 30))
+
+
+@query("replace_tags_whole", TAGS.replace("substr(text, 1, 30)", "text"))
+def replace_tags_whole(spark, sf_dir):
+    """The same over whole texts."""
+    return tagged(spark, sf_dir, F.col("text"))
+
+
+DASHES = r"""SELECT doc_id, regexp_replace(translate(substr(text, 1, 200) || ' — a -- b ё', '‐‑‒–—―ёЁ', '------еЕ'), ' --? ', ' – ', 'g') AS folded FROM documents"""
+
+
+@query("dash_fold", DASHES)
 def dash_fold(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.dash_fold(F.concat(F.substring("text", 1, 200), F.lit(" — a -- b ё"))).alias("folded"))
 
 
+@query("dash_fold_whole", DASHES.replace("substr(text, 1, 200)", "text"))
+def dash_fold_whole(spark, sf_dir):
+    """The same over whole texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", tx.dash_fold(F.concat("text", F.lit(" — a -- b ё"))).alias("folded"))
+
+
 @query("title_words", r"""WITH w AS (SELECT item_id, unnest(string_split_regex(replace(lower(text), 'ё', 'е'), '[^\p{L}\p{N}]+')) AS w FROM benchmark) SELECT item_id, string_agg(DISTINCT w, ' ' ORDER BY w) AS words FROM w WHERE w <> '' GROUP BY 1""")
 def title_words(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(tx.title_tokens(F.col("text")), " ").alias("words"))

@@ -149,3 +149,15 @@ def test_markup_repair(spark):
     book = b'<f xmlns:l="l"><coverpage><image l:href="#c.jpg"/></coverpage><binary id="c.jpg">aGk=</binary><binary id="d">?</binary></f>'
     got = markup.binaries(spark.createDataFrame([(1, book), (2, b"<f"), (3, b"<f/>"), (4, None)], "id long, body binary")).collect()
     assert [(r.id, r.binary_id, r.is_cover, bytes(r.content) if r.content else None, r.error is None) for r in got] == [(1, "c.jpg", True, b"hi", True), (1, "d", False, None, False), (2, None, None, None, False)]
+
+
+def test_whole_texts(spark, tmp_path):
+    from bookloom.plans import catalogue
+
+    text = "word " * 100 + "\n\u2014 x -- y [i]t[/i]\n\nsee http://q.r/s end"
+    spark.createDataFrame([(1, text, "en", "src1")], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {n: catalogue.all_queries()[f"{n}_whole"](spark, str(tmp_path)).first() for n in ("replace_tags", "dash_fold", "contents_by_lang", "author_packs")}
+    assert got["dash_fold"].folded == "word " * 100 + "\n- x \u2013 y [i]t[/i]\n\nsee http://q.r/s end \u2013 a \u2013 b \u0435"
+    assert "<i>t</i>" in got["replace_tags"].html and '<a href="http://q.r/s">http://q.r/s</a> end' in got["replace_tags"].html
+    assert got["contents_by_lang"].line == "src1\t" + " ".join(text.split()) + "\t1"
+    assert got["author_packs"].body == text
