@@ -1,9 +1,9 @@
-"""Benchmark decontamination by spaced seeds, with DataFrame functions alone.
+"""Benchmark decontamination by runs of words, with DataFrame functions alone.
 
-A seed is the hash of the words at a mask's fixed positions; the positions between are ignored, so a seed
-survives substitutions there. Seeds of all document positions meet those of the benchmark items in a join;
-around each hit the aligned words are compared, and a document is contaminated by an item if some window
-of the item that holds the hit agrees well enough.
+A seed is the hash of a run of words, as long as every window that agrees well enough must hold one without a
+substitution. Seeds of all document positions meet those of the benchmark items in a join; where an item and
+a document share as many seeds on one alignment as such a window cannot do without, the aligned words are
+compared, and a document is contaminated by an item if some window of the item agrees well enough.
 """
 
 from __future__ import annotations
@@ -12,10 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bookloom.llm.common import materialise
 
-#: Word positions that a seed reads; both masks span eight words and read five.
-MASKS = ("11010011", "10110101")
-
-
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
@@ -25,42 +21,53 @@ def _hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(array: str, masks: tuple[str, ...]) -> Column:
-    """For each mask a struct (span, seeds): its seed at every position where it fits, in order."""
+def run_and_hits(n: Column, window: int, share: float, exact: int) -> tuple[Column, Column]:
+    """Words of a seed for an item of ``n`` words, and how many seeds a window at the threshold holds at least.
+
+    Of a window's w words e may differ. They cut the w - e equal ones into at most e + 1 runs, so one run has
+    (w - e) / (e + 1) words or more; and each of them spoils at most q of the w - q + 1 seeds of q words.
+    """
+    width = F.least(F.lit(window), n)
+    free = width - F.ceil(width * share)
+    run = F.when(n < exact, n).otherwise(F.ceil((width - free) / (free + 1))).cast("int")
+    return run, F.when(n < exact, F.lit(1)).otherwise(F.greatest(F.lit(1), width - run + 1 - run * free)).cast("int")
+
+
+def _seeds(array: str, runs: list[int]) -> Column:
+    """For each length of run a struct (span, seeds): its seed at every position where it fits, in order."""
 
-    def one(number: int, mask: str) -> Column:
-        last = F.size(array) - len(mask)
-        seed = lambda p: F.xxhash64(F.lit(number), *[F.get(array, p + k) for k, bit in enumerate(mask) if bit == "1"])
-        return F.struct(F.lit(len(mask)).alias("span"), F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), seed)).alias("seeds"))
+    def one(run: int) -> Column:
+        last = F.size(array) - run
+        seed = lambda p: F.xxhash64(F.lit(run), *[F.get(array, p + k) for k in range(run)])
+        return F.struct(F.lit(run).alias("span"), F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), seed)).alias("seeds"))
 
-    return F.array(*[one(i, m) for i, m in enumerate(masks)])
+    return F.array(*map(one, runs))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 24, share: float = 0.75, least: int = 5, masks: tuple[str, ...] = MASKS, broadcast_bytes: int = 8 << 20, broadcast_rows: int = 200_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 24, share: float = 0.75, least: int = 5, exact: int = 8, broadcast_bytes: int = 8 << 20, broadcast_rows: int = 200_000) -> DataFrame:
     """One row per document id and item: key, item, matched, window.
 
     ``matched`` is the largest number of equal aligned words in a window of the item of min(``window``, its
-    words), from the reach of its first seed hit to that of its last; at least ``share`` of them must agree.
-    An item of fewer words than the masks span must occur in full; one of fewer than ``least`` words
-    identifies nothing and is left out, as are null and empty texts. Rows of the same id or item count
-    together (the best window); extra columns are not read. Seeds are broadcast if the benchmark's text
-    takes at most ``broadcast_bytes``, and hits if at most ``broadcast_rows`` documents have any; otherwise
-    Spark joins by shuffle.
+    words), from the reach of its first seed hit to that of its last; at least ``share`` of them must agree,
+    and no window that does is missed. An item of fewer than ``exact`` words must occur in full; one of fewer
+    than ``least`` words identifies nothing and is left out, as are null and empty texts. Rows of the same id
+    or item count together (the best window); extra columns are not read. Seeds are broadcast if the
+    benchmark's text takes at most ``broadcast_bytes``, and hits if at most ``broadcast_rows`` documents have
+    any; otherwise Spark joins by shuffle.
     """
-    items = benchmark.select(F.col(item).alias("item"), _hashes(F.col(item_text)).alias("iw")).where(F.size("iw") >= least)
-    span = max(map(len, masks))
+    run, enough = run_and_hits(F.size("iw"), window, share, exact)
+    items = benchmark.select(F.col(item).alias("item"), _hashes(F.col(item_text)).alias("iw")).where(F.size("iw") >= least).withColumns({"run": run, "enough": enough, "own": F.xxhash64("iw")})
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("n")).first()["n"]
-    short = [r["n"] for r in items.where(F.size("iw") < span).select(F.size("iw").alias("n")).distinct().orderBy("n").collect()]
-    every = (*masks, *("1" * n for n in short))  # an item shorter than the masks is a seed of its own
-    seeds = items.select("item", F.size("iw").alias("n"), "iw", F.inline(_seeds("iw", every))).select("item", "n", "iw", "span", F.posexplode("seeds").alias("ip", "seed"))
-    seeds = seeds.where((F.col("span") >= span) | (F.col("span") == F.col("n"))).dropDuplicates(["item", "ip", "seed"])
+    runs = [r["run"] for r in items.select("run").distinct().orderBy("run").collect()] or [least]  # at most one per width
+    seeds = items.select("item", "own", "iw", "run", "enough", F.inline(_seeds("iw", runs))).where("span = run").select("item", "own", "iw", "span", "enough", F.posexplode("seeds").alias("ip", "seed"))
+    seeds = seeds.dropDuplicates(["item", "own", "ip"])
     hint = F.broadcast if size <= broadcast_bytes else (lambda x: x)
 
     # Only ids, places and hashes leave a document's row here; its words stay behind.
-    probes = docs.select(F.col(key).alias("doc"), _hashes(F.col(text)).alias("dw")).select("doc", F.inline(_seeds("dw", every))).select("doc", F.posexplode("seeds").alias("dp", "seed"))
+    probes = docs.select(F.col(key).alias("doc"), _hashes(F.col(text)).alias("dw")).select("doc", F.inline(_seeds("dw", runs))).select("doc", F.posexplode("seeds").alias("dp", "seed"))
     hits = probes.join(hint(seeds), "seed")
     shift = F.col("dp") - F.col("ip")
-    lined = hits.groupBy("doc", "item", shift.alias("shift")).agg(F.min(F.col("ip") + F.col("span")).alias("first"), F.max("ip").alias("last"), F.first("iw").alias("iw"))
+    lined = hits.groupBy("doc", "item", "own", shift.alias("shift")).agg(F.count(F.lit(1)).alias("hits"), F.first("enough").alias("enough"), F.min(F.col("ip") + F.col("span")).alias("first"), F.max("ip").alias("last"), F.first("iw").alias("iw")).where("hits >= enough")
     width = F.least(F.lit(window), F.size("iw"))
     low = F.greatest(F.lit(0), F.col("first") - width)
     high = F.least(F.size("iw"), F.col("last") + width)  # exclusive

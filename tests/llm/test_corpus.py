@@ -369,6 +369,24 @@ def test_decontamination_finds_every_passage(spark):
     assert want and got == want
 
 
+def test_decontamination_misses_no_pattern(spark):
+    import itertools
+
+    sizes = (8, 9, 12, 15, 16)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (*sizes, 24)}
+    want = [(24, [w if k % 4 < 3 else "sub" for k, w in enumerate(items[24])])]  # every fourth word
+    for n in sizes:
+        for places in itertools.combinations(range(n), n - math.ceil(0.75 * n)):
+            want.append((n, ["sub" if k in places else w for k, w in enumerate(items[n])]))
+    rng = random.Random(4)
+    for _ in range(300):
+        places = rng.sample(range(24), 6)
+        want.append((24, ["sub" if k in places else w for k, w in enumerate(items[24])]))
+    rows = spark.createDataFrame([(n, " ".join(words)) for n, words in items.items()], "item_id long, text string")
+    got = decontamination.contaminated(docs(spark, [" ".join(words) for _, words in want]), rows)
+    assert {(r.doc_id, r.item_id, r.matched, r.window) for r in got.collect()} == {(i, n, math.ceil(0.75 * n), n) for i, (n, _) in enumerate(want)}
+
+
 # --- the pipeline
 
 
