@@ -1,8 +1,7 @@
 """Database dumps of INSERT statements as DataFrames.
 
-A statement ends at a semicolon and a line feed outside a string, so files are split into statements by
-Spark's reader at a separator that no value can hold once line feeds in values are escaped; what the reader
-cannot cut is put together per file. Values are read by one regular expression, not by a SQL parser.
+A statement ends at a semicolon outside a string and the line end after it. Spark's reader cuts files into
+lines, and one task for each file joins them in order, as a stream, until the quotes balance. Values are read by one regular expression, not by a SQL parser.
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 _VALUE = re.compile(r"'((?:[^'\\]|\\.|'')*)'|(NULL)|([^\s,()';]+)|(\))|(;)", re.S | re.I)
 _ESCAPE = re.compile(r"\\(.)|''", re.S)
+_CLOSE = re.compile(r"(?:[^'\\]++|\\.)*+'", re.S)
+_STATEMENT = re.compile(r"(?:'(?:[^'\\]++|\\.)*+'|[^';]++)++", re.S)
 #: Escapes with a meaning of their own.
 _MEANS = {"n": "\n", "r": "\r", "t": "\t", "0": "\0", "Z": "\x1a", "b": "\b"}
 
@@ -46,6 +47,40 @@ def rows_of(text: str) -> Iterator[list[str | None]]:
             row.append(None if m[2] else m[3])
 
 
+def _inside(line: str, inside: bool) -> bool:
+    """Whether a line that begins inside a string (or not) ends inside one."""
+    at = 0
+    while True:
+        if inside:
+            if (m := _CLOSE.match(line, at)) is None:
+                return True
+            at, inside = m.end(), False
+        else:
+            at = line.find("'", at) + 1
+            if not at:
+                return False
+            inside = True
+
+
+def statements(lines: Iterator[tuple[str, str]]) -> Iterator[str]:
+    """Statements of (file, line) in order, lines without their line feed; comment lines outside strings go."""
+    file, inside, held = None, False, []
+    for of, line in lines:
+        if of != file:
+            if held:
+                yield from _STATEMENT.findall("\n".join(held))
+            file, inside, held = of, False, []
+        if not inside and line.startswith(("--", "#")):
+            continue
+        held.append(line)
+        inside = _inside(line, inside)
+        if not inside and line.rstrip().endswith(";"):
+            yield from _STATEMENT.findall("\n".join(held))
+            held = []
+    if held:
+        yield from _STATEMENT.findall("\n".join(held))
+
+
 def read(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
     """Rows of table ``name`` from the INSERT statements under ``path``.
 
@@ -53,15 +88,22 @@ def read(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
     schema has columns. Values that do not fit their type are null.
     """
     fields = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else spark.createDataFrame([], schema).schema
-    lines = spark.read.text(path, lineSep=";\n").where(F.col("value").rlike(rf"(?i)INSERT\s+INTO\s+`?{re.escape(name)}`?[\s(]"))
+    wanted = re.compile(rf"\s*INSERT\s+INTO\s+`?{re.escape(name)}`?[\s(]", re.I)
+    lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    lines = lines.repartition("file").sortWithinPartitions("file", "start", "at").select("file", "value")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for text in batch["value"]:
-                body = re.split(r"(?i)\bVALUES\b", "\n".join(x for x in text.split("\n") if not x.startswith("--")), maxsplit=1)
-                found += [r for r in rows_of(body[-1]) if len(r) == len(fields)] if len(body) == 2 else []
-            yield pd.DataFrame(found, columns=[f.name for f in fields], dtype=object)
+        frame = lambda found: pd.DataFrame(found, columns=[f.name for f in fields], dtype=object)
+        found = []
+        for one in statements(x for b in batches for x in zip(b["file"], b["value"])):
+            body = re.split(r"(?i)\bVALUES\b", one, maxsplit=1) if wanted.match(one) else []
+            for row in rows_of(body[-1]) if len(body) == 2 else ():
+                if len(row) == len(fields):
+                    found.append(row)
+                if len(found) >= 10_000:
+                    yield frame(found)
+                    found = []
+        yield frame(found)
 
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
     return lines.mapInPandas(parse, text).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])

@@ -105,6 +105,19 @@ def test_dump_statements(spark, tmp_path):
     assert got == [(1, "it's", None), (2, "a;b\nc", 2.5), (3, "say \"x\" 'q'", None)]
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_dump_statements_with_raw_line_ends(spark, tmp_path, end):
+    first = ["-- it's a note", "/*!40101 SET x */;", "INSERT INTO t VALUES (1,'a;", "-- b'),", "-- it's between", "(2,'c\\'d;", "','x'),(3,'''e');", "INSERT INTO `t` (a,b) VALUES (4,'f');INSERT INTO t VALUES (5,'g');"]
+    (tmp_path / "a.sql").write_bytes(end.join(first).encode())
+    (tmp_path / "b.sql").write_bytes(end.join(["INSERT INTO t", "VALUES (6,'h'),", "(7,NULL);", ""]).encode())
+    want = [(1, f"a;{end}-- b"), (3, "'e"), (4, "f"), (5, "g"), (6, "h"), (7, None)]  # the row of 2 has three values
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        assert sorted(map(tuple, dump.read(spark, str(tmp_path), "t", "a long, b string").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_image_statistics_round_trip(spark, tmp_path):
     (tmp_path / "in.txt").write_text("#head\na|b|1||1|-1|0|10|20|h\na|b|2|bad|0|2|100|0|20|\nonly|nine|1||1|2|3|4|5\n")
     rows = image_stats.read(spark, str(tmp_path / "in.txt"))
