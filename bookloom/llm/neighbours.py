@@ -92,7 +92,8 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id or
     with another number of components than most rows have. Rows repeating an id count as one. Every usable
     vector is indexed; only the rotation and the centres come from a bounded sample. Lists are cut into
-    blocks of about ``block_rows``, so that no task holds more. An empty table gives no rows.
+    blocks of about ``block_rows``, and so are the queries that probe a list; a task holds one block of each at
+    a time. An empty table gives no rows.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("embedding"), is_query.alias("is_query")).where(F.col("id").isNotNull() & usable(F.col("embedding")))
@@ -127,7 +128,12 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     blocks = held.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))  # at most one row per list
     held = held.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).drop("blocks")
     probing = asked.select("qcid", "embedding").dropDuplicates(["qcid"]).mapInPandas(probe, "qcid long, embedding array<float>, list int")
-    probing = probing.join(F.broadcast(blocks), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    # A list's queries are cut like its vectors; each block of one side meets each block of the other.
+    parts = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
+    cuts = materialise(blocks.join(parts, "list"), "cuts")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = held.join(F.broadcast(cuts.select("list", "parts")), "list").withColumn("part", every("parts")).drop("parts")
+    probing = probing.join(F.broadcast(cuts), "list").withColumn("part", F.pmod(F.xxhash64("qcid"), F.col("parts")).cast("int")).withColumn("block", every("blocks")).drop("blocks", "parts")
 
     def nearest(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         names = ["qcid", "score", "cid", "members"]
@@ -146,7 +152,7 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
                     out.append((qcid, cosine[i], ids[left[i]], members[left[i]]))
         return pd.DataFrame(out, columns=names)
 
-    met = held.groupBy("list", "block").cogroup(probing.groupBy("list", "block")).applyInPandas(nearest, "qcid long, score double, cid long, members array<long>")
+    met = held.groupBy("list", "block", "part").cogroup(probing.groupBy("list", "block", "part")).applyInPandas(nearest, "qcid long, score double, cid long, members array<long>")
     best = met.withColumn("at", F.row_number().over(Window.partitionBy("qcid").orderBy(F.desc("score"), "cid"))).where(F.col("at") <= k + 1)
     flat = best.select("qcid", F.explode(F.transform("members", lambda m: F.struct((-F.col("score")).alias("far"), m.alias("id")))).alias("x"))
     answers = flat.groupBy("qcid").agg(F.array_sort(F.collect_list("x")).alias("found"))  # at most (k + 1)^2 each

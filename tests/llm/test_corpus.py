@@ -254,6 +254,29 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_cut_both_sides(spark, monkeypatch):
+    from pyspark.sql import GroupedData
+
+    sides = []
+    cogroup = GroupedData.cogroup
+
+    def seen(left, right):
+        out = cogroup(left, right)
+        sides.extend(max(r["count"] for r in side.count().collect()) for side in (left, right))
+        return out
+
+    monkeypatch.setattr(type(spark.range(1).groupBy("id")), "cogroup", seen)
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 8)).astype("float32"))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    cut, whole = ({tuple(r) for r in neighbours.search(df, F.col("vec_id") % 2 == 0, share=1.0, block_rows=n).collect()} for n in (40, 10_000))
+    assert len(cut) == 300 * 5 and max(sides[:2]) <= 80 and max(sides[2:]) > 80
+    x = np.array([v for _, v in rows])
+    cosine = x @ x.T / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None, :] - 9 * np.eye(600)
+    exact = {(q, int(v)) for q in range(0, 600, 2) for v in np.argsort(-cosine[q])[:5]}
+    assert all(len(exact & {(q, v) for q, _, v, _ in found}) >= 0.9 * 1500 for found in (cut, whole))
+
+
 # --- toxicity
 
 
