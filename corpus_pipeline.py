@@ -34,9 +34,16 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; of rows repeating that id, all."""
-    groups = jaccard_join.similar_documents(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    return drop_ids(docs, groups.where(F.col("component_id") != F.col("doc_id"))).select(docs.columns)
+    """Of each group of near copies one row stays, that of the smallest id; what has no n-gram stays.
+
+    Rows are told apart by a number of their own, so ids may repeat or be null (null comes after all others).
+    """
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard_join.similar_documents(rows, key="_row", words=NEAR_WORDS, percent=NEAR_PERCENT)
+    members = materialise(groups.select("_row", F.col("component_id").alias("_group")).join(rows.select("_row", "doc_id"), "_row"), "members")
+    kept = members.groupBy("_group").agg(F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    losers = members.join(kept, "_group").where("_row <> _kept")
+    return drop_ids(rows, losers, key="_row").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -431,3 +431,14 @@ def test_pipeline_stages(spark):
     pieces = p.STAGES[-1][1](spark, frame, SF).collect()
     want = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in kept["benchmark"].values())
     assert sum(r.length for r in pieces) == want and {r.doc_id for r in pieces} == set(kept["benchmark"])
+
+
+def test_near_copies_of_repeated_and_null_ids(spark):
+    import corpus_pipeline as p
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (3, b + " more"), (9, a), (5, a), (None, c), (None, c + " x"), (None, None), (7, ""), (7, "")]
+    out = p.without_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(r for r in got if r[0] is not None) == [(3, b + " more"), (5, a), (7, ""), (7, "")]
+    assert len([r for r in got if r[0] is None and r[1]]) == 1 and got.count((None, None)) == 1
