@@ -2,7 +2,8 @@
 
 Blocks of text pass points for their length and commas to the elements around them, the nearer the more;
 an element's points are discounted by its share of link text. The element with most points is the main
-container, and those of its siblings that score or read like it are kept with it.
+container. Text beside it of few links is kept with it, and so is that beside its ancestors as long as most
+of what lies there is of that kind; the score decides only against what is mostly links.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s
 # Roles of HTML elements.
 _RAW = {"script", "style", "title", "textarea", "xmp", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_DROPPED = {"nav", "footer", "aside", "form", "script", "style", "title", "noscript", "template", "iframe", "textarea", "select", "button", "input", "svg", "math", "canvas", "object", "video", "audio", "dialog", "menu", "map", "datalist", "fieldset"}
+_DROPPED = {"nav", "footer", "aside", "form", "script", "style", "title", "noscript", "template", "iframe", "textarea", "select", "button", "input", "svg", "annotation", "annotation-xml", "canvas", "object", "video", "audio", "dialog", "menu", "map", "datalist", "fieldset"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "nobr"}
+_INLINE |= {"math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mstyle", "mpadded", "mphantom", "merror", "menclose", "mfenced", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "mtable", "mtr", "mtd", "maction"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "tbody": {"table"}, "tfoot": {"table"}}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar", "form", "toolbar"}
@@ -184,7 +186,7 @@ def main_text(html: str | None) -> str:
     whole = [x for x in range(n) if tag[x] == "main" and not out[x] and length[x]]
     if value[best] <= 0:
         best = (article or whole or [0])[0]
-    keep = {best}
+    keep, own = {best}, set()  # with all inside; the text right inside only
     y, top = best, None
     while y > 0:
         if tag[y] == "article" or tag[y] == "main" and top is None:
@@ -194,20 +196,35 @@ def main_text(html: str | None) -> str:
         keep = {top}
     elif best > 0:
         least = max(10.0, 0.2 * value[best])
+        kids: dict[int, list[int]] = {}
         for x in range(1, n):
-            if parent[x] == parent[best] and not out[x] and length[x]:
-                density = links[x] / length[x]
-                plain = tag[x] in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre", "ul", "ol", "table", "figure") and density < 0.25
-                if value[x] >= least or plain:
-                    keep.add(x)
+            if not out[x] and length[x]:
+                kids.setdefault(parent[x], []).append(x)
+        y = best
+        while y > 0:
+            up = parent[y]
+            beside = [x for x in kids.get(up, ()) if x != y]
+            plain = [x for x in beside if links[x] < 0.25 * length[x]]
+            keep.update(plain)
+            keep.update(x for x in beside if value[x] >= least)
+            bare = length[up] - length[y] - sum(length[x] for x in beside)
+            if bare and links[up] - links[y] - sum(links[x] for x in beside) < 0.25 * bare:
+                own.add(up)
+            if 2 * sum(length[x] for x in plain) < sum(length[x] for x in beside):
+                break
+            y = up
     kept = [False] * n
     for x in range(n):
         kept[x] = x in keep or x > 0 and kept[parent[x]]
-    menu = {x for x in range(n) if tag[x] in ("ul", "ol") and length[x] and links[x] / length[x] >= 0.8}
+    inner = [False] * n  # the article itself, whose lists of links are its own
+    core = top if top is not None else best
+    for x in range(n):
+        inner[x] = x == core and tag[x] not in ("#", "html", "body") or x > 0 and inner[parent[x]]
+    menu = {x for x in range(n) if tag[x] in ("ul", "ol") and not inner[x] and length[x] and links[x] / length[x] >= 0.8}
     for x in range(1, n):
         if x in menu or parent[x] in menu:
             menu.add(x)
-    return "\n".join(s for y, s, _ in found if kept[y] and y not in menu)
+    return "\n".join(s for y, s, _ in found if (kept[y] or y in own) and y not in menu)
 
 
 def extract(df: DataFrame, html: str = "html") -> DataFrame:

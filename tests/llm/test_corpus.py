@@ -213,6 +213,19 @@ def test_main_text(spark):
     assert [(r.text, r.n_chars) for r in main_text.extract(rows).orderBy("page_id").collect()] == [("", 0), ("", 0), (want, len(want)), (want, len(want)), ("plain", 5)]
 
 
+def test_main_text_without_article():
+    long, closing = "word, " * 5 + "word " * 110 + "end", "One closing sentence of forty characters"
+    menu = "<ul><li><a href=/>Home</a><li><a href=/n>News</a></ul>"
+    assert main_text.main_text(f"<body>{menu}<div><div><p>{long}</p></div><div><p>{closing}</p></div></div>") == f"{long}\n{closing}"
+    assert main_text.main_text(f"<body>{menu}<div><div><div><p>{long}</p></div></div><div>{closing}</div>tail</div>") == f"{long}\n{closing}\ntail"
+    links = "<div><a href=/1>one other page of this site</a> <a href=/2>two</a></div>"
+    assert main_text.main_text(f"<body><div><div><p>{long}</p></div>{links}</div>") == long
+    sources = "<ol><li><a href=/1>Source one</a><li><a href=/2>Source two</a></ol>"
+    for page in (f"<article><p>{long}</p>{sources}</article>", f"<body>{menu}<div><p>{long}</p>{sources}</div>"):
+        assert main_text.main_text(page) == f"{long}\nSource one\nSource two"
+    assert main_text.main_text("<article><p>so <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds</p></article>") == "so a=1 holds"
+
+
 def test_main_text_of_all_pages():
     import re
     from html import unescape
