@@ -13,14 +13,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The folder that all executors share (``spark.checkpoint.dir``).
+
+    Where it is unset a local master gets a temporary one; a cluster has no folder that every machine sees,
+    so there it is an error.
+    """
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='bookloom-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: later jobs survive a lost executor."""
     spark = df.sparkSession
@@ -34,12 +48,13 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def drop_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is not in ``ids``; null equals null.
+def drop_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", broadcast_rows: int = 250_000) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids``; null equals null, extra columns of any name stay.
 
-    The ids are counted first: up to ``broadcast_rows`` (8 MB) they are broadcast, beyond that both sides
-    are shuffled.
+    The ids are counted first: up to ``broadcast_rows`` (some 30 bytes each in a hash table, so 8 MB) they are
+    broadcast, beyond that both sides are shuffled.
     """
-    ids = materialise(ids.select(F.col(key).alias("_id")).distinct(), "ids")
+    own = free_name(df, "dropped")
+    ids = materialise(ids.select(F.col(key).alias(own)).distinct(), "ids")
     small = ids.count() <= broadcast_rows
-    return df.join(F.broadcast(ids) if small else ids, df[key].eqNullSafe(ids["_id"]), "left_anti")
+    return df.join(F.broadcast(ids) if small else ids, df[key].eqNullSafe(ids[own]), "left_anti")
