@@ -1,8 +1,10 @@
 """A pair of Bloom filters over 64-bit hashes: once seen, and seen twice or more.
 
-Each task sends the bit positions it has set, block by block, with those it has set again; blocks are merged
-one by one. The filters have 2^bits bits whatever the input's size: a fuller one only lets more single
-hashes pass. One hash function is used, so a hash that was added twice always passes.
+Each task keeps the blocks of its two filters and sends them once, as bitmaps or, where few bits are set, as
+positions: what it sends is bounded by the filter's size however many hashes it saw. Blocks are merged in
+steps of 64 tasks, so no merge holds more than 64 pairs of blocks. The filters have 2^bits bits whatever the
+input's size: a fuller one only lets more single hashes pass. One hash function is used, so a hash that was
+added twice always passes.
 """
 
 from __future__ import annotations
@@ -11,9 +13,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
-BLOCK_BITS = 20
+from bookloom.llm.common import materialise
+
+BLOCK_BITS, STEP = 20, 64
 
 
 class TwiceSeen:
@@ -36,44 +41,80 @@ def passes(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (table[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
-def build(df: DataFrame, hashes: Callable[[Iterator[pd.DataFrame]], Iterator[np.ndarray]], bits: int, flush: int = 2_000_000) -> TwiceSeen:
+def _bitmap(positions: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros(1 << width, dtype=bool)
+    out[positions] = True
+    return np.packbits(out)
+
+
+def _written(bitmap: np.ndarray, width: int) -> bytes:
+    """A block's bits as positions where that is shorter than the bitmap."""
+    n = int(np.bitwise_count(bitmap).sum())
+    return bitmap.tobytes() if 4 * n >= len(bitmap) else np.flatnonzero(np.unpackbits(bitmap)).astype("<u4").tobytes()
+
+
+def _read(block: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(block, np.uint8) if len(block) == 1 << (width - 3) else _bitmap(np.frombuffer(block, "<u4"), width)
+
+
+class Blocks:
+    """Both filters of one task or of several: block number -> (once, twice) as bitmaps."""
+
+    def __init__(self, width: int):
+        self.width, self.held = width, {}
+
+    def add(self, block: int, once: np.ndarray, twice: np.ndarray) -> None:
+        """Bits of another part: what both have seen once is seen twice."""
+        if block in self.held:
+            a, b = self.held[block]
+            once, twice = a | once, b | twice | (a & once)
+        self.held[block] = once, twice
+
+    def rows(self, part: int) -> pd.DataFrame:
+        keys = sorted(self.held)
+        return pd.DataFrame({"block": keys, "part": part, "once": [_written(self.held[k][0], self.width) for k in keys], "twice": [_written(self.held[k][1], self.width) for k in keys]})
+
+
+def build(df: DataFrame, hashes: Callable[[Iterator[pd.DataFrame]], Iterator[np.ndarray]], bits: int, flush: int = 1_000_000) -> TwiceSeen:
     """The filter of the hashes that ``hashes`` gives for the partitions of ``df``.
 
-    A task holds about ``flush`` hashes at a time. The driver receives 2^bits bits at most.
+    A task holds about ``flush`` hashes at a time and 2^(``bits`` - 2) bytes of bitmaps at most. The driver
+    receives 2^``bits`` bits at most.
     """
     width = min(bits, BLOCK_BITS)
-
-    def blocks(held: list[np.ndarray]) -> pd.DataFrame:
-        once, n = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
-        number = (once >> np.uint64(width)).astype(np.int64)
-        starts = np.flatnonzero(np.diff(number, prepend=-1))
-        rows = []
-        for at, end in zip(starts, [*starts[1:], len(once)]):
-            low = (once[at:end] & np.uint64((1 << width) - 1)).astype("<u4")
-            rows.append((int(number[at]), low.tobytes(), low[n[at:end] > 1].tobytes()))
-        return pd.DataFrame(rows, columns=["block", "once", "twice"])
+    schema = "block long, part long, once binary, twice binary"
 
     def positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = [], 0
+        out, held, n = Blocks(width), [], 0
+
+        def take() -> None:
+            once, many = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
+            number = (once >> np.uint64(width)).astype(np.int64)
+            low = (once & np.uint64((1 << width) - 1)).astype(np.int64)
+            starts = np.flatnonzero(np.diff(number, prepend=-1))
+            for at, end in zip(starts, [*starts[1:], len(once)]):
+                own = low[at:end]
+                out.add(int(number[at]), _bitmap(own, width), _bitmap(own[many[at:end] > 1], width))
+
         for h in hashes(batches):
             held.append(h)
             n += len(h)
             if n >= flush:
-                yield blocks(held)
+                take()
                 held, n = [], 0
         if n:
-            yield blocks(held)
+            take()
+        yield out.rows(TaskContext.get().partitionId())
 
     def merge(parts: pd.DataFrame) -> pd.DataFrame:
-        once, twice = np.zeros(1 << width, dtype=bool), np.zeros(1 << width, dtype=bool)
-        for a, b in zip(parts["once"], parts["twice"]):
-            a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-            twice[a] |= once[a]
-            twice[b] = True
-            once[a] = True
-        if not twice.any():
-            return pd.DataFrame({"block": [], "bits": []})
-        return pd.DataFrame({"block": [int(parts["block"].iloc[0])], "bits": [np.packbits(twice).tobytes()]})
-
-    found = df.mapInPandas(positions, "block long, once binary, twice binary").groupBy("block").applyInPandas(merge, "block long, bits binary").collect()
-    return TwiceSeen({r["block"]: bytes(r["bits"]) for r in found}, bits)
+        out = Blocks(width)
+        for block, a, b in zip(parts["block"], parts["once"], parts["twice"]):
+            out.add(int(block), _read(a, width), _read(b, width))
+        return out.rows(int(parts["part"].iloc[0]) // STEP)
+
+    step = lambda parts: materialise(parts.groupBy("block", F.expr(f"part div {STEP}").alias("next")).applyInPandas(merge, schema), "filter")
+    parts = step(df.mapInPandas(positions, schema))
+    while (parts.agg(F.max("part").alias("n")).first()["n"] or 0) > 0:
+        parts = step(parts)
+    found = parts.select("block", "twice").collect()
+    return TwiceSeen({r["block"]: _read(bytes(r["twice"]), width).tobytes() for r in found if len(r["twice"])}, bits)

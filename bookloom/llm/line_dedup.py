@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from bookloom.llm import bloom
-from bookloom.llm.common import materialise
+from bookloom.llm.common import free_name, materialise
 
 #: White space that a key loses at both ends.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -39,8 +39,8 @@ def _hashes(keys) -> np.ndarray:
 def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = 40, min_docs: int = 5, bits: int = 27) -> tuple[DataFrame, DataFrame]:
     """(suspects: line, id) and (confirmed lines in at least ``min_docs`` documents: line, keep).
 
-    The filter has 2^``bits`` bits (16 MB at 27). ``keep`` is the largest id holding the line. Every row counts as one document, also one that repeats
-    another's id; a null id is below all others.
+    The filter has 2^``bits`` bits (16 MB at 27). ``keep`` is the largest id holding the line. Every row is one
+    document, also one that repeats another's id; a null id is below all others.
     """
     each_line = lambda batches: (_hashes(_keys(words, least)) for batch in batches for words in batch["t"])
     twice = df.sparkSession.sparkContext.broadcast(bloom.build(df.select(F.col(text).alias("t")), each_line, bits))
@@ -72,6 +72,7 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
     confirmed = materialise(confirmed, "lines")
     total = confirmed.agg(F.coalesce(F.sum(F.octet_length("line") + 100), F.lit(0)).alias("n")).first()["n"]
     schema = "kept string, n_lines long, n_dropped long"
+    result, gone_from, gone_lines = (free_name(df, x) for x in ("cut", "lost_id", "lost"))
 
     def apply(texts, is_gone) -> pd.DataFrame:
         out = []
@@ -92,15 +93,15 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
                 yield apply(texts, lambda i, k: k in keep and keep[k] != own[i])
 
         own_id = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)).cast("long"))
-        out = df.withColumn("_r", cut(F.col(text), own_id))
+        out = df.withColumn(result, cut(F.col(text), own_id))
     else:
-        lost = rows.join(confirmed, "line").where(~F.col("id").eqNullSafe(F.col("keep"))).groupBy("id").agg(F.collect_set("line").alias("_lost")).withColumnRenamed("id", "_lost_id")
+        lost = rows.join(confirmed, "line").where(~F.col("id").eqNullSafe(F.col("keep"))).groupBy(F.col("id").alias(gone_from)).agg(F.collect_set("line").alias(gone_lines))
 
         @F.pandas_udf(schema)
         def cut_own(texts: pd.Series, lost: pd.Series) -> pd.DataFrame:
             gone = [set() if x is None else {bytes(y) for y in x} for x in lost]
             return apply(texts, lambda i, k: k in gone[i])
 
-        both = df.join(lost, df[key].cast("long").eqNullSafe(lost["_lost_id"]), "left")
-        out = both.withColumn("_r", cut_own(F.col(text), F.col("_lost"))).drop("_lost", "_lost_id")
-    return out.withColumns({text: F.col("_r.kept"), "n_lines": F.col("_r.n_lines"), "n_dropped": F.col("_r.n_dropped")}).drop("_r")
+        both = df.join(lost, df[key].cast("long").eqNullSafe(lost[gone_from]), "left")
+        out = both.withColumn(result, cut_own(F.col(text), F.col(gone_lines))).drop(gone_lines, gone_from)
+    return out.withColumns({text: F.col(f"{result}.kept"), "n_lines": F.col(f"{result}.n_lines"), "n_dropped": F.col(f"{result}.n_dropped")}).drop(result)

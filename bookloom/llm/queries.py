@@ -53,14 +53,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-OP3_SQL = r"""WITH l AS (
-  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
-k AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
-SELECT doc_id, count(*) AS n_lines, count(CASE WHEN keep <> doc_id THEN 1 END) AS n_dropped,
-  sha256(coalesce(string_agg(CASE WHEN keep IS NULL OR keep = doc_id THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
-FROM l LEFT JOIN k USING (key) GROUP BY doc_id"""
+# Every row is a document, as in the operator: rows are told apart by a number of their own.
+OP3_SQL = r"""WITH d AS (SELECT doc_id, text, row_number() OVER () AS r FROM documents),
+l AS (
+  SELECT r, doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+        FROM (SELECT r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM d))),
+k AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT r) >= 5)
+SELECT l.doc_id, count(*) AS n_lines, count(CASE WHEN k.key IS NOT NULL AND keep IS DISTINCT FROM doc_id THEN 1 END) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN k.key IS NULL OR keep IS NOT DISTINCT FROM doc_id THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM l LEFT JOIN k USING (key) GROUP BY l.r, l.doc_id"""
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
