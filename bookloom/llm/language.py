@@ -17,6 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bookloom.llm.common import free_name
+
 ORDER = 3
 
 
@@ -35,19 +37,20 @@ def _packed(text: bytes) -> np.ndarray:
     return (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs: int = 1500, languages: int = 64) -> Counts:
-    """Counts over a bounded sample of labelled rows: at most about ``max_docs`` whole texts per language.
+def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs: int = 1500, max_bytes: int = 8 << 20) -> Counts:
+    """Counts over a bounded sample of labelled rows: about ``max_docs`` whole texts or ``max_bytes`` per label, whichever is less.
 
-    Rows are chosen by a hash of their text, so the sample is the same on every run. Rows with a null label
-    or text are left out. Labels beyond the ``languages`` most frequent are not learned. What reaches the
-    driver is one row per different 4-byte string and language, bounded by the sample.
+    Rows are chosen by a hash of their text, so the sample is the same on every run; where a label's texts
+    take more than ``max_bytes`` the share taken is smaller. Every label is learned; rows with a null label
+    or text are left out. What reaches the driver is one row per label, and one per different 4-byte string
+    and label, bounded by the sample.
     """
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("lang"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
     if not sizes:
         return Counts((), (), ())
     spark = labelled.sparkSession
-    share = spark.createDataFrame([(k, min(1.0, max_docs / n)) for k, n in sizes.items()], "lang string, share double")
+    share = spark.createDataFrame([(r["lang"], min(1.0, max_docs / r["n"], max_bytes / max(r["bytes"], 1))) for r in sizes], "lang string, share double")
     dice = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
     chosen = rows.join(F.broadcast(share), "lang").where(dice < F.col("share")).select("lang", "text")
 
@@ -63,56 +66,62 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs:
     return Counts(names, tuple(p["gram"].to_numpy(np.uint32) for p in parts), tuple(p["n"].to_numpy(np.float64) for p in parts))
 
 
-def _distribution(keys: np.ndarray, symbols: np.ndarray, counts: np.ndarray, rows: int, size: int, lower: np.ndarray) -> np.ndarray:
-    """Probabilities of every symbol in each of ``rows`` contexts, given those one byte shorter in ``lower``."""
-    c = np.zeros((rows, size))
-    np.add.at(c, (keys, symbols), counts)
-    n, d = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
-    unseen = np.where(c > 0, 0.0, lower)
-    left = unseen.sum(axis=1, keepdims=True)
-    escape = np.where(left > 0, d * unseen / np.maximum(left, 1e-300), 0.0)
-    total = n + np.where(left > 0, d, 0)
-    return np.where(total > 0, (c + escape) / np.maximum(total, 1), lower)
+def _place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted number lies among the sorted keys, and whether it does."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = len(keys) - 1
+    return at, keys[at] == wanted
 
 
-class Model:
-    """Dense code-length tables made from frozen counts; ``bits`` sums them over a text."""
-
-    def __init__(self, counts: Counts, chunk: int = 1 << 20):
-        self.languages, self.chunk = counts.languages, chunk
-        every = np.unique(np.concatenate([*counts.grams, np.zeros(0, np.uint32)]))
-        seen = np.unique(np.concatenate([(every >> s) & 255 for s in (0, 8, 16, 24)])).astype(np.int64)
-        self.letter = np.full(256, len(seen), dtype=np.int64)  # all bytes never seen cost the same: one symbol
-        self.letter[seen] = np.arange(len(seen))
-        self.size = size = len(seen) + 1
-        contexts = np.unique(self._code(every >> 8, 3))
-        self.context = np.full(size**3, -1, dtype=np.int32)
-        self.context[contexts] = np.arange(len(contexts))
-        uniform = np.full(size, 1 / 256)
-        uniform[-1] = max(256 - len(seen), 1) / 256
-        self.base = len(contexts) * size  # where the two-byte contexts begin
-        self.cost = np.empty((self.base + size**3, len(counts.languages)), dtype=np.float32)
-        share = np.ones(size)
-        share[-1] = 1 / max(256 - len(seen), 1)  # the one symbol stands for that many bytes
-        for k, (grams, n) in enumerate(zip(counts.grams, counts.counts)):
-            codes = [self.letter[(grams >> s) & 255] for s in (24, 16, 8, 0)]
-            p0 = _distribution(np.zeros(len(n), np.int64), codes[3], n, 1, size, uniform[None, :])
-            p1 = _distribution(codes[2], codes[3], n, size, size, np.repeat(p0, size, axis=0))
-            p2 = _distribution(codes[1] * size + codes[2], codes[3], n, size * size, size, np.tile(p1, (size, 1)))
-            self.cost[self.base :, k] = -np.log2(p2 * share).reshape(-1)
-            at = self.context[(codes[0] * size + codes[1]) * size + codes[2]]  # rising, as the strings are
-            for first in range(0, len(contexts), 4096):  # in slabs, to keep the peak of memory low
-                last = min(first + 4096, len(contexts))
-                own = (at >= first) & (at < last)
-                p3 = _distribution(at[own] - first, codes[3][own], n[own], last - first, size, p2[contexts[first:last] % (size * size)])
-                self.cost[first * size : last * size, k] = -np.log2(p3 * share).reshape(-1)
-
-    def _code(self, packed: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros(len(packed), np.int64)
-        for k in reversed(range(n)):
-            out = out * self.size + self.letter[(packed >> (8 * k)) & 255]
+class Tree:
+    """One language's contexts, shortest first: code lengths of the bytes seen in each, and of its escape.
+
+    Strings and contexts are sorted numbers looked up by search, 8 bytes each, so a tree takes what its
+    training text holds and nothing for strings that it does not.
+    """
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        keys, chance = np.zeros(0, np.uint64), np.zeros(0)
+        for order in range(ORDER + 1):
+            below, lower = keys, chance
+            keys, own = np.unique(grams.astype(np.uint64) & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            n = np.bincount(own, counts, len(keys))
+            contexts, at = np.unique(keys >> np.uint64(8), return_inverse=True)
+            total, kinds = np.bincount(at, n, len(contexts)), np.bincount(at, minlength=len(contexts))
+            # A string seen here was seen in the shorter context too, so its chance there is in the table.
+            there = lower[_place(below, keys & np.uint64((1 << 8 * order) - 1))[0]] if order else np.full(len(keys), 1 / 256)
+            left = 1 - np.bincount(at, there, len(contexts))  # of the bytes not seen here, in the shorter context
+            escapes = np.where(kinds < 256, kinds, 0)
+            chance = n / (total + escapes)[at]
+            escape = -np.log2(np.where(escapes > 0, escapes / (total + escapes) / np.maximum(left, 1e-300), 1.0))
+            self.levels.append((keys.astype(np.uint32), -np.log2(chance).astype(np.float32), contexts.astype(np.uint32), escape.astype(np.float32)))
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each 4-byte string after the three before it."""
+        out, open_ = np.zeros(len(grams), np.float32), np.arange(len(grams))
+        for order in range(ORDER, -1, -1):
+            keys, cost, contexts, escape = self.levels[order]
+            wanted = grams[open_] & np.uint32((1 << 8 * (order + 1)) - 1)
+            at, seen = _place(keys, wanted)
+            out[open_[seen]] += cost[at[seen]]
+            open_, wanted = open_[~seen], wanted[~seen]
+            at, known = _place(contexts, wanted >> np.uint32(8))
+            out[open_[known]] += escape[at[known]]
+        out[open_] += 8  # never seen at all: one of 256
         return out
 
+
+class Model:
+    """Trees made from frozen counts; ``bits`` sums code lengths over texts."""
+
+    def __init__(self, counts: Counts, chunk: int = 0):
+        self.languages = counts.languages
+        self.chunk = chunk or max(1 << 16, (1 << 22) // max(1, len(counts.languages)))  # a chunk's table takes about 16 MB
+        self.trees = [Tree(*x) for x in zip(counts.grams, counts.counts)]
+
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language, in bits."""
         out = np.zeros((len(texts), len(self.languages)))
@@ -129,20 +138,19 @@ class Model:
         return out
 
     def _add(self, out: np.ndarray, group: list[tuple[int, bytes]]) -> None:
-        """Adds the code lengths of byte runs, each led by the three bytes before it."""
+        """Adds the code lengths of byte runs, each led by the three bytes before it; a string is looked up once."""
         if not group:
             return
-        s = self.letter[np.frombuffer(b"".join(x for _, x in group), dtype=np.uint8)]
-        pair = s[1:-2] * self.size + s[2:-1]
-        at = self.context[s[:-3] * (self.size * self.size) + pair]
-        row = np.where(at >= 0, at.astype(np.int64) * self.size, self.base + pair * self.size) + s[3:]
-        starts = np.cumsum([0] + [len(x) for _, x in group])
-        keep = np.ones(len(s) - 3, dtype=bool)
-        for b in starts[1:-1]:
+        lengths = np.array([len(x) for _, x in group])
+        grams = _packed(b"".join(x for _, x in group))[ORDER:]
+        keep = np.ones(len(grams), dtype=bool)
+        for b in np.cumsum(lengths)[:-1]:
             keep[b - ORDER : b] = False
-        row = row[keep]
-        lengths = np.array([len(x) - ORDER for _, x in group])
-        sums = np.add.reduceat(self.cost[row], np.concatenate([[0], np.cumsum(lengths)[:-1]]), axis=0, dtype=np.float64)
+        grams = grams[keep]
+        different = np.unique(grams)
+        cost = np.stack([tree.bits(different) for tree in self.trees], axis=1)
+        starts = np.concatenate([[0], np.cumsum(lengths - ORDER)[:-1]])
+        sums = np.add.reduceat(cost[np.searchsorted(different, grams)], starts, axis=0, dtype=np.float64)
         np.add.at(out, [i for i, _ in group], sums)
 
 
@@ -152,7 +160,9 @@ def identify(df: DataFrame, counts: Counts, text: str = "text", unknown: str = "
     The language with the shortest code wins, ties going to the first by name; the score is the winner's
     share of exp2(-excess bits per byte * 8), so it is 0.5 between two languages that code equally well and
     does not saturate with length. ``unknown`` with score 0 where the text is null or empty or has no
-    letter, or nothing was learned. Repeated rows get equal results; columns of the same names are replaced.
+    letter, or nothing was learned. Repeated rows get equal results; columns of the same names are replaced,
+    all others stay. A later filter on the results would have Spark evaluate the model twice: filter by
+    ``letters`` before instead, which rejects the same rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(counts)
     kept: dict[str, Model] = {}
@@ -171,11 +181,13 @@ def identify(df: DataFrame, counts: Counts, text: str = "text", unknown: str = "
             weight = np.exp2(-8 * (bits / n[:, None] - rate[:, None]))
             yield pd.DataFrame({"lang_pred": [model.languages[i] for i in best], "score": 1 / weight.sum(axis=1), "bits_per_byte": rate})
 
-    known = F.lit(bool(counts.languages)) & F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    out = df.withColumn("_p", predict(F.col(text)) if counts.languages else F.lit(None).cast("struct<lang_pred:string,score:double,bits_per_byte:double>"))
-    pick = lambda c, other: F.when(known, F.col(f"_p.{c}")).otherwise(other)
-    return out.withColumns({"lang_pred": pick("lang_pred", F.lit(unknown)), "score": pick("score", F.lit(0.0)), "bits_per_byte": pick("bits_per_byte", F.lit(None))}).drop("_p")
+    known = F.lit(bool(counts.languages)) & letters(F.col(text))
+    held = free_name(df, "prediction")
+    out = df.withColumn(held, predict(F.col(text)) if counts.languages else F.lit(None).cast("struct<lang_pred:string,score:double,bits_per_byte:double>"))
+    pick = lambda c, other: F.when(known, F.col(f"{held}.{c}")).otherwise(other)
+    return out.withColumns({"lang_pred": pick("lang_pred", F.lit(unknown)), "score": pick("score", F.lit(0.0)), "bits_per_byte": pick("bits_per_byte", F.lit(None))}).drop(held)
 
 
 def letters(text: Column) -> Column:
+    """Whether a text has a letter at all; false for null."""
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
