@@ -20,10 +20,15 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (no letter, empty or null text); ``lang`` becomes the predicted one.
 
-    Learned from the rows that the held-out fold leaves, as the operator's own query does.
+    Learned from the rows that the held-out fold leaves, as the operator's own query does; where those hold no
+    label nothing can be recognised and every document goes. Rows are judged each for itself, so repeated and
+    null ids stay as they are; null labels teach nothing, other columns of any name stay, an empty table stays
+    empty. The rejected rows are left out before the model runs, which would run twice under a filter.
     """
     counts = language.fit(docs.where(id_remainder(F.col("doc_id"), 3) != 1))
-    out = language.identify(docs, counts).where(F.col("lang_pred") != "und")
+    if not counts.languages:
+        return docs.where(F.lit(False))
+    out = language.identify(docs.where(language.letters(F.col("text"))), counts)
     return out.withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 
