@@ -279,15 +279,48 @@ def test_main_text_without_article():
     assert main_text.main_text("<article><p>so <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds</p></article>") == "so a=1 holds"
 
 
+def test_furniture_inside_an_article():
+    long = "word, " * 5 + "word " * 110 + "end"
+    kept = [("<section id='related-work'><p>", "Related work in prose"), ("<section><p class='form-of-address'>", "Dear reader"), ("<section><p id=share-of-voters>", "The share of voters"), ("<section class='notice'><p>", "A notice in the text")]
+    gone = ["<div class='ad-slot-3'>", "<div class='x comment-thread'>", "<div id=related_posts>", "<div class=shareButtons>", "<aside>", "<div role=navigation>", "<div class='newsletter'>", "<div hidden>"]
+    for outside, wrap in (("<article>", "</article>"), ("<div class=content>", "</div>")):
+        page = f"<body><div class='sidebar'><p>{long}</p></div>{outside}<p>{long}</p>" + "".join(f"{tag}{words}</p></section>" for tag, words in kept)
+        page += "".join(f"{tag}<p>furniture, of some length, with commas, {k}</p></{'aside' if tag == '<aside>' else 'div'}>" for k, tag in enumerate(gone)) + f"<ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul>{wrap}<footer>f</footer>"
+        assert main_text.main_text(page).split("\n") == [long, *[w for _, w in kept], "One", "Two"]
+
+
+def test_the_score_chooses_between_articles():
+    long = "A sentence, with commas, of some length that goes on. " * 6
+    teasers = "".join(f"<article><h2><a href=/{k}>Teaser {k}</a></h2><p>Short teaser text number {k} of the page</p></article>" for k in range(5))
+    assert main_text.main_text(f"<body>{teasers}<article><h1>H</h1><div><div><p>{long}</p></div></div><p>tail</p></article>{teasers}") == f"H\n{long.strip()}\ntail"
+
+
+def test_main_text_takes_linear_time():
+    import time
+
+    def seconds(page):
+        began = time.perf_counter()
+        main_text.main_text(page)
+        return time.perf_counter() - began
+
+    for unit in ("<div>", "<b>", "<b><p>x", "<li><div>", "<ul><li>", "<table><tr><td>", "</div>", "<a \"", "<![CDATA[", "<p>a<i>b"):
+        page = unit * (500_000 // len(unit))
+        assert seconds(page) < 20 and seconds(page + "</b></div></p>" * 20_000 + "<!-- >") < 20, unit
+
+
 def test_main_text_of_all_pages():
+    """Against the text cut out of the mark-up; with the article's own tags taken away the score alone has to find it."""
     import re
     from html import unescape
 
     for (html,) in duckdb.connect().sql(f"select html from '{SF}/pages.parquet'").fetchall():
         body = html[html.index("<article>") + 9 :].split("</article>")[0]
         parts = re.split(r"</?(?:p|h1)\b[^>]*>", body)
-        want = [" ".join(unescape(re.sub(r"</?b>", "", p.replace("<br>", " "))).split()) for p in parts]
-        assert main_text.main_text(html) == "\n".join(filter(None, want))
+        want = "\n".join(filter(None, [" ".join(unescape(re.sub(r"</?b>", "", p.replace("<br>", " "))).split()) for p in parts]))
+        bare = html.replace("<article>", "<div>").replace("</article>", "</div>")
+        boxed = bare.replace("<body>", "<body><div class=page><div>").replace("<footer>", "</div></div><footer>")
+        for page in (html, bare, html.replace("<article>", "").replace("</article>", ""), boxed):
+            assert main_text.main_text(page) == want
 
 
 # --- neighbours
