@@ -139,7 +139,7 @@ def _summary(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
                 rows.append((doc, len(s), _digest(s) if len(s) else None, _ranges(s).astype("<u4").tobytes() if len(s) else None, _parity(s)))
                 held.append(s)
                 count += len(s)
-                if count >= 4_000_000:
+                if count >= 500_000:
                     add()
             out = pd.DataFrame(rows, columns=["id", "n", "cls", "ranges", "parity"])
             yield out.assign(id=batch["k"].array, block=pd.array([None] * len(rows), dtype="Int32"), counts=None)
@@ -288,11 +288,12 @@ def _sets(df: DataFrame, key: str, text: str, n: int, needed: DataFrame, few: bo
     return rows.select("c", "cls", "t").mapInPandas(run, "c long, grams binary")
 
 
-def _meet(left: DataFrame, right: DataFrame, unlike: Column, percent: int) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, unlike: Column, percent: int, on: tuple[str, ...] = ("h",)) -> DataFrame:
     """Candidates (c, other, far) of two tables of postings x and y: those of one list that the filters allow."""
     far = _apart("x.p", "y.p")
     may = _reach(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent) & _near(far, F.col("x.n"), F.col("y.n"), percent)
-    met = left.alias("x").join(right.alias("y"), (F.col("x.h") == F.col("y.h")) & unlike & may)
+    same = reduce(lambda x, y: x & y, [F.col(f"x.{k}") == F.col(f"y.{k}") for k in on])
+    met = left.alias("x").join(right.alias("y"), same & unlike & may)
     return met.select(F.col("x.c").alias("c"), F.col("y.c").alias("other"), far.alias("far")).dropDuplicates(["c", "other"])
 
 
@@ -313,19 +314,37 @@ def _component(df: DataFrame, column: str, labels: DataFrame | None, name: str)
     return joined.withColumn(name, F.coalesce(name, column))
 
 
-def _long_lists(postings: DataFrame, labels: DataFrame | None, turn: int, last: bool, pivots: int, percent: int) -> DataFrame:
-    """Candidates (c, other, far) from long lists, between components only."""
-    own = _component(postings, "c", labels, "comp")
+def _merged(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Components after more links: the links are taken between components, so only what changes is worked on."""
+    if labels is None:
+        return components(found)
+    between = _component(_component(found, "a", labels, "ca"), "b", labels, "cb").where(F.col("ca") != F.col("cb"))
+    step = components(between, "ca", "cb")
+    moved = labels.join(step.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return materialise(moved.unionByName(step.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")
+
+
+def _long_lists(postings: DataFrame, labels: DataFrame | None, turn: int, last: bool, pivots: int, percent: int, part_rows: int) -> DataFrame:
+    """Candidates (c, other, far) from long lists, between components only.
+
+    A list is cut into parts of about ``part_rows`` members; what they have to meet (the list's pivots, or in the
+    last round the members outside its largest component) is sent to each part, so no task gets a whole list.
+    """
+    parts = F.ceil(F.col("many") / part_rows).cast("int")
+    everywhere = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    own = _component(postings, "c", labels, "comp").withColumn("part", F.pmod(F.xxhash64("c"), parts).cast("int"))
     if last:  # members outside a list's largest component against all others
-        sizes = own.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("h", F.col("top.comp").alias("top"))
-        left, right = own.join(sizes, "h").where(F.col("comp") != F.col("top")).drop("top"), own
-    else:  # all members against the list's pivots
+        sizes = own.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size"), F.first("many").alias("many")).groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"), F.first("many").alias("many")).where("comps > 1")
+        tops = everywhere(sizes.select("h", "many", F.col("top.comp").alias("top"))).drop("many")
+        left, right = everywhere(own.join(tops, ["h", "part"]).where(F.col("comp") != F.col("top")).drop("top", "part")), own
+    else:  # all members against the list's pivots, chosen among about four times as many
         order = Window.partitionBy("h").orderBy(F.xxhash64("c", F.lit(turn)), "c")
-        left, right = own, own.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots).drop("at")
-    return _meet(left, right, F.col("x.comp") != F.col("y.comp"), percent)
+        some = own.where(F.pmod(F.xxhash64("c", F.lit(turn)), F.col("many")) < 4 * pivots)
+        left, right = own, everywhere(some.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots).drop("at", "part"))
+    return _meet(left, right, F.col("x.comp") != F.col("y.comp"), percent, ("h", "part"))
 
 
-def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90, pivots: int = 8, rounds: int = 3, bits: int = 27, broadcast_rows: int = 500_000) -> DataFrame:
+def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90, pivots: int = 8, rounds: int = 3, bits: int = 27, broadcast_rows: int = 250_000, part_rows: int = 1024) -> DataFrame:
     """One row per input row: key, n_shingles, component_id.
 
     Two documents link when 100 * |A and B| >= ``percent`` * |A or B| of their sets of distinct word
@@ -334,7 +353,8 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     blank text has an empty set and links with nothing. Rows that repeat an id are rows of their own; a
     null id never is a component's smallest unless all are null. Extra columns are not read; an empty
     table gives no rows. ``bits``: size of the filter in front of the postings (16 MB at 27). Lists of more
-    than twice ``pivots`` members are long. Ids of classes are broadcast up to ``broadcast_rows`` (40 bytes each).
+    than twice ``pivots`` members are long, and are cut into parts of about ``part_rows``. Ids of classes are
+    broadcast up to ``broadcast_rows`` (60 bytes each, so 15 MB).
     """
     spark = df.sparkSession
     summary = materialise(_summary(df, key, text, words), "summary")
@@ -348,19 +368,20 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     parity = classes.select("cls", "c", "n", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
     shared = materialise(every.join(common, "h").join(parity, "cls").drop("cls"), "postings")
 
-    short, long = (shared.where(x).drop("many") for x in (F.col("many") <= 2 * pivots, F.col("many") > 2 * pivots))
+    short, long = shared.where(F.col("many") <= 2 * pivots).drop("many"), shared.where(F.col("many") > 2 * pivots)
     met = materialise(_ordered(_meet(short, short, F.col("x.c") < F.col("y.c"), percent)).select("a", "b", "far"), "met")
     waiting = materialise(_suffix(met, classes, percent, broadcast_rows), "waiting")
     any_long = long.limit(1).count() > 0
 
-    tested = links = labels = None
-    for turn in range(rounds + 1):
-        last = turn == rounds
+    tested = labels = None
+    turn, last = -1, False
+    while not last:
+        turn, last = turn + 1, last or turn + 1 >= rounds
         pairs = waiting.select("a", "b")
         if not last:
             pairs = _likeliest(waiting.select("*", F.inline(F.array(F.struct(F.col("a").alias("c"), F.col("b").alias("other")), F.struct(F.col("b").alias("c"), F.col("a").alias("other"))))))
         if any_long:
-            more = _ordered(_long_lists(long, labels, turn, last, pivots, percent))
+            more = _ordered(_long_lists(long, labels, turn, last, pivots, percent, part_rows))
             more = more if tested is None else more.join(tested, ["a", "b"], "left_anti")
             more = materialise(more.select("a", "b").dropDuplicates() if last else _likeliest(more), "met")
             pairs = pairs.unionByName(_suffix(more, classes, percent, broadcast_rows)).dropDuplicates()
@@ -368,14 +389,16 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
         ids = materialise(_ends(pairs), "ends")
         n = ids.count()
         if not n:
+            rounds = turn + 1  # nothing is left to try but, in long lists, what the last round does
             continue
         needed = _of(classes.select("c", "cls", "rep"), ids, n <= broadcast_rows, "inner")
         sets = materialise(_sets(df, key, text, words, needed, n <= broadcast_rows), "sets")
         found = materialise(_verified(pairs, sets, percent), "found")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
+            labels = _merged(labels, found)
+        else:
+            rounds = turn + 1  # rounds are there to contract links
         if not last:  # what still lies between components
             left = _component(_component(waiting.join(pairs, ["a", "b"], "left_anti"), "a", labels, "ca"), "b", labels, "cb")
             waiting = materialise(left.where(F.col("ca") != F.col("cb")).select("a", "b", "far"), "waiting")

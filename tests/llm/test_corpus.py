@@ -443,8 +443,8 @@ def test_jaccard_join_against_brute_force(spark, words, percent):
     texts += [" ".join(hot)] * 30
     rng.shuffle(texts)
     want = brute_groups(texts, words, percent)
-    for pivots in (1, 8):
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_documents(docs(spark, texts), words=words, percent=percent, pivots=pivots, rounds=2).collect()}
+    for pivots, part_rows in ((1, 7), (8, 1024)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_documents(docs(spark, texts), words=words, percent=percent, pivots=pivots, rounds=2, part_rows=part_rows).collect()}
         assert [got[i] for i in range(len(texts))] == want
 
 
