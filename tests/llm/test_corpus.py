@@ -366,7 +366,7 @@ def test_neighbours_cut_both_sides(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 8)).astype("float32"))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    cut, whole = ({tuple(r) for r in neighbours.search(df, F.col("vec_id") % 2 == 0, share=1.0, block_rows=n).collect()} for n in (40, 10_000))
+    cut, whole = ({tuple(r) for r in neighbours.search(df, F.col("vec_id") % 2 == 0, recall=1.0, block_rows=n).collect()} for n in (40, 10_000))
     assert len(cut) == 300 * 5 and max(sides[:2]) <= 80 and max(sides[2:]) > 80
     x = np.array([v for _, v in rows])
     cosine = x @ x.T / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None, :] - 9 * np.eye(600)
@@ -374,6 +374,37 @@ def test_neighbours_cut_both_sides(spark, monkeypatch):
     assert all(len(exact & {(q, v) for q, _, v, _ in found}) >= 0.9 * 1500 for found in (cut, whole))
 
 
+def test_neighbours_of_doubles_and_small_lists(spark):
+    """Vectors that differ beyond a float's precision stay different; every query gets k answers where there are as many."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal(4)
+    vectors = [(base + 1e-12 * k * rng.standard_normal(4)).tolist() for k in range(30)] + rng.standard_normal((30, 4)).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = neighbours.search(df, F.col("vec_id") % 10 == 0, recall=0.01).collect()
+    assert {r.query_id for r in got} == {0, 10, 20, 30, 40, 50} and len(got) == 30
+    x = np.array(vectors)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    assert all(abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-14 for r in got)
+
+
+def test_neighbours_recall_on_the_table(spark):
+    """Recall of the query against brute force over all 2,000 vectors of sf0.1."""
+    path = "/root/testdata/sf0.1"
+    ids, rows = zip(*sorted(duckdb.sql(f"select vec_id, embedding from '{path}/embeddings.parquet'").fetchall()))
+    x, ids = np.array(rows, dtype=np.float64), np.array(ids)
+    norm = np.linalg.norm(x, axis=1)
+    got = collections.defaultdict(set)
+    for r in queries.op5_neighbours(spark, path).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        cosine = x @ x[q] / norm / norm[q]
+        cosine[q] = -9
+        want = {int(ids[v]) for v in np.lexsort((ids, -cosine))[:5]}
+        hits, total = hits + len(want & got[int(ids[q])]), total + 5
+    assert hits >= 0.9 * total
+
+
 # --- toxicity
 
 
