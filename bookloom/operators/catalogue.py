@@ -41,11 +41,13 @@ def author_lists(links: DataFrame, names: DataFrame, illustrator: str | None = N
     label = F.when(F.col("m.author_id").isNull(), part("n")).otherwise(part("m"))
     shown = own.join(master, F.col("n.master_id") == F.col("m.author_id"), "left").select(F.col("n.author_id").alias("author_id"), F.col("n.nick").alias("nick"), label.alias("label"))
     rows = links.join(shown, "author_id")
-    if illustrator is not None:
-        rows = rows.withColumn("writes", F.coalesce(F.col("nick") != illustrator, F.lit(False)))
-        books = rows.groupBy("book_id").agg(F.max("writes").alias("has_writer"))
-        rows = rows.join(books, "book_id").where("writes or not has_writer")
-    return joined_list(rows, "label", "pos", "authors")
+    if illustrator is None:
+        return joined_list(rows, "label", "pos", "authors")
+    # One aggregate per book: whether it has a writer is known only with all its names at hand.
+    writes = F.coalesce(F.col("nick") != illustrator, F.lit(False))
+    named = rows.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("pos", writes.alias("writes"), "label"))).alias("x"), F.max(writes).alias("written"))
+    kept = F.filter("x", lambda n: (n["writes"] | ~F.col("written")) & n["label"].isNotNull())
+    return named.select("book_id", kept.alias("x")).where(F.size("x") > 0).select("book_id", F.concat(F.array_join(F.col("x.label"), ":"), F.lit(":")).alias("authors"))
 
 
 def catalogue(books: DataFrame, rates: DataFrame, authors: DataFrame, genres: DataFrame, series: DataFrame) -> DataFrame:

@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def text_ids(docs: DataFrame, key: str, text: str, top: int) -> DataFrame:
-    """key, text_id: md5 of the ``top`` most frequent words with their counts, most frequent first, then by word."""
-    words = docs.select(key, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}]+")).alias("word")).where("word <> ''")
-    counts = words.groupBy(key, "word").count()
-    order = Window.partitionBy(key).orderBy(F.desc("count"), "word")
-    best = counts.withColumn("at", F.row_number().over(order)).where(F.col("at") <= top)
-    joined = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "count", "word"))).alias("x"))
-    return joined.select(key, F.md5(F.array_join(F.transform("x", lambda w: F.concat_ws(" ", w["count"].cast("string"), w["word"])), ",").cast("binary")).alias("text_id"))
+def histogram(text: Column) -> Column:
+    """Words of a text with their counts, array of (n, word), most frequent first, then by word.
+
+    Counted inside the row: the words are sorted, and a run's length is the distance to the next run's start.
+    """
+    words = F.array_sort(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), ""))
+
+    def counted(ws: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(ws) - 1), lambda i: (i == 0) | (F.get(ws, i) != F.get(ws, i - 1)))
+        runs = F.transform(F.array(starts), lambda at: F.transform(at, lambda s, k: F.struct((s - F.coalesce(F.get(at, k + 1), F.size(ws))).alias("less"), F.get(ws, s).alias("word"))))
+        return F.when(F.size(ws) > 0, F.array_sort(F.get(runs, F.lit(0))))
+
+    found = F.get(F.transform(F.array(words), counted), F.lit(0))
+    return F.transform(found, lambda x: F.struct((-x["less"]).alias("n"), x["word"].alias("word")))
+
+
+def text_ids(docs: DataFrame, key: str, text: str, top: int | None = None) -> DataFrame:
+    """key, text_id: md5 of the words with their counts, most frequent first; of the ``top`` first ones if given.
+
+    A text without words has none. One map, no shuffle.
+    """
+    found = docs.select(key, histogram(F.col(text)).alias("x")).where("x is not null")
+    kept = F.col("x") if top is None else F.slice("x", 1, top)
+    return found.select(key, F.md5(F.array_join(F.transform(kept, lambda w: F.concat_ws(" ", w["n"].cast("string"), w["word"])), ",").cast("binary")).alias("text_id"))
 
 
 def last_at_depth(rows: DataFrame, doc: str, order: str, depth: str, wanted: int) -> DataFrame:

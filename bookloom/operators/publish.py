@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bookloom.functions import text as tx
+from bookloom.sources.shared import stored
 
 #: The fields of an index line, in order, and the character after each.
 FIELDS = ("author", "genre", "title", "series", "serno", "file", "size", "libid", "del", "ext", "date", "insno", "lang", "librate", "keywords", "year", "sourcelib")
@@ -27,7 +28,8 @@ def series_of_book(rows: DataFrame, key: str, most: int | None) -> DataFrame:
     """key, series: array of (title, number, level) published for each book.
 
     Titles are folded; of equal titles the one of smallest type, then largest level stays; the blank title
-    goes if there is another; order is by level, then title; the first ``most`` are kept, none if it is 0.
+    goes if there is another; order is by level, then title; the first ``most`` are kept, one blank series if that
+    is 0 or less.
     """
     named = rows.withColumn("title", tx.dash_fold(F.coalesce("title", F.lit(""))))
     first = Window.partitionBy(key, "title").orderBy("type", F.desc("level"), "number")
@@ -36,12 +38,27 @@ def series_of_book(rows: DataFrame, key: str, most: int | None) -> DataFrame:
     out = one.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("s"))
     named_only = F.filter("s", lambda x: x["title"] != "")
     kept = F.when(F.size(named_only) > 0, named_only).otherwise(F.col("s"))
-    return out.select(key, (F.slice(kept, 1, most) if most else kept if most is None else F.slice(kept, 1, 0)).alias("series"))
+    blank = F.transform(F.slice("s", 1, 1), lambda x: F.struct(F.lit(None).cast("double").alias("level"), F.lit("").alias("title"), F.lit(None).cast("long").alias("number")))
+    if most is not None and most <= 0:
+        return out.select(key, blank.alias("series"))
+    return out.select(key, (kept if most is None else F.slice(kept, 1, most)).alias("series"))
 
 
 def contents(rows: DataFrame, group: str, keys: list[Column], line: Column, name: str = "line") -> DataFrame:
-    """group, place, line: lines numbered within their group in the order of ``keys``."""
-    return rows.select(F.col(group), F.row_number().over(Window.partitionBy(group).orderBy(*keys)).cast("long").alias("place"), line.alias(name))
+    """group, place, line: lines numbered within their group in the order of ``keys``.
+
+    Rows are dealt by ranges of group and keys and sorted inside a range; a row's place is its place there and
+    the number of its group's rows in the ranges before. So one group may hold most of the rows.
+    """
+    names = [f"key{i}" for i in range(len(keys))]
+    keyed = rows.select(F.col(group).alias("group"), *[k.alias(n) for k, n in zip(keys, names)], line.alias("line"))
+    dealt = stored(keyed.repartitionByRange("group", *names).withColumn("part", F.spark_partition_id()))
+    sizes = dealt.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"))  # a row per group and range
+    before = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("group").alias("of"), F.col("part").alias("in"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = F.row_number().over(Window.partitionBy("group", "part").orderBy(*names))
+    placed = dealt.withColumn("own", own).join(offsets, F.col("group").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in")))
+    return placed.select(F.col("group").alias(group), (F.col("own") + F.col("offset")).alias("place"), F.col("line").alias(name))
 
 
 def months(times: DataFrame, column: str) -> DataFrame:

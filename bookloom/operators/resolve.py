@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from bookloom.sources.shared import stored
 
 
 def cascade(rows: DataFrame, candidates: list[tuple[DataFrame, Column, str]], value: str) -> DataFrame:
@@ -27,21 +30,25 @@ def exact_groups(docs: DataFrame, key: str, digest: Column) -> DataFrame:
 
 
 def chain_edges(docs: DataFrame, key: str, digest: Column) -> DataFrame:
-    """Each duplicate and the one before it with the same content: dup, origin."""
-    before = Window.partitionBy("digest").orderBy(key)
-    return docs.select(F.col(key), digest.alias("digest")).withColumn("origin", F.lag(key).over(before)).where("origin is not null").select(F.col(key).alias("dup"), "origin")
+    """Each duplicate and the first row with the same content: dup, origin.
+
+    The first row is a plain minimum per content, so a content that a third of all rows have is aggregated
+    before it is shuffled and its rows never meet in one sort.
+    """
+    first = exact_groups(docs, key, digest).select("digest", F.col("first_id").alias("origin"))
+    return docs.select(F.col(key).alias("dup"), digest.alias("digest")).join(first, "digest").where("dup <> origin").select("dup", "origin")
 
 
-def roots(edges: DataFrame, checkpoint=lambda df: df, most_rounds: int = 40) -> DataFrame:
+def roots(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """dup, root: every duplicate's last origin, by pointer jumping: a chain of n links takes log2(n) rounds.
 
     The first edge of a duplicate (smallest origin) counts. Duplicates on a cycle have no root and are left
-    out. ``checkpoint`` cuts the lineage after a round.
+    out. Every round is written to the shared folder, so a round's plan is one join whatever came before.
     """
-    at = checkpoint(edges.groupBy("dup").agg(F.min("origin").alias("root")))
+    at = stored(edges.groupBy("dup").agg(F.min("origin").alias("root")))
     for _ in range(most_rounds):
         far = at.select(F.col("dup").alias("root"), F.col("root").alias("far"))
-        step = checkpoint(at.join(far, "root", "left").select("dup", "root", F.coalesce("far", "root").alias("new")))
+        step = stored(at.join(far, "root", "left").select("dup", "root", F.coalesce("far", "root").alias("new")))
         moved = step.where("new <> root").limit(1).count()
         at = step.select("dup", F.col("new").alias("root"))
         if not moved:
@@ -60,31 +67,26 @@ def merge_into_roots(books: DataFrame, at: DataFrame) -> DataFrame:
     return merged.select(F.col("root").alias("book_id"), "rate_sum", "rate_count", "deleted", F.flatten(F.col("s.series")).alias("series"))
 
 
-def hamming_pairs(rows: DataFrame, block: str, key: str, bits: str, most: int) -> DataFrame:
+def hamming_pairs(rows: DataFrame, block: str, key: str, bits: str, most: int, bands: int = 0) -> DataFrame:
     """Pairs of one block at a distance of at most ``most``: left_id, right_id, distance.
 
-    Beyond the block, 64 bits are cut into ``most`` + 1 bands (up to 16); two hashes at that distance agree
-    in one of them, so only rows that share a band meet and none of the pairs is lost.
+    64 bits are cut into ``bands`` bands (``most`` + 1, at most 16): in one of them two such hashes differ in at
+    most ``most`` div ``bands`` bits, so one side is entered under its band's value and the other under all
+    values so near to it, and none of the pairs is lost. A pair is given in the first band where it meets.
     """
-    bands = min(most + 1, 16) if most < 16 else 1
-    width = 64 // bands
-    band = lambda i: F.shiftrightunsigned(F.col(bits), i * width).bitwiseAND(F.lit((1 << (width if i < bands - 1 else 64 - i * width)) - 1 if bands > 1 else 0))
-    cut = rows.select(F.col(block).alias("block"), F.col(key).alias("id"), F.col(bits).alias("bits"), F.explode(F.array(*[F.struct(F.lit(i).alias("band"), band(i).alias("part")) for i in range(bands)])).alias("b")).select("block", "id", "bits", "b.band", "b.part")
-    a, b = cut.alias("a"), cut.alias("b")
-    far = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
-    on = (F.col("a.block") == F.col("b.block")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.id") < F.col("b.id")) & (far <= most)
-    return a.join(b, on).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), far.alias("distance")).distinct()
-
-
-def compare_images(left: int, right: int, left_cover: bool, right_cover: bool) -> str:
-    """Which book's images hold the other's, after equal ones are taken away from both counts."""
-    if left and right:
-        return "varied"
-    if left or right:
-        return "outer" if left else "inner"
-    if left_cover != right_cover:
-        return "outer" if left_cover else "inner"
-    return "equal"
+    bands = bands or min(most + 1, 16)
+    slack, edges = most // bands, [64 * i // bands for i in range(bands + 1)]
+    part = lambda x, i: F.shiftrightunsigned(x, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
+    near = lambda i: [sum(1 << b for b in flips) for n in range(slack + 1) for flips in combinations(range(edges[i + 1] - edges[i]), n)]
+    base = rows.select(F.col(block).alias("block"), F.col(key).alias("id"), F.col(bits).alias("bits"))
+    own = base.withColumn("b", F.explode(F.array(*[F.struct(F.lit(i).alias("band"), part(F.col("bits"), i).alias("part")) for i in range(bands)])))
+    probes = F.array(*[F.struct(F.lit(i).alias("band"), part(F.col("bits"), i).bitwiseXOR(F.lit(m).cast("long")).alias("part")) for i in range(bands) for m in near(i)])
+    a, b = own.select("block", "id", "bits", "b.*").alias("a"), base.withColumn("b", F.explode(probes)).select("block", "id", "bits", "b.*").alias("b")
+    apart = F.col("a.bits").bitwiseXOR(F.col("b.bits"))
+    far = F.bit_count(apart)
+    first = reduce(lambda rest, i: F.when(F.bit_count(part(apart, i)) <= slack, i).otherwise(rest), reversed(range(bands)), F.lit(bands))
+    on = (F.col("a.block") == F.col("b.block")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.id") < F.col("b.id")) & (far <= most) & (first == F.col("a.band"))
+    return a.join(b, on).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), far.alias("distance"))
 
 
 def decide(files: DataFrame, block: str = "text_id", order: str = "order_no") -> DataFrame:
@@ -92,7 +94,8 @@ def decide(files: DataFrame, block: str = "text_id", order: str = "order_no") ->
 
     ``files``: id, ``block``, ``order``, n_images, deleted. Of a block the file with most images stays, then
     one that is not deleted, then the one with the larger order, then the larger id; the others are its
-    duplicates. This is what the pairwise comparison of sub-sets comes to where image sets are nested.
+    duplicates. This is what the pairwise comparison of sub-sets comes to where image sets are nested; where they
+    may cross, ``images.store_fold`` compares the sets themselves.
     """
     best = F.max_by("id", F.struct("n_images", ~F.col("deleted"), order, "id")).alias("origin")
     kept = files.groupBy(block).agg(best)

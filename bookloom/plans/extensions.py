@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from bookloom.plans.registry import query, table
 from bookloom.sources import dump, image_stats
+from bookloom.sources.shared import folder
 from bookloom.streaming import incremental
 
 
-def scratch(spark) -> str:
-    """A new folder that all executors share."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or f"file://{tempfile.gettempdir()}/bookloom"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 @query("image_stats_load", """SELECT event_type AS archive, count(*) AS n, CAST(sum(CASE WHEN event_id % 5 <> 0 THEN event_id END) AS BIGINT) AS size FROM events WHERE event_id % 7 <> 0 GROUP BY 1""")
 def image_stats_load(spark, sf_dir):
     """Statistics lines written, with comments and short lines among them, and loaded again."""
-    at = scratch(spark)
+    at = folder(spark)
     c = F.col
     line = F.concat_ws("|", "event_type", c("event_id").cast("string"), F.lit("1"), F.lit(""), F.lit("0"), F.lit("2"), F.when(c("event_id") % 5 == 0, "0").otherwise(c("event_id").cast("string")), F.lit("10"), F.lit("20"), F.lit("h"))
     line = F.when(c("event_id") % 7 == 0, F.when(c("event_id") % 2 == 0, F.concat(F.lit("#"), line)).otherwise(F.lit("too|few|fields"))).otherwise(line)
@@ -32,7 +24,7 @@ def image_stats_load(spark, sf_dir):
 @query("dump_roundtrip", "SELECT c_custkey, c_name || ' it''s \"a\"; (b), c' || chr(10) || 'd\\' AS name, c_acctbal FROM customer")
 def dump_roundtrip(spark, sf_dir):
     """Rows written as INSERT statements with escapes and read back."""
-    at = scratch(spark)
+    at = folder(spark)
     name = F.concat("c_name", F.lit(" it's \"a\"; (b), c\nd\\"))
     table(spark, sf_dir, "customer").select(dump.statement("people", F.col("c_custkey"), name, F.col("c_acctbal")).alias("value")).write.text(at)
     return dump.read(spark, at, "people", "c_custkey long, name string, c_acctbal double")

@@ -45,25 +45,25 @@ def series_topk(spark, sf_dir):
 
 
 CONTENTS = r"""SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY CASE WHEN source = 'src0' THEN '￿' ELSE source END, doc_id) AS place,
- concat_ws(chr(9), source, substr(regexp_replace(text, '\s+', ' ', 'g'), 1, 40), CAST(doc_id AS VARCHAR)) AS line FROM documents"""
+ concat_ws(chr(9), source, regexp_replace(text, '\s+', ' ', 'g'), CAST(doc_id AS VARCHAR)) AS line FROM documents"""
 
 
-def contents(spark, sf_dir, most=None):
+def contents(spark, sf_dir):
     text = F.regexp_replace("text", r"\s+", " ")
     author = tx.sort_text(F.when(F.col("source") != "src0", F.col("source")))
-    line = F.concat_ws("\t", "source", text if most is None else F.substring(text, 1, most), F.col("doc_id").cast("string"))
+    line = F.concat_ws("\t", "source", text, F.col("doc_id").cast("string"))
     return publish.contents(table(spark, sf_dir, "documents"), "lang", [author, F.col("doc_id")], line)
 
 
 @query("contents_by_lang", CONTENTS)
 def contents_by_lang(spark, sf_dir):
     """Contents of each language, sorted by author, those without one last."""
-    return contents(spark, sf_dir, 40)
+    return contents(spark, sf_dir)
 
 
-@query("contents_by_lang_whole", CONTENTS.replace(r"substr(regexp_replace(text, '\s+', ' ', 'g'), 1, 40)", r"regexp_replace(text, '\s+', ' ', 'g')"))
+@query("contents_by_lang_whole", CONTENTS)
 def contents_by_lang_whole(spark, sf_dir):
-    """The same with whole texts."""
+    """The same under its other name."""
     return contents(spark, sf_dir)
 
 
@@ -92,7 +92,7 @@ def rating_sums(spark, sf_dir):
     return sums.where(F.col("rate_sum") > 2.22e-16)
 
 
-PACKS = """SELECT doc_id // 100 AS bucket, md5(lower(source)) AS author_key, min_by(substr(text, 1, 50), doc_id) AS body, string_agg(DISTINCT lang, '|' ORDER BY lang) AS files FROM documents GROUP BY 1, 2"""
+PACKS = """SELECT doc_id // 100 AS bucket, md5(lower(source)) AS author_key, min_by(text, doc_id) AS body, string_agg(DISTINCT lang, '|' ORDER BY lang) AS files FROM documents GROUP BY 1, 2"""
 
 
 def packs(spark, sf_dir, body):
@@ -102,12 +102,12 @@ def packs(spark, sf_dir, body):
 
 @query("author_packs", PACKS)
 def author_packs(spark, sf_dir):
-    return packs(spark, sf_dir, F.substring("text", 1, 50))
+    return packs(spark, sf_dir, F.col("text"))
 
 
-@query("author_packs_whole", PACKS.replace("substr(text, 1, 50)", "text"))
+@query("author_packs_whole", PACKS)
 def author_packs_whole(spark, sf_dir):
-    """The same with whole bodies."""
+    """The same under its other name."""
     return packs(spark, sf_dir, F.col("text"))
 
 
@@ -152,14 +152,16 @@ def faq_paths(spark, sf_dir):
     return rows.select("n_nationkey", F.concat_ws("/", F.col("n_regionkey").cast("string"), F.col("row").cast("string")).alias("path"))
 
 
-@query("json_export", """SELECT o_custkey, count(*) AS n, max(o_orderkey) AS last_book FROM orders GROUP BY 1""")
+@query("json_export", """SELECT o_custkey, count(*) AS n, max(o_orderkey) AS last_book, '[' || string_agg('{"book":' || o_orderkey || ',"title":"' || o_orderpriority || '"}', ',' ORDER BY o_orderkey) || ']' AS json FROM orders GROUP BY 1""")
 def json_export(spark, sf_dir):
-    """Rows as one JSON array per reader, read back."""
-    made = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.collect_list(F.struct(F.col("o_orderkey").alias("book")))).alias("json"))
-    back = F.from_json("json", "array<struct<book:long>>")
-    return made.select("o_custkey", F.size(back).cast("long").alias("n"), F.array_max(F.transform(back, lambda x: x["book"])).alias("last_book"))
+    """Rows as one JSON array per reader, and read back from it."""
+    entry = F.struct(F.col("o_orderkey").alias("book"), F.col("o_orderpriority").alias("title"))
+    made = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("json"))
+    back = F.from_json("json", "array<struct<book:long,title:string>>")
+    return made.select("o_custkey", F.size(back).cast("long").alias("n"), F.array_max(F.transform(back, lambda x: x["book"])).alias("last_book"), "json")
 
 
-@query("series_published", """SELECT count(*) AS n, count(DISTINCT p_brand) AS brands FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber = 1""")
+@query("series_published", """SELECT p_brand AS series, count(*) AS n, count(DISTINCT l_orderkey) AS books FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber = 1 GROUP BY 1""")
 def series_published(spark, sf_dir):
-    return series_links(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("series").alias("brands"))
+    """Each published series with its links and books."""
+    return series_links(spark, sf_dir).groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("book_id").alias("books"))

@@ -51,9 +51,27 @@ SELECT a.vec_id AS left_id, b.vec_id AS right_id, CAST(list_sum(list_transform(l
 FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_sum(list_transform(list_zip(a.b, b.b), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) <= 24""")
 def hamming_pairs(spark, sf_dir):
     """Sign bits of vectors as 64-bit perceptual hashes, compared inside a label."""
+    return resolve.hamming_pairs(sign_bits(table(spark, sf_dir, "embeddings")), "label", "vec_id", "bits", 24).withColumn("distance", F.col("distance").cast("long"))
+
+
+def sign_bits(vectors):
+    """vec_id, label, bits: the signs of 64 components."""
     bits = F.aggregate(F.transform("embedding", lambda x: F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")), F.lit(0).cast("long"), lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(b))
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", bits.alias("bits"))
-    return resolve.hamming_pairs(rows, "label", "vec_id", "bits", 24).withColumn("distance", F.col("distance").cast("long"))
+    return vectors.select("vec_id", "label", bits.alias("bits"))
+
+
+NEIGHBOURS = "WITH e AS (SELECT vec_id, label, embedding FROM embeddings UNION ALL SELECT vec_id + 1000000, label, list_concat(list_transform(embedding[1:vec_id % 14], lambda x: -x), embedding[vec_id % 14 + 1:64]) FROM embeddings)"
+
+
+@query("hamming_block_match", f"""{NEIGHBOURS}, h AS (SELECT vec_id, label, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b FROM e)
+SELECT a.vec_id AS left_id, b.vec_id AS right_id, CAST(list_sum(list_transform(list_zip(a.b, b.b), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) AS BIGINT) AS distance
+FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_sum(list_transform(list_zip(a.b, b.b), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) <= 10""")
+def hamming_block_match(spark, sf_dir):
+    """Hashes within ten bits inside a label, eleven bands of them; each vector has a copy with some signs turned."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    turned = F.concat(F.transform(F.slice("embedding", F.lit(1), (F.col("vec_id") % 14).cast("int")), lambda x: -x), F.slice("embedding", (F.col("vec_id") % 14 + 1).cast("int"), F.lit(64)))
+    both = rows.unionByName(rows.select((F.col("vec_id") + 1000000).alias("vec_id"), "label", turned.alias("embedding")))
+    return resolve.hamming_pairs(sign_bits(both), "label", "vec_id", "bits", 10).withColumn("distance", F.col("distance").cast("long"))
 
 
 @query("dedup_decisions", """WITH f AS (SELECT d.doc_id AS id, md5(text) AS text_id, n_chars % 7 AS n_images, coalesce(toxic, 1) = 1 AS deleted FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
@@ -66,10 +84,28 @@ def dedup_decisions(spark, sf_dir):
 
 @query("word_histogram", r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS word FROM documents),
  c AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rn FROM c)
-SELECT doc_id, md5(string_agg(n || ' ' || word, ',' ORDER BY rn)) AS text_id FROM r WHERE rn <= 10 GROUP BY 1""")
+SELECT doc_id, md5(string_agg(n || ' ' || word, ',' ORDER BY rn)) AS text_id FROM r GROUP BY 1""")
 def word_histogram(spark, sf_dir):
-    """Text id: md5 of the ten most frequent words with their counts."""
-    return compilation.text_ids(table(spark, sf_dir, "documents"), "doc_id", "text", 10)
+    """Text id: md5 of all words with their counts, most frequent first."""
+    return compilation.text_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("histogram_top_words", r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS word FROM documents),
+ c AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rn FROM c)
+SELECT doc_id, string_agg(word || ' ' || n, ',' ORDER BY rn) AS words FROM r WHERE rn <= 3 GROUP BY 1""")
+def histogram_top_words(spark, sf_dir):
+    """The three most frequent words of each document."""
+    found = table(spark, sf_dir, "documents").select("doc_id", F.slice(compilation.histogram(F.col("text")), 1, 3).alias("x")).where("x is not null")
+    return found.select("doc_id", F.array_join(F.transform("x", lambda w: F.concat_ws(" ", w["word"], w["n"].cast("string"))), ",").alias("words"))
+
+
+@query("word_hash", r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS word FROM documents),
+ c AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2), t AS (SELECT doc_id, md5(string_agg(n || ' ' || word, ',' ORDER BY n DESC, word)) AS text_id FROM c GROUP BY 1)
+SELECT text_id, min(doc_id) AS first_id, count(*) AS n FROM t GROUP BY 1 HAVING count(*) > 1""")
+def word_hash(spark, sf_dir):
+    """Documents of the same words, whatever their order: the blocks that image sets are compared in."""
+    ids = compilation.text_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return ids.groupBy("text_id").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @query("section_tree", """SELECT conv_id, turn, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent
@@ -90,16 +126,17 @@ def section_parents(spark, sf_dir):
     return compilation.parents(rows, "doc", "ord", "depth", 3).select("doc", "ord", "parent")
 
 
-@query("compilations", r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ord FROM documents),
- s AS (SELECT doc_id, md5(line) AS id, min(ord) AS ord FROM l WHERE length(line) >= 100 GROUP BY 1, 2), b AS (SELECT item_id, md5(line) AS id FROM (SELECT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark) GROUP BY 1, 2),
- f AS (SELECT s.doc_id, s.id, s.ord, b.item_id, dense_rank() OVER (PARTITION BY s.doc_id ORDER BY s.ord) - 1 AS part FROM s JOIN b USING (id)),
+@query("compilations", r"""WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ord FROM documents),
+ s AS (SELECT doc_id, md5(line) AS id, min(ord) AS ord FROM l WHERE length(line) >= 20 GROUP BY 1, 2), b AS (SELECT min(doc_id) AS book, md5(line) AS id FROM l WHERE source = 'src0' AND length(line) >= 20 GROUP BY 2),
+ f AS (SELECT s.doc_id, s.id, s.ord, b.book, dense_rank() OVER (PARTITION BY s.doc_id ORDER BY s.ord) - 1 AS part FROM s JOIN b ON b.id = s.id),
  t AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1)
-SELECT f.doc_id, string_agg(part || ':' || item_id, ',' ORDER BY part, item_id) AS found, count(DISTINCT f.id) AS parts, count(DISTINCT f.id) = max(t.n) AS covered FROM f JOIN t USING (doc_id) GROUP BY 1""")
+SELECT f.doc_id, string_agg(part || ':' || book, ',' ORDER BY part, book) AS found, count(DISTINCT f.id) AS parts, count(DISTINCT f.id) = max(t.n) AS covered FROM f JOIN t USING (doc_id) GROUP BY 1 HAVING count(DISTINCT f.id) > 1""")
 def compilations(spark, sf_dir):
-    """Lines as sections: which benchmark items' lines a document holds, and whether they are all it holds."""
-    lines = lambda d, k: d.select(k, F.posexplode(F.split("text", "\n"))).select(k, F.md5(F.col("col").cast("binary")).alias("section"), (F.col("pos") + 1).alias("ord"), F.char_length("col").alias("size"))
-    out = compilation.compilations(lines(table(spark, sf_dir, "documents"), "doc_id"), lines(table(spark, sf_dir, "benchmark"), "item_id"), "doc_id", "item_id", 100, 1)
-    return out
+    """Lines as sections: documents that hold more than one section of published books, and whether that is all they hold."""
+    docs = table(spark, sf_dir, "documents")
+    lines = docs.select("doc_id", "source", F.posexplode(F.split("text", "\n"))).select("doc_id", "source", F.md5(F.col("col").cast("binary")).alias("section"), (F.col("pos") + 1).alias("ord"), F.char_length("col").alias("size"))
+    books = lines.where("source = 'src0' and size >= 20").groupBy("section").agg(F.min("doc_id").alias("book"))
+    return compilation.compilations(lines, books, "doc_id", "book", 20)
 
 
 @query("title_overlap", r"""WITH t AS (SELECT item_id AS id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: length(x) >= 5) AS w FROM benchmark)

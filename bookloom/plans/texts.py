@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bookloom.functions import text as tx
 from bookloom.plans.registry import query, table
 
-WRAP = "'x [b]' || substr(text, 1, 30) || '[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]' || chr(10) || chr(10) || 'end'"
+WRAP = "'x [b]' || text || '[/b] [QUOTE]q[/quote] [url=http://a.b/c]link[/url] see http://x.y/z now [color=red]r[/color] [img]p.png[/img]' || chr(10) || chr(10) || 'end'"
 
 
 TAGS = rf"""WITH a AS (SELECT doc_id, ' ' || {WRAP} || ' ' AS t FROM documents),
@@ -25,26 +25,26 @@ def tagged(spark, sf_dir, text):
 
 @query("replace_tags", TAGS)
 def replace_tags(spark, sf_dir):
-    return tagged(spark, sf_dir, F.substring("text", 1, 30))
+    return tagged(spark, sf_dir, F.col("text"))
 
 
-@query("replace_tags_whole", TAGS.replace("substr(text, 1, 30)", "text"))
+@query("replace_tags_whole", TAGS)
 def replace_tags_whole(spark, sf_dir):
-    """The same over whole texts."""
+    """The same under its other name."""
     return tagged(spark, sf_dir, F.col("text"))
 
 
-DASHES = r"""SELECT doc_id, regexp_replace(translate(substr(text, 1, 200) || ' — a -- b ё', '‐‑‒–—―ёЁ', '------еЕ'), ' --? ', ' – ', 'g') AS folded FROM documents"""
+DASHES = r"""SELECT doc_id, regexp_replace(translate(text || ' — a -- b ё', '‐‑‒–—―ёЁ', '------еЕ'), ' --? ', ' – ', 'g') AS folded FROM documents"""
 
 
 @query("dash_fold", DASHES)
 def dash_fold(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.dash_fold(F.concat(F.substring("text", 1, 200), F.lit(" — a -- b ё"))).alias("folded"))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.dash_fold(F.concat("text", F.lit(" — a -- b ё"))).alias("folded"))
 
 
-@query("dash_fold_whole", DASHES.replace("substr(text, 1, 200)", "text"))
+@query("dash_fold_whole", DASHES)
 def dash_fold_whole(spark, sf_dir):
-    """The same over whole texts."""
+    """The same under its other name."""
     return table(spark, sf_dir, "documents").select("doc_id", tx.dash_fold(F.concat("text", F.lit(" — a -- b ё"))).alias("folded"))
 
 
@@ -82,9 +82,11 @@ def template_fill(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", tx.fill(F.lit("%1 of %2 (%1)"), F.col("n_name"), F.col("n_regionkey").cast("string")).alias("line"))
 
 
-@query("unescape_twice", "SELECT page_id, length(replace(replace(replace(replace(replace(html, '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', '''')) AS n FROM pages")
+@query("unescape_twice", r"""SELECT page_id, md5(replace(replace(replace(replace(replace(html || ' &amp;lt;b&amp;gt; &QUOT;', '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&QUOT;', '"'), '&apos;', '''')) AS digest FROM pages""")
 def unescape_twice(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.char_length(tx.unescape_twice(F.col("html"))).cast("long").alias("n"))
+    """Pages whose entities lose one level of escaping, by digest."""
+    twice = F.concat("html", F.lit(" &amp;lt;b&amp;gt; &QUOT;"))
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(tx.unescape_twice(twice).cast("binary")).alias("digest"))
 
 
 @query("image_best_version", """SELECT name, max_by(vec_id, (size, vec_id)) AS vec_id, max(size) AS size FROM (SELECT vec_id, label AS name, CAST(floor(abs(embedding[1]) * 1000) AS BIGINT) AS size FROM embeddings) GROUP BY 1""")
@@ -116,16 +118,24 @@ def line_count_votes(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy("role").agg(F.countDistinct(lines).alias("kinds"), F.bool_or(F.col("text") == "").alias("any_empty"), F.bool_and(F.char_length("text") > 3).alias("all_long"))
 
 
-@query("repair_tail", """SELECT page_id, CASE WHEN strpos(html, '</article>') > 0 THEN strpos(html, '</article>') + 9 ELSE length(html) END AS n FROM pages""")
+@query("repair_tail", """SELECT page_id, md5(CASE WHEN page_id % 3 = 0 THEN substr(html, 1, strpos(html, '</article>') + 9) WHEN page_id % 3 = 1 THEN split_part(html, '</article>', 1) || '</body></article>' ELSE split_part(html, '</article>', 1) || '</article>' END) AS digest FROM pages WHERE strpos(html, '</article>') > 0""")
 def repair_tail(spark, sf_dir):
-    """Pages cut after the end tag of their article."""
+    """Pages cut after the end tag of their article; of some it is lost, and a body's end or a binary's beginning tells where to cut."""
     from bookloom.sources import markup
 
-    return table(spark, sf_dir, "pages").select("page_id", F.char_length(markup.repair_tail(F.col("html"), "article")).cast("long").alias("n"))
+    pages = table(spark, sf_dir, "pages").where(F.contains("html", F.lit("</article>")))
+    head = F.substring_index("html", "</article>", 1)
+    broken = F.when(F.col("page_id") % 3 == 0, F.col("html")).when(F.col("page_id") % 3 == 1, F.concat(head, F.lit("</body>torn off"))).otherwise(F.concat(head, F.lit("<binary id='1'>torn off")))
+    return pages.select("page_id", F.md5(markup.repair_tail(broken, "article").cast("binary")).alias("digest"))
 
 
-@query("encoding_vote", "SELECT 'utf-8' AS encoding, count(*) AS n FROM documents")
+@query("encoding_vote", """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'utf-8' WHEN 1 THEN 'utf-16le' WHEN 2 THEN 'koi8-r' ELSE 'cp1251' END AS encoding FROM documents""")
 def encoding_vote(spark, sf_dir):
+    """Bodies in four encodings: valid UTF-8, one with a byte order mark, one that declares itself, and Cyrillic letters that only the vote can tell."""
     from bookloom.sources import markup
 
-    return table(spark, sf_dir, "documents").groupBy(markup.encoding(F.col("text").cast("binary")).alias("encoding")).agg(F.count(F.lit(1)).alias("n"))
+    text, kind = F.coalesce("text", F.lit("")), F.col("doc_id") % 4
+    letters = F.regexp_replace(F.translate(F.lower(text), "abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувщхыз"), r"[^а-я ]", "")
+    single = F.array_join(F.transform(F.split(letters, ""), lambda c: F.when(c == " ", "20").when(c == "", "").otherwise(F.hex((F.ascii(c) - 848).cast("long")))), "")  # as bytes of cp1251
+    body = F.when(kind == 1, F.concat(F.unhex(F.lit("FFFE")), F.encode(text, "UTF-16LE"))).when(kind == 2, F.concat(F.lit('<?xml version="1.0" encoding="KOI8-R"?>').cast("binary"), text.cast("binary"))).when(kind == 3, F.unhex(F.concat(single, F.lit("E0E1E2")))).otherwise(text.cast("binary"))
+    return table(spark, sf_dir, "documents").select("doc_id", markup.encoding(body).alias("encoding"))
