@@ -33,6 +33,14 @@ def unescape_role(role: Column) -> Column:
     return F.array_join(F.transform(parts, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
+def by_conversation(log: DataFrame) -> DataFrame:
+    """The log dealt by conversation: all steps after it group by the conversation and find their rows together.
+
+    This is the one shuffle of a log; without it the steps by turn and those by conversation shuffle each.
+    """
+    return log.repartition("conv_id")
+
+
 def fold_events(log: DataFrame) -> DataFrame:
     """Final messages (conv_id, turn, role, text) of a log (conv_id, turn, seq, kind, role, text).
 
@@ -88,7 +96,7 @@ def render(messages: DataFrame, loss_role: str = "assistant", chunk: int = 256)
 
 
 def format_log(log: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """Folds a log and renders it; see ``fold_events`` and ``render``."""
+    """Folds a log (of ``by_conversation``) and renders it; see ``fold_events`` and ``render``."""
     return render(fold_events(log), loss_role)
 
 

@@ -72,62 +72,78 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
     def matrix(rows):
         found = [np.searchsorted(codes, r[np.isin(r, codes)]) for r in rows]
-        return np.concatenate([*found, np.zeros(0, np.int64)]), np.repeat(np.arange(len(rows)), [len(f) for f in found])
+        return np.concatenate([*found, np.zeros(0, np.int64)]), np.repeat(np.arange(len(rows)), [len(f) for f in found]), len(rows)
 
-    (pc, pr), (uc, ur) = matrix(positive), matrix(unlabelled)
-    w, b = np.zeros(d), float(np.log(prior / (1 - prior)))
+    p, u = matrix(positive), matrix(unlabelled)
+    at = np.append(np.zeros(d), np.log(prior / (1 - prior)))
     m1, m2 = np.zeros(d + 1), np.zeros(d + 1)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    soft = lambda z: np.logaddexp(0, z)
     for step in range(1, steps + 1):
-        zp = b + np.bincount(pr, w[pc], len(positive))
-        zu = b + np.bincount(ur, w[uc], len(unlabelled))
-        negative = soft(zu).mean() - prior * soft(zp).mean()
-        up, uu = prior * sigmoid(zp) / len(positive), sigmoid(zu) / len(unlabelled)  # of the loss as negatives
-        if negative >= 0:
-            gp, gu = -prior * sigmoid(-zp) / len(positive) - up, uu
-        else:
-            gp, gu = up, -uu
-        g = np.append(np.bincount(pc, gp[pr], d) + np.bincount(uc, gu[ur], d) + decay * w, gp.sum() + gu.sum())
+        _, g = risk(at, p, u, prior)
+        g[:-1] += decay * at[:-1]
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
-        move = rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
-        w, b = w - move[:-1], b - float(move[-1])
-    return Classifier(codes, w, b)
+        at = at - rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
+    return Classifier(codes, at[:-1], float(at[-1]))
+
+
+def risk(at: np.ndarray, positive: tuple, unlabelled: tuple, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk at (weights, bias), and the direction whose opposite a step takes.
+
+    Examples: (places of words, row of each place, number of rows). Where the part of the risk that stands for
+    negative examples is below zero, the direction is that of its negative: the step takes it up again.
+    """
+    w, b = at[:-1], at[-1]
+    (pc, pr, np_), (uc, ur, nu) = positive, unlabelled
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    soft = lambda z: np.logaddexp(0, z)
+    zp, zu = b + np.bincount(pr, w[pc], np_), b + np.bincount(ur, w[uc], nu)
+    negative = soft(zu).mean() - prior * soft(zp).mean()
+    up, uu = prior * sigmoid(zp) / np_, sigmoid(zu) / nu  # of the loss as negatives
+    gp, gu = (-prior * sigmoid(-zp) / np_ - up, uu) if negative >= 0 else (up, -uu)
+    g = np.append(np.bincount(pc, gp[pr], len(w)) + np.bincount(uc, gu[ur], len(w)), gp.sum() + gu.sum())
+    return prior * soft(-zp).mean() + max(0.0, negative), g
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_positive: int = 3000, max_unlabelled: int = 12000, prior: float | None = None) -> Classifier:
-    """Trains on at most ``max_positive`` labelled-toxic and ``max_unlabelled`` other texts.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_positive: int = 3000, max_unlabelled: int = 12000, max_bytes: int = 96 << 20, prior: float | None = None) -> Classifier:
+    """Trains on at most ``max_positive`` different labelled-toxic and ``max_unlabelled`` other texts of ``max_bytes`` in all.
 
-    Both samples are chosen by a hash of the id and bounded by these parameters; equal texts count once.
-    ``prior``: share of toxic texts; by default that among the labelled rows. An id labelled more than once
-    is toxic if any of its labels says so; null labels are unlabelled.
+    Both samples are chosen by a hash and bounded by these parameters, so neither copies of a text nor rows
+    that share an id fill them; equal texts count once. ``prior``: share of toxic texts; by default that among
+    the labelled rows. An id labelled more than once is toxic if any of its labels says so; null labels are
+    unlabelled, as are null texts without words.
     """
+    spark = docs.sparkSession
     mark = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("y"))
     known = mark.agg(F.avg(F.col("y").cast("double")).alias("p")).first()["p"]
     prior = min(0.9, max(0.001, prior if prior is not None else (known or 0.0)))
-    order = F.xxhash64(F.col("id"), F.lit(8))
-    positive = mark.where("y = 1").select("id", F.lit(1).alias("y")).orderBy(order).limit(max_positive)
-    others = docs.select(F.col(key).alias("id")).orderBy(order).limit(max_unlabelled).select("id", F.lit(0).alias("y"))
-    chosen = others.unionByName(positive).groupBy("id").agg(F.max("y").alias("y"), F.min("y").alias("least"))
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    marked = mark.where("y = 1").select("id").orderBy(F.xxhash64("id", F.lit(8))).limit(max_positive)
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(F.lit(8), F.col(text)).alias("d"), F.octet_length(text).alias("bytes"))
+    different = lambda df, n: df.groupBy("d").agg(F.first("bytes").alias("bytes")).orderBy("d").limit(n).collect()
+    chosen: dict[int, list[int]] = {}
+    for y, found in ((1, different(texts.join(F.broadcast(marked), "id"), max_positive)), (0, different(texts, max_unlabelled))):
+        total = 0
+        for r in found:
+            total += r["bytes"] or 0
+            if total <= max_bytes // (5 if y else 2):  # the codes of words take twice a text's bytes at most
+                chosen.setdefault(r["d"], []).append(y)
+    picked = spark.createDataFrame([(d, int(1 in ys), int(0 in ys)) for d, ys in chosen.items()], "d long, toxic int, other int")
+    rows = texts.join(F.broadcast(picked), "d").groupBy("d").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"), F.first("other").alias("other"))
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
             found = [np.array(sorted(word_codes(t, words)), dtype="<i8").tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"y": batch["y"], "least": batch["least"], "digest": [zlib.crc32(f) for f in found], "codes": found})
+            yield pd.DataFrame({"d": batch["d"], "toxic": batch["toxic"], "other": batch["other"], "codes": found})
 
-    got = rows.mapInPandas(codes, "y int, least int, digest long, codes binary").toPandas().sort_values(["digest", "y"]).drop_duplicates(["digest", "y"])
+    got = rows.mapInPandas(codes, "d long, toxic int, other int, codes binary").toPandas().sort_values("d")
     arrays = [np.frombuffer(c, "<i8") for c in got["codes"]]
-    positive_rows = [a for a, y in zip(arrays, got["y"]) if y == 1]
-    unlabelled_rows = [a for a, y in zip(arrays, got["least"]) if y == 0]
-    return train(positive_rows, unlabelled_rows, prior)
+    return train([a for a, y in zip(arrays, got["toxic"]) if y], [a for a, y in zip(arrays, got["other"]) if y], prior)
 
 
 def score(df: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
     """Adds score (0 to 1) and predicted (1 if score >= 0.5) for every whole text.
 
-    Null and empty texts get the score of a text without words. Columns of the same names are replaced.
+    Null and empty texts get the score of a text without words. Columns of the same names are replaced, all
+    others stay; an empty table gives no rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 

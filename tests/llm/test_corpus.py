@@ -126,6 +126,11 @@ def test_chat_round_trip(spark):
     assert chat.format_log(chat.rows_as_events(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
 
 
+def test_chat_shuffles_once(spark):
+    plan = queries.op2_chat_format(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
 # --- language
 
 
@@ -423,8 +428,47 @@ def test_toxicity(spark):
     nothing = toxicity.fit(docs(spark, texts[:50]), marks.where("false"))
     assert toxicity.score(docs(spark, ["vile"]), nothing).first().predicted == 0
     held = queries.op8_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
-    clean = [r for r in held if r.toxic == 0]
+    clean, toxic = [r for r in held if r.toxic == 0], [r for r in held if r.toxic == 1]
     assert table.count() == 1000 and sum(r.predicted for r in clean) <= 0.05 * len(clean)
+    assert len(toxic) >= 5 and sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
+
+
+def test_toxicity_sample_is_of_different_texts(spark):
+    """Neither copies nor one id's many rows fill the sample."""
+    rows = [(7, f"copy {i % 2}") for i in range(500)] + [(i, f"word{i} other text") for i in range(100, 160)] + [(i, f"vile word{i} thing") for i in range(200, 230)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(200, 230)] + [(i, 0) for i in range(100, 160)], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels, max_unlabelled=92)
+    got = {r.doc_id: r.predicted for r in toxicity.score(frame, model).collect()}
+    assert all(got[i] == (i >= 200) for i in got)
+    assert len(toxicity.fit(frame, labels, max_bytes=50).codes) == 0
+
+
+def test_risk_and_its_direction():
+    """Against the definition row by row, and against finite differences on both sides of zero."""
+    rng = np.random.default_rng(3)
+    rows = lambda n: [sorted(rng.choice(6, rng.integers(0, 5), replace=False).tolist()) for _ in range(n)]
+    pos, unl = rows(9), rows(25)
+    flat = lambda x: (np.array([c for r in x for c in r], dtype=np.int64), np.array([k for k, r in enumerate(x) for _ in r], dtype=np.int64), len(x))
+
+    def parts(at, prior):
+        z = lambda r: at[-1] + sum(at[c] for c in r)
+        loss = lambda v: math.log1p(math.exp(-v))
+        negative = sum(loss(-z(r)) for r in unl) / len(unl) - prior * sum(loss(-z(r)) for r in pos) / len(pos)
+        return prior * sum(loss(z(r)) for r in pos) / len(pos), negative
+
+    seen = set()
+    for prior, scale in ((0.2, 1.0), (0.9, 1.0), (0.9, 3.0), (0.8, 2.0)):
+        for _ in range(5):
+            at = rng.standard_normal(7) * scale
+            own, negative = parts(at, prior)
+            value, direction = toxicity.risk(at, flat(pos), flat(unl), prior)
+            assert abs(value - own - max(0, negative)) < 1e-9
+            target = (lambda x: sum(parts(x, prior))) if negative >= 0 else (lambda x: -parts(x, prior)[1])
+            steps = [(target(at + 1e-6 * e) - target(at - 1e-6 * e)) / 2e-6 for e in np.eye(7)]
+            assert np.allclose(direction, steps, atol=1e-6)
+            seen.add(negative >= 0)
+    assert seen == {True, False}
 
 
 # --- near copies
@@ -642,3 +686,28 @@ def test_near_copies_of_repeated_and_null_ids(spark):
     got = [(r.doc_id, r.text) for r in out.collect()]
     assert sorted(r for r in got if r[0] is not None) == [(3, b + " more"), (5, a), (7, ""), (7, "")]
     assert len([r for r in got if r[0] is None and r[1]]) == 1 and got.count((None, None)) == 1
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls in every column, empty and long texts, repeated and null ids, columns with clashing names, empty tables."""
+    import corpus_pipeline as p
+
+    passage = duckdb.sql(f"select text from '{SF}/benchmark.parquet' order by item_id limit 1").fetchone()[0]
+    long = " ".join(f"word{k}" for k in range(40_000))
+    texts = [None, "", " ", "123", long, long, "some words of a text", passage, f"{passage} more", "kept words beside"]
+    rows = [(i if i % 3 else None, t, "en" if i % 2 else None, None, None, "x") for i, t in enumerate(texts)] + [(7, "another text under a used id", "en", "s", 1, None), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row string")
+    kept = {}
+    frame = df
+    for name, stage in p.STAGES[:-1]:
+        assert stage(spark, df.where("false"), SF).count() == 0
+        frame = p.materialise(stage(spark, frame, SF), "test")
+        assert frame.columns == df.columns
+        kept[name] = [(r.doc_id, r.text) for r in frame.collect()]
+    assert all(t and any(c.isalpha() for c in t) for _, t in kept["language"]) and len(kept["language"]) == 7
+    assert len(kept["lines"]) == 7 and sum(t == long for _, t in kept["near copies"]) == 1
+    left = {t for _, t in kept["benchmark"]}
+    assert left == {long, "some words of a text", "kept words beside", "another text under a used id"}  # also of id 7 the clean row alone
+    pieces = p.STAGES[-1][1](spark, df, SF)
+    assert pieces.groupBy("doc_id").count().count() >= 7 and p.STAGES[-1][1](spark, df.where("false"), SF).count() == 0
+    assert [name for name, _ in p.STAGES] == ["language", "lines", "near copies", "benchmark", "packing"]
