@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bookloom.llm import decontamination, jaccard_join, language, line_dedup, packing
-from bookloom.llm.common import drop_ids, id_remainder, materialise, table
+from bookloom.llm.common import drop_ids, free_name, id_remainder, materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Near duplicates here: five-word shingles, similarity of 0.8 or more.
@@ -33,7 +33,11 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out lines that five or more documents share; every document stays, n_chars follows its text."""
+    """Takes out lines that five or more documents share; every document stays, n_chars follows its text.
+
+    Rows are documents, whatever their ids; of a shared line the rows with the largest id keep it. Null and empty
+    texts come out empty, an empty table stays empty, other columns of any name stay.
+    """
     out = line_dedup.drop_repeated_lines(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
@@ -42,22 +46,31 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Of each group of near copies one row stays, that of the smallest id; what has no n-gram stays.
 
     Rows are told apart by a number of their own, so ids may repeat or be null (null comes after all others).
+    Null and blank texts have no n-gram and stay, an empty table stays empty, other columns of any name stay.
     """
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = jaccard_join.similar_documents(rows, key="_row", words=NEAR_WORDS, percent=NEAR_PERCENT)
-    members = materialise(groups.select("_row", F.col("component_id").alias("_group")).join(rows.select("_row", "doc_id"), "_row"), "members")
-    kept = members.groupBy("_group").agg(F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    losers = members.join(kept, "_group").where("_row <> _kept")
-    return drop_ids(rows, losers, key="_row").select(docs.columns)
+    row = free_name(docs, "row")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = jaccard_join.similar_documents(rows.select(F.col(row).alias("row"), "text"), key="row", words=NEAR_WORDS, percent=NEAR_PERCENT)
+    members = materialise(groups.select("row", F.col("component_id").alias("group")).join(rows.select(F.col(row).alias("row"), "doc_id"), "row"), "members")
+    kept = members.groupBy("group").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    losers = members.join(kept, "group").where("row <> kept")
+    return drop_ids(rows, losers.select(F.col("row").alias(row)), key=row).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of a benchmark item."""
-    return drop_ids(docs, decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))).select(docs.columns)
+    """Drops documents that hold a passage of a benchmark item.
+
+    Rows are judged by their text, so of rows that share an id, or have none, only those that hold a passage
+    go. Null and empty texts hold none, an empty table stays empty, other columns of any name stay.
+    """
+    own = free_name(docs, "digest")
+    marked = docs.withColumn(own, F.md5(F.col("text").cast("binary")))
+    held = decontamination.contaminated(marked.select(F.col(own).alias("digest"), "text"), table(spark, sf_dir, "benchmark"), key="digest")
+    return drop_ids(marked, held.select(F.col("digest").alias(own)), key=own).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents' tokens in sequences of at most 1024."""
+    """The kept documents' tokens in sequences of at most 1024; null and empty texts are their end id alone, rows are packed each for itself."""
     return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
