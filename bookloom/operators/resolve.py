@@ -100,3 +100,23 @@ def decide(files: DataFrame, block: str = "text_id", order: str = "order_no") ->
     best = F.max_by("id", F.struct("n_images", ~F.col("deleted"), order, "id")).alias("origin")
     kept = files.groupBy(block).agg(best)
     return files.join(kept, block).where("id <> origin").select(F.col("id").alias("dup"), "origin")
+
+
+def overlapping(rows: DataFrame, percent: int) -> DataFrame:
+    """left_id, right_id, shared: pairs of word sets (id, words) with 100 * shared >= ``percent`` * union.
+
+    Sets are ordered rare word first. Two such sets share a word among the first few of each, so they meet by
+    those alone; the words of every title (a stop word's pairs are all pairs) hardly ever are among them.
+    """
+    often = rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("often"))
+    ranked = rows.select("id", F.explode("words").alias("word")).join(often, "word").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "word"))).alias("x"))
+    sets = ranked.select("id", F.col("x.word").alias("words")).withColumn("n", F.size("words"))
+    kept = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    heads = sets.select("id", "words", "n", F.explode(F.slice("words", F.lit(1), kept)).alias("word"))
+    a, b = heads.alias("a"), heads.alias("b")
+    long_enough = (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+    met = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.id") < F.col("b.id")) & long_enough)
+    shared = F.size(F.array_intersect("a.words", "b.words"))
+    first = F.get(F.array_intersect("a.words", "b.words"), F.lit(0)) == F.col("a.word")  # a pair counts at the first word it meets by
+    found = met.where(first).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), shared.cast("long").alias("shared"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
+    return found.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("left_id", "right_id", "shared")
