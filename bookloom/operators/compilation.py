@@ -63,3 +63,31 @@ def compilations(sections: DataFrame, published: DataFrame, doc: str, book: str,
     hit = hit.withColumn("part", F.dense_rank().over(Window.partitionBy(doc).orderBy("ord")) - 1)
     made = hit.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("part", book))).alias("x"), F.countDistinct("section").alias("parts")).where(F.col("parts") >= least_parts)
     return made.join(total, doc).select(doc, F.array_join(F.transform("x", lambda s: F.concat_ws(":", s["part"].cast("string"), s[book].cast("string"))), ",").alias("found"), "parts", (F.col("parts") == F.col("total")).alias("covered"))
+
+
+def tree_compilations(sections: DataFrame, published: DataFrame, doc: str = "doc", least_size: int = 100, least_parts: int = 2) -> DataFrame:
+    """doc, found (``part:book`` in order), parts, covered, from trees of sections.
+
+    ``sections``: doc, own (the document's own text id), ord, depth (of a tree: at most one more than the row
+    before), section (text id), size (words); ``published``: section, book. The walk ignores small sections with
+    all below them, goes down through the document's own section, takes a published one as a part and leaves
+    what lies below it, goes down through unknown ones, and notes unknown ones with nothing below as missing;
+    ``covered`` says that none is. Parts are numbered by the place of their first section.
+    """
+    known = published.select("section").distinct().withColumn("known", F.lit(True))
+    rows = sections.join(known, "section", "left").withColumns({"part_of": (F.col("section") != F.col("own")) & F.coalesce("known", F.lit(False)), "small": F.col("size") < least_size})
+    levels = (sections.agg(F.max("depth").alias("n")).first()["n"] or 0) + 1
+    order = Window.partitionBy(doc).orderBy("ord")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    stops = F.struct("ord", (F.col("small") | F.col("part_of")).alias("stop"))
+    last = [F.max(F.when(F.col("depth") == d, stops)).over(before) for d in range(levels - 1)]  # the ancestor at depth d is the last row of that depth
+    above = F.lit(False)
+    for d, x in enumerate(last):
+        above = above | (F.col("depth") > d) & F.coalesce(x["stop"], F.lit(False))
+    walked = rows.withColumns({"above": above, "below": F.lead("depth").over(order)}).where(~F.col("above") & ~F.col("small"))
+    missing = ~F.col("part_of") & (F.col("section") != F.col("own")) & (F.coalesce("below", F.lit(0)) <= F.col("depth"))
+    covered = walked.groupBy(doc).agg((~F.bool_or(missing)).alias("covered"))
+    parts = walked.where("part_of").groupBy(doc, "section").agg(F.min("ord").alias("ord"))
+    hit = parts.withColumn("part", F.row_number().over(Window.partitionBy(doc).orderBy("ord")) - 1).join(published.distinct(), "section")
+    made = hit.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("part", "book"))).alias("x"), F.countDistinct("section").alias("parts")).where(F.col("parts") >= least_parts)
+    return made.join(covered, doc).select(doc, F.array_join(F.transform("x", lambda s: F.concat_ws(":", s["part"].cast("string"), s["book"].cast("string"))), ",").alias("found"), "parts", "covered")
