@@ -70,9 +70,12 @@ class Blocks:
             once, twice = a | once, b | twice | (a & once)
         self.held[block] = once, twice
 
-    def rows(self, part: int) -> pd.DataFrame:
+    def rows(self, part: int, at_once: int = 8) -> Iterator[pd.DataFrame]:
+        """A row per block, taken out of memory as they are written."""
         keys = sorted(self.held)
-        return pd.DataFrame({"block": keys, "part": part, "once": [_written(self.held[k][0], self.width) for k in keys], "twice": [_written(self.held[k][1], self.width) for k in keys]})
+        for at in range(0, len(keys), at_once):
+            found = [(k, part, *(_written(x, self.width) for x in self.held.pop(k))) for k in keys[at : at + at_once]]
+            yield pd.DataFrame(found, columns=["block", "part", "once", "twice"])
 
 
 def build(df: DataFrame, hashes: Callable[[Iterator[pd.DataFrame]], Iterator[np.ndarray]], bits: int, flush: int = 1_000_000) -> TwiceSeen:
@@ -104,13 +107,13 @@ def build(df: DataFrame, hashes: Callable[[Iterator[pd.DataFrame]], Iterator[np.
                 held, n = [], 0
         if n:
             take()
-        yield out.rows(TaskContext.get().partitionId())
+        yield from out.rows(TaskContext.get().partitionId())
 
     def merge(parts: pd.DataFrame) -> pd.DataFrame:
         out = Blocks(width)
         for block, a, b in zip(parts["block"], parts["once"], parts["twice"]):
             out.add(int(block), _read(a, width), _read(b, width))
-        return out.rows(int(parts["part"].iloc[0]) // STEP)
+        return next(out.rows(int(parts["part"].iloc[0]) // STEP))
 
     step = lambda parts: materialise(parts.groupBy("block", F.expr(f"part div {STEP}").alias("next")).applyInPandas(merge, schema), "filter")
     parts = step(df.mapInPandas(positions, schema))

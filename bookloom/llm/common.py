@@ -8,7 +8,17 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the corpus. Python workers get rows in batches of about 4 MB, unless the session asks for less.
+
+    Texts are long and a batch is held several times over (as Arrow, as objects, as a result), so Spark's own
+    64 MB would be most of a worker's memory.
+    """
+    if int(spark.conf.get(BATCH).rstrip("bB")) > 4 << 20:
+        spark.conf.set(BATCH, str(4 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -119,7 +119,7 @@ class Model:
 
     def __init__(self, counts: Counts, chunk: int = 0):
         self.languages = counts.languages
-        self.chunk = chunk or max(1 << 16, (1 << 22) // max(1, len(counts.languages)))  # a chunk's table takes about 16 MB
+        self.chunk = chunk or max(1 << 16, (1 << 20) // max(1, len(counts.languages)))  # a chunk's table takes about 4 MB
         self.trees = [Tree(*x) for x in zip(counts.grams, counts.counts)]
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
