@@ -14,6 +14,7 @@ def simplified(x: Column) -> Column:
 BRACKET_TAGS = (("br", "br"), ("hr", "hr"), ("quote", "q"), ("table", "table"), ("tr", "tr"), ("th", "th"), ("td", "td"))
 
 
+# The patterns of the rules and their order.
 def tag_rules() -> list[tuple[str, str]]:
     """The ordered rewriting rules from bracket tags to mark-up, as (pattern, replacement)."""
     rules = [(r"<p>&nbsp;</p>", ""), (r"(?:^|\n)(?:[ \t\r]*(?:\n|$))+", "\n"), (r"^\n|\n$", ""), (r"\n", "<br/>"), (r"\[(\w)\]", "<$1>"), (r"\[(/\w)\]", "<$1>")]
@@ -48,6 +49,7 @@ def scrub_separators(x: Column) -> Column:
     return F.translate(x, ",:", ";")
 
 
+# The dashes and letters that are folded.
 def dash_fold(x: Column) -> Column:
     """Typographic dashes as hyphens, spaced hyphens as an en dash, yo as ye."""
     out = F.translate(x, "‐‑‒–—―ёЁ", "------еЕ")
@@ -67,6 +69,15 @@ def title_tokens(x: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_remove(words, "")))
 
 
+#: Words that a candidate's title loses before it is compared.
+NOT_TITLE = ("си",)
+
+
+def candidate_tokens(x: Column) -> Column:
+    """Words of a title without those that say nothing about it."""
+    return F.array_except(title_tokens(x), F.array(*map(F.lit, NOT_TITLE)))
+
+
 def sort_text(x: Column) -> Column:
     """Lower-cased for sorting; missing names sort last."""
     return F.when(F.coalesce(x, F.lit("")) == "", F.lit("￿")).otherwise(F.lower(simplified(x)))

@@ -50,22 +50,30 @@ def author_lists(links: DataFrame, names: DataFrame, illustrator: str | None = N
     return named.select("book_id", kept.alias("x")).where(F.size("x") > 0).select("book_id", F.concat(F.array_join(F.col("x.label"), ":"), F.lit(":")).alias("authors"))
 
 
-def catalogue(books: DataFrame, rates: DataFrame, authors: DataFrame, genres: DataFrame, series: DataFrame) -> DataFrame:
-    """The catalogue row of every book and series: missing file types are fb2, year 0 is unknown."""
+def catalogue(books: DataFrame, rates: DataFrame, authors: DataFrame, genres: DataFrame, series: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """The catalogue row of every book and series: missing file types are fb2, year 0 is unknown.
+
+    With ``files`` (book_id, file_name) also of every explicit file name, null where a book has none.
+    """
     base = books.select(
         "book_id", F.trim("title").alias("title"), "size", "deleted", (F.substring("deleted", 1, 1) != "0").alias("is_deleted"), F.coalesce(F.nullif(F.trim("file_type"), F.lit("")), F.lit("fb2")).alias("file_type"),
         F.date_format("time", "yyyy-MM-dd").alias("date"), "lang", "keywords", F.nullif(F.col("year"), F.lit(0)).alias("year"), "md5",
     )
     rows = with_ratings(base, rates).join(authors, "book_id", "left").join(genres, "book_id", "left")
     own = series.select("book_id", "series", "number", F.col("type").alias("series_type"), F.col("level").alias("series_level"))
-    return rows.join(own, "book_id", "left")
+    out = rows.join(own, "book_id", "left")
+    return out if files is None else out.join(files.select("book_id", "file_name"), "book_id", "left")
 
 
-def assemble(rows: DataFrame, key: list[str]) -> DataFrame:
-    """One book per key with its series (title, number, type, level), by type, then falling level, title, number."""
+def assemble(rows: DataFrame, key: list[str], first: list[str] | None = None, order: str | None = None) -> DataFrame:
+    """One book per key with its series (title, number, type, level), by type, then falling level, title, number.
+
+    Columns in ``first`` are those of the row that comes first by ``order``; the others of a key only add series.
+    """
     entry = F.struct(F.col("type").alias("type"), (-F.col("level")).alias("falling"), F.col("series").alias("title"), F.col("number").alias("number"))
-    sorted_ = rows.groupBy(*key).agg(F.array_sort(F.collect_list(entry)).alias("s"))
-    return sorted_.select(*key, F.transform("s", lambda s: F.struct(s["title"].alias("title"), s["number"].alias("number"), s["type"].alias("type"), (-s["falling"]).alias("level"))).alias("series"))
+    held = [F.min_by(F.struct(*first), order).alias("held")] if first else []
+    sorted_ = rows.groupBy(*key).agg(F.array_sort(F.collect_list(entry)).alias("s"), *held)
+    return sorted_.select(*key, *[F.col(f"held.{c}").alias(c) for c in first or ()], F.transform("s", lambda s: F.struct(s["title"].alias("title"), s["number"].alias("number"), s["type"].alias("type"), (-s["falling"]).alias("level"))).alias("series"))
 
 
 def without_orphans(rows: DataFrame, owners: DataFrame, key: str, owner_key: str) -> DataFrame:

@@ -57,6 +57,16 @@ def roots(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     return at.join(ends, "root", "left_anti").select("dup", "root")
 
 
+def edges_to_books(edges: DataFrame, by_uid: DataFrame, by_library: DataFrame) -> DataFrame:
+    """dup, origin: duplicates to the books their origins are, by uid, else by source and file name without suffix.
+
+    ``edges``: dup, uid, source, file; the look-ups key and book. Origins that neither knows are left out.
+    """
+    name = F.concat_ws("_", F.col("source"), F.regexp_replace("file", r"\.[^.]*$", ""))
+    found = cascade(edges, [(by_uid, F.col("uid"), "uid"), (by_library, name, "library")], "book")
+    return found.where("book is not null").select("dup", F.col("book").alias("origin"))
+
+
 def merge_into_roots(books: DataFrame, at: DataFrame) -> DataFrame:
     """Books (book_id, rate_sum, rate_count, deleted, series array) merged along duplicates (dup, root).
 

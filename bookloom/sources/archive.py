@@ -11,13 +11,33 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
-def listing(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    """path, name, number: archives by the first number after ``fb2`` in their name; of equal names (any case) one."""
+def listing(spark: SparkSession, path: str, pattern: str = "*.zip", hashes: str | None = None) -> DataFrame:
+    """path, name, number, latest number first: archives by the first number after ``fb2`` in their name; of equal names (any case) one.
+
+    With ``hashes``, a folder of fingerprints, also hash: the file of the archive's name there. An archive
+    without one is an error, as is a path without archives.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
+    if not files.limit(1).count():
+        raise FileNotFoundError(f"no archives {pattern} under {path}")
     named = files.withColumn("name", F.lower(F.regexp_extract("path", r"([^/]*)$", 1)))
     one = Window.partitionBy("name").orderBy("path")
     number = F.coalesce(F.regexp_extract("name", r"fb2.*?(\d+)", 1).try_cast("long"), F.lit(0))
-    return named.withColumn("at", F.row_number().over(one)).where("at = 1").select("path", "name", number.alias("number"))
+    out = named.withColumn("at", F.row_number().over(one)).where("at = 1").select("path", "name", number.alias("number"))
+    if hashes is not None:
+        stem = lambda c: F.regexp_replace(F.lower(F.regexp_extract(c, r"([^/]*)$", 1)), r"\.[^.]*$", "")
+        known = spark.read.format("binaryFile").load(hashes).select(F.col("path").alias("hash"), stem("path").alias("stem")).groupBy("stem").agg(F.min("hash").alias("hash"))
+        out = out.withColumn("stem", stem("name")).join(known, "stem", "left").drop("stem")
+        lost = [r["name"] for r in out.where("hash is null").limit(5).collect()]
+        if lost:
+            raise FileNotFoundError(f"no fingerprints of {', '.join(lost)} under {hashes}")
+    return out.orderBy(F.desc("number"), "name")
+
+
+def totals(found: DataFrame) -> DataFrame:
+    """archives, entries, bytes of ``entries``, and the largest archive."""
+    each = found.groupBy("archive").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("body")).alias("bytes"))
+    return each.agg(F.count(F.lit(1)).alias("archives"), F.coalesce(F.sum("n"), F.lit(0)).alias("entries"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.max_by("archive", F.struct("n", "archive")).alias("largest"))
 
 
 def entries(spark: SparkSession, path: str, pattern: str = "*.zip", nested: bool = True) -> DataFrame:

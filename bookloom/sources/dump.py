@@ -62,48 +62,60 @@ def _inside(line: str, inside: bool) -> bool:
             inside = True
 
 
-def statements(lines: Iterator[tuple[str, str]]) -> Iterator[str]:
-    """Statements of (file, line) in order, lines without their line feed; comment lines outside strings go."""
+def statements(lines: Iterator[tuple[str, str]]) -> Iterator[tuple[str, str]]:
+    """(file, statement) of (file, line) in order, lines without their line feed; comment lines outside strings go."""
     file, inside, held = None, False, []
     for of, line in lines:
         if of != file:
             if held:
-                yield from _STATEMENT.findall("\n".join(held))
+                yield from ((file, x) for x in _STATEMENT.findall("\n".join(held)))
             file, inside, held = of, False, []
         if not inside and line.startswith(("--", "#")):
             continue
         held.append(line)
         inside = _inside(line, inside)
         if not inside and line.rstrip().endswith(";"):
-            yield from _STATEMENT.findall("\n".join(held))
+            yield from ((file, x) for x in _STATEMENT.findall("\n".join(held)))
             held = []
     if held:
-        yield from _STATEMENT.findall("\n".join(held))
+        yield from ((file, x) for x in _STATEMENT.findall("\n".join(held)))
 
 
-def read(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
-    """Rows of table ``name`` from the INSERT statements under ``path``.
-
-    Other statements and comment lines are ignored, as are rows with another number of values than the
-    schema has columns. Values that do not fit their type are null.
-    """
-    fields = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else spark.createDataFrame([], schema).schema
+def _values(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """file, values of every row of table ``name``."""
     wanted = re.compile(rf"\s*INSERT\s+INTO\s+`?{re.escape(name)}`?[\s(]", re.I)
     lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
     lines = lines.repartition("file").sortWithinPartitions("file", "start", "at").select("file", "value")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frame = lambda found: pd.DataFrame(found, columns=[f.name for f in fields], dtype=object)
         found = []
-        for one in statements(x for b in batches for x in zip(b["file"], b["value"])):
+        for file, one in statements(x for b in batches for x in zip(b["file"], b["value"])):
             body = re.split(r"(?i)\bVALUES\b", one, maxsplit=1) if wanted.match(one) else []
             for row in rows_of(body[-1]) if len(body) == 2 else ():
-                if len(row) == len(fields):
-                    found.append(row)
+                found.append((file, row))
                 if len(found) >= 10_000:
-                    yield frame(found)
+                    yield pd.DataFrame(found, columns=["file", "values"])
                     found = []
-        yield frame(found)
+        yield pd.DataFrame(found, columns=["file", "values"])
+
+    return lines.mapInPandas(parse, "file string, values array<string>")
+
+
+def _fields(spark: SparkSession, schema: str) -> list[T.StructField]:
+    return list(spark.createDataFrame([], schema).schema)
+
+
+def read(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """Rows of table ``name`` from the INSERT statements under ``path``.
+
+    Other statements and comment lines are ignored. Rows with another number of values than the schema has
+    columns are left to ``bad_records``. Values that do not fit their type are null.
+    """
+    fields = _fields(spark, schema)
+    rows = _values(spark, path, name).where(F.size("values") == len(fields))
+    return rows.select(*[F.get("values", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
 
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    return lines.mapInPandas(parse, text).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+def bad_records(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """file, values of the rows that ``read`` leaves out."""
+    return _values(spark, path, name).where(F.size("values") != len(_fields(spark, schema)))

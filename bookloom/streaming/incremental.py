@@ -41,6 +41,15 @@ def stream_store(spark: SparkSession, source: DataFrame, store: str, checkpoint:
     return source.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def unready(source: DataFrame, ready: DataFrame, name: str = "name") -> DataFrame:
+    """Names of a stream that are not in the (static) list of what is ready, each once.
+
+    The stream's state holds the names seen since it began, so the list carried from run to run is the
+    checkpoint; with a watermark on the source it is bounded by that.
+    """
+    return source.join(ready.select(name).distinct(), name, "left_anti").dropDuplicates([name])
+
+
 def month_counts(rows: DataFrame, time: str, kind: str, value: str) -> DataFrame:
     """month, kind, n and cents; the same plan serves a stream under a watermark."""
     return rows.groupBy(F.date_trunc("month", time).alias("month"), kind).agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col(value) * 100)).alias("cents"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bookloom.functions import text as tx
-from bookloom.operators import catalogue, corrections, publish, resolve
+from bookloom.operators import catalogue, corrections, images, publish, resolve
 from bookloom.sources import archive, dump, image_stats
 from bookloom.streaming import incremental
 
@@ -90,7 +90,7 @@ def test_hamming_bands_lose_nothing(spark):
 
 
 def test_image_comparison():
-    c = resolve.compare_images
+    c = images.classify
     assert [c(1, 1, True, True), c(1, 0, True, False), c(0, 2, False, False), c(0, 0, True, False), c(0, 0, False, True), c(0, 0, True, True)] == ["varied", "outer", "inner", "outer", "inner", "equal"]
 
 
@@ -103,6 +103,8 @@ def test_dump_statements(spark, tmp_path):
     (tmp_path / "a.sql").write_text("CREATE TABLE x (a int);\n-- note\nINSERT INTO `t` VALUES (1,'it\\'s',NULL),\n(2,'a;b\\nc',2.5);\nINSERT INTO other VALUES (9,'z',1);\nINSERT INTO t VALUES (3,'say \"x\" ''q''',x),(4,'short');\n")
     got = sorted(tuple(r) for r in dump.read(spark, str(tmp_path), "t", "a long, b string, c double").collect())
     assert got == [(1, "it's", None), (2, "a;b\nc", 2.5), (3, "say \"x\" 'q'", None)]
+    bad = dump.bad_records(spark, str(tmp_path), "t", "a long, b string, c double").collect()
+    assert [r["values"] for r in bad] == [["4", "short"]] and bad[0].file.endswith("a.sql")
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
