@@ -11,6 +11,7 @@ from bookloom.sources.shared import stored
 
 #: The language of a template and the types of its entries.
 TEMPLATE, MAIN, SUBTITLE = "template", "main", "subtitle"
+#: How a line names an image.
 IMAGE = r"\[img (\S+?) (\S+?) \S+?\]"
 
 

@@ -61,6 +61,18 @@ def contents(rows: DataFrame, group: str, keys: list[Column], line: Column, name
     return placed.select(F.col("group").alias(group), (F.col("own") + F.col("offset")).alias("place"), F.col("line").alias(name))
 
 
+def contents_line(author: Column, title: Column, series: Column, number: Column, folder: Column, file: Column) -> Column:
+    """Author, title, ``[series #number]`` (nothing without a series), folder and file between tabs; nulls are empty."""
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    shown = F.when(blank(series) == "", "").otherwise(F.concat(F.lit("["), series, F.when(blank(number) == "", "").otherwise(F.concat(F.lit(" #"), blank(number))), F.lit("]")))
+    return F.concat_ws("\t", blank(author), blank(title), shown, blank(folder), blank(file))
+
+
+def contents_keys(author: Column, series: Column, number: Column, title: Column) -> list[Column]:
+    """What contents are sorted by: author, series, number and title, the missing ones last."""
+    return [tx.sort_text(author), tx.sort_text(series), tx.sort_number(number.cast("string")), tx.sort_text(title)]
+
+
 def months(times: DataFrame, column: str) -> DataFrame:
     return times.select(F.year(column).alias("year"), F.month(column).alias("month")).distinct()
 

@@ -67,6 +67,20 @@ def contents_by_lang_whole(spark, sf_dir):
     return contents(spark, sf_dir)
 
 
+@query("book_contents", """WITH b AS (SELECT o_orderkey AS id, o_orderstatus AS lang, CASE WHEN o_custkey % 7 <> 0 THEN c_name END AS author, o_orderpriority AS title, CASE WHEN o_orderkey % 3 <> 0 THEN 'Set ' || o_orderkey % 5 END AS series, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey % 11 AS VARCHAR) END AS number FROM orders LEFT JOIN customer ON c_custkey = o_custkey)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY coalesce(lower(author), chr(65535)), coalesce(lower(series), chr(65535)), coalesce(CAST(number AS BIGINT), 2147483647), lower(title), id) AS place,
+ coalesce(author, '') || chr(9) || title || chr(9) || CASE WHEN series IS NULL THEN '' ELSE '[' || series || CASE WHEN number IS NULL THEN '' ELSE ' #' || number END || ']' END || chr(9) || 'f' || id % 4 || chr(9) || id || '.fb2' AS line FROM b""")
+def book_contents(spark, sf_dir):
+    """Lines of books with author, title, series and file, sorted within each language."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    key = F.col("o_orderkey")
+    author, title = F.when(F.col("o_custkey") % 7 != 0, F.col("c_name")), F.col("o_orderpriority")
+    series = F.when(key % 3 != 0, F.concat(F.lit("Set "), (key % 5).cast("string")))
+    number = F.when(key % 2 == 0, (key % 11).cast("string"))
+    line = publish.contents_line(author, title, series, number, F.concat(F.lit("f"), (key % 4).cast("string")), F.concat(key.cast("string"), F.lit(".fb2")))
+    return publish.contents(orders.withColumnRenamed("o_orderstatus", "lang"), "lang", [*publish.contents_keys(author, series, number, title), key], line)
+
+
 @query("review_months", "SELECT DISTINCT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month FROM events UNION SELECT DISTINCT CAST(year(o_orderdate) AS INT), CAST(month(o_orderdate) AS INT) FROM orders")
 def review_months(spark, sf_dir):
     a = publish.months(table(spark, sf_dir, "events"), "ts")
