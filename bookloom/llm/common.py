@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,12 +48,55 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+#: Paths of tables that a surrounding ``temporaries`` takes away.
+_held: list[list[str]] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: later jobs survive a lost executor."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _held:
+        _held[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame, collect: bool = True) -> None:
+    """Takes materialised tables away that nothing will read again, and lets the driver find what else is finished."""
+    for x in tables:
+        _delete(x.sparkSession, x.written_to)
+    if collect:
+        release(tables[0].sparkSession)
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside are taken away at the end; what is kept of them has to be written elsewhere before."""
+    _held.append([])
+    try:
+        yield
+    finally:
+        for path in _held.pop():
+            _delete(spark, path)
+        release(spark)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets the driver find which shuffles are finished.
+
+    Spark deletes the files of a shuffle once the driver's JVM has collected the plan that made it, which may
+    not happen for half an hour; a job of many steps would hold the files of all of them.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def id_remainder(doc_id: Column, divisor: int) -> Column:

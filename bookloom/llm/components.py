@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from bookloom.llm.common import materialise
+from bookloom.llm.common import discard, materialise
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,6 +18,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = materialise(both.dropDuplicates(), "links")
     labels = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label"))
     labels = materialise(labels, "labels")
+    table = labels  # what the labels are read from
     while True:
         near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
         step = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("new"))
@@ -25,6 +26,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = step.join(jump, "new", "left").select("node", F.col("label").alias("old"), F.coalesce("far", "new").alias("label"))
         step = materialise(step, "labels")
         changed = step.where(F.col("old") != F.col("label")).limit(1).count()
-        labels = step.select("node", "label")
+        discard(table, collect=False)
+        labels, table = step.select("node", "label"), step
         if not changed:
+            discard(both, collect=False)
             return labels

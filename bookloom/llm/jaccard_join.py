@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bookloom.llm import bloom
-from bookloom.llm.common import materialise
+from bookloom.llm.common import discard, materialise
 from bookloom.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK, RANGES, PARITY = 21, 16, 64, 4
@@ -367,10 +367,12 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     common = every.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     parity = classes.select("cls", "c", "n", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
     shared = materialise(every.join(common, "h").join(parity, "cls").drop("cls"), "postings")
+    discard(every)
 
     short, long = shared.where(F.col("many") <= 2 * pivots).drop("many"), shared.where(F.col("many") > 2 * pivots)
     met = materialise(_ordered(_meet(short, short, F.col("x.c") < F.col("y.c"), percent)).select("a", "b", "far"), "met")
     waiting = materialise(_suffix(met, classes, percent, broadcast_rows), "waiting")
+    discard(met)
     any_long = long.limit(1).count() > 0
 
     tested = labels = None
@@ -386,6 +388,8 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
             more = materialise(more.select("a", "b").dropDuplicates() if last else _likeliest(more), "met")
             pairs = pairs.unionByName(_suffix(more, classes, percent, broadcast_rows)).dropDuplicates()
         pairs = materialise(pairs, "pairs")
+        if any_long:
+            discard(more)
         ids = materialise(_ends(pairs), "ends")
         n = ids.count()
         if not n:
@@ -394,6 +398,7 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
         needed = _of(classes.select("c", "cls", "rep"), ids, n <= broadcast_rows, "inner")
         sets = materialise(_sets(df, key, text, words, needed, n <= broadcast_rows), "sets")
         found = materialise(_verified(pairs, sets, percent), "found")
+        discard(sets, ids)
         tested = pairs if tested is None else tested.unionByName(pairs)
         if found.limit(1).count():
             labels = _merged(labels, found)
