@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bookloom.llm import bloom
-from bookloom.llm.common import discard, materialise
+from bookloom.llm.common import discard, materialise, release
 from bookloom.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK, RANGES, PARITY = 21, 16, 64, 4
@@ -174,8 +174,21 @@ def _prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarra
     return shingles[np.lexsort((shingles, often))[: n + (-percent * n) // 100 + 1]]
 
 
+def _key(digest: bytes) -> int:
+    """The first half of a class's digest; ``_key_of`` is the same for a column."""
+    return int.from_bytes(digest[:8], "big", signed=True)
+
+
+def _key_of(digest: str) -> Column:
+    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("long")
+
+
 def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int) -> DataFrame:
-    """Prefix n-grams that more than one document may have: h, cls, pos."""
+    """Prefix n-grams that more than one document may have: h, key, pos.
+
+    Classes go by half of their digest here. Should two share it, each is entered under the n-grams of both,
+    which makes more candidates and loses none.
+    """
     texts = df.select(F.col(text).alias("t"))
 
     def prefixes(batches: Iterator[pd.DataFrame], common: np.ndarray):
@@ -198,8 +211,8 @@ def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int)
             may, sizes = bloom.passes(table, all_h, bits), [len(p) for _, p in held]
             place = np.concatenate([np.arange(k) for k in sizes])
             at = np.repeat(np.arange(len(held)), sizes)[may]
-            own = np.array([d for d, _ in held], dtype=object)
-            return pd.DataFrame({"h": all_h[may].view(np.int64), "cls": own[at], "pos": place[may].astype(np.int32)})
+            own = np.array([_key(d) for d, _ in held], dtype=np.int64)
+            return pd.DataFrame({"h": all_h[may].view(np.int64), "key": own[at], "pos": place[may].astype(np.int32)})
 
         for x in prefixes(batches, sketch.value):
             held.append(x)
@@ -209,7 +222,7 @@ def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int)
         if held:
             yield frame(held)
 
-    return texts.mapInPandas(run, "h long, cls binary, pos int").dropDuplicates(["h", "cls"])
+    return texts.mapInPandas(run, "h long, key long, pos int").dropDuplicates()
 
 
 def _near(apart: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -364,9 +377,10 @@ def similar_documents(df: DataFrame, key: str = "doc_id", text: str = "text", wo
     classes = materialise(grouped.withColumn("c", F.monotonically_increasing_id()), "classes")  # numbers hold once written
     sketch = spark.sparkContext.broadcast(_sketch(summary.where(F.col("block").isNotNull())))
     every = materialise(_postings(df, text, words, percent, sketch, bits), "prefixes")
+    release(spark)
     common = every.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    parity = classes.select("cls", "c", "n", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
-    shared = materialise(every.join(common, "h").join(parity, "cls").drop("cls"), "postings")
+    parity = classes.select(_key_of("cls").alias("key"), "c", "n", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY)])
+    shared = materialise(every.join(common, "h").join(parity, "key").drop("key"), "postings")
     discard(every)
 
     short, long = shared.where(F.col("many") <= 2 * pivots).drop("many"), shared.where(F.col("many") > 2 * pivots)

@@ -414,7 +414,6 @@ def test_neighbours_recall_on_the_table(spark):
 
 
 def test_toxicity(spark):
-    table, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     rng = random.Random(0)
     word = lambda: rng.choice(["the", "of", "and", "with", "for"]) + str(rng.randint(0, 200))
     texts = [" ".join([word() for _ in range(60)] + ["vile!", "Foul,"] * (i % 9 == 0)) for i in range(2000)]
@@ -427,10 +426,12 @@ def test_toxicity(spark):
     assert toxicity.score(docs(spark, []), model).count() == 0
     nothing = toxicity.fit(docs(spark, texts[:50]), marks.where("false"))
     assert toxicity.score(docs(spark, ["vile"]), nothing).first().predicted == 0
-    held = queries.op8_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
+    path = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    held = queries.op8_toxicity(spark, path).join(labels, "doc_id").where("held_out").collect()
     clean, toxic = [r for r in held if r.toxic == 0], [r for r in held if r.toxic == 1]
-    assert table.count() == 1000 and sum(r.predicted for r in clean) <= 0.05 * len(clean)
-    assert len(toxic) >= 5 and sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
+    assert len(clean) > 500 and sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    assert len(toxic) > 50 and sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
 
 
 def test_toxicity_sample_is_of_different_texts(spark):
@@ -692,7 +693,7 @@ def test_stages_on_odd_tables(spark):
     """Nulls in every column, empty and long texts, repeated and null ids, columns with clashing names, empty tables."""
     import corpus_pipeline as p
 
-    passage = duckdb.sql(f"select text from '{SF}/benchmark.parquet' order by item_id limit 1").fetchone()[0]
+    passage = duckdb.sql(f"select text from '{SF}/benchmark.parquet' order by item_id limit 1").fetchall()[0][0]
     long = " ".join(f"word{k}" for k in range(40_000))
     texts = [None, "", " ", "123", long, long, "some words of a text", passage, f"{passage} more", "kept words beside"]
     rows = [(i if i % 3 else None, t, "en" if i % 2 else None, None, None, "x") for i, t in enumerate(texts)] + [(7, "another text under a used id", "en", "s", 1, None), (None, None, None, None, None, None)]
