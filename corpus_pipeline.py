@@ -6,11 +6,13 @@ one's ``docs``. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bookloom.llm import decontamination, jaccard_join, language, line_dedup, packing
-from bookloom.llm.common import drop_ids, free_name, id_remainder, materialise, table
+from bookloom.llm.common import drop_ids, free_name, id_remainder, materialise, shared_folder, table, temporaries
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Near duplicates here: five-word shingles, similarity of 0.8 or more.
@@ -87,8 +89,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last is written and read again."""
+    """All stages over ``documents``; every stage but the last is written and read again.
+
+    What a stage has written on its way is taken away once its result is there.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        path = f"{shared_folder(spark)}/stage-{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+        with temporaries(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
