@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bookloom.llm import chat, decontamination, jaccard_join, language, line_dedup, main_text, neighbours, packing, token_count, toxicity
+from bookloom.llm import chat, decontamination, fewest_sequences, jaccard_join, language, line_dedup, main_text, neighbours, packing, periodic_runs, spelling, token_count, toxicity
 from bookloom.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -109,6 +111,103 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's change of a tenth of the texts: from word a on they repeat p words. A null id counts as the empty text."""
+    h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = periodic_runs.find_runs(docs, prepare=planted_period)
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    longest = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("first"), lines.alias("lines"), "collapsed")
+    return longest.select(
+        "doc_id",
+        "n_runs",
+        F.col("first.start").alias("start"),
+        (-F.col("first.minus")).alias("length"),
+        F.col("first.period").alias("period"),
+        F.expr("(-1000 * first.minus) div first.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# crc32 bit by bit: its table of 256, then a fold over the bytes of a text.
+CRC_TABLE = """t AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for crc32 of a text's UTF-8 bytes; needs the table ``t`` beside it."""
+    digit = lambda at: f"strpos('0123456789ABCDEF', substr(hex({text}), CAST(2 * i + {at} AS INT), 1)) - 1"
+    octets = f"list_transform(range(length(hex({text})) // 2), lambda i: 16 * ({digit(1)}) + {digit(2)})"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, k: xor(c // 256, t.t[CAST(xor(c, k) % 256 AS INT) + 1])), 4294967295)"
+
+
+OP11_SQL = rf"""WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS s, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+h AS (SELECT r, doc_id, w, len(w) AS n, {crc32_sql("s")} AS h FROM d, t),
+a AS (SELECT r, doc_id, w, n, h, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM h),
+e AS (SELECT r, doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] END) ELSE w END AS w FROM a),
+x AS (SELECT r, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM e),
+p AS (SELECT a.r, a.i, b.i - a.i AS q FROM x a JOIN x b ON a.r = b.r AND a.w = b.w AND a.i < b.i),
+s AS (SELECT r, q, min(i) AS start, count(*) + q AS length
+      FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM p)
+      GROUP BY r, q, g HAVING count(*) + q >= greatest(12, 2 * q)),
+m AS (SELECT r, start, length, min(q) AS period FROM s GROUP BY 1, 2, 3),
+l AS (SELECT r, start, length, period FROM m QUALIFY row_number() OVER (PARTITION BY r ORDER BY length DESC, start, period) = 1),
+g AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM m GROUP BY r),
+c AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM m),
+k AS (SELECT x.r, string_agg(x.w, ' ' ORDER BY x.i) AS kept FROM x LEFT JOIN c ON x.r = c.r AND x.i = c.i WHERE c.r IS NULL GROUP BY x.r)
+SELECT e.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+  CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM e LEFT JOIN g ON g.r = e.r LEFT JOIN l ON l.r = e.r LEFT JOIN k ON k.r = e.r"""
+
+
+def op12_fewest_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fewest_sequences.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
+
+
+def planted_slip(doc_id: int | None, word: str) -> str:
+    """The contract's misspelling: one word of 31 loses a code point. A null id counts as the empty text."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+    if h % 31:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), edit=planted_slip)
+
+
+OP13_SQL = f"""WITH RECURSIVE {CRC_TABLE},
+o AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+d AS (SELECT w, doc || ':' || w AS s, count(*) AS n FROM o WHERE length(w) >= 7 GROUP BY doc, w),
+h AS (SELECT w, n, {crc32_sql("s")} AS h FROM d, t),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word, n FROM h),
+c AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+v AS (SELECT word, n, i, substr(word, 1, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM c)),
+p AS (SELECT a.word, b.word AS other, b.n FROM v a JOIN v b ON a.i = b.i AND a.less = b.less WHERE a.word <> b.word
+      UNION SELECT v.word, c.word, c.n FROM v JOIN c ON v.less = c.word
+      UNION SELECT c.word, v.word, v.n FROM v JOIN c ON v.less = c.word),
+b AS (SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near FROM p QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+f AS (SELECT c.word, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * c.n THEN other END AS form, CASE WHEN b.n >= 10 * c.n THEN b.n END AS form_n FROM c LEFT JOIN b ON b.word = c.word),
+r(word, here) AS (SELECT word, word FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.here WHERE f.form IS NOT NULL),
+z AS (SELECT r.word, r.here AS root FROM r JOIN f ON f.word = r.here WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON z.word = f.word"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
@@ -120,5 +219,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_fewest_sequences": op12_fewest_sequences,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLES = {"op2_chat_format": OP2_SQL, "op3_line_dedup": OP3_SQL, "op9_jaccard_join": OP9_SQL}
+ORACLES = {"op2_chat_format": OP2_SQL, "op3_line_dedup": OP3_SQL, "op9_jaccard_join": OP9_SQL, "op11_periodic_runs": OP11_SQL, "op13_spelling_variants": OP13_SQL}
