@@ -57,8 +57,8 @@ def dash_fold(x: Column) -> Column:
 
 
 def unescape_twice(x: Column) -> Column:
-    """Entities that were escaped twice lose one level."""
-    for name, char in (("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'")):
+    """Entities lose one level of escaping: ampersands go last, so what they free stays."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
         x = F.regexp_replace(x, f"(?i)&{name};", char)
     return x
 

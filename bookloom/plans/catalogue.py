@@ -12,7 +12,7 @@ from bookloom.plans.registry import ORACLES, QUERIES, query, table
 
 
 def all_queries():
-    for name in ("resolution", "publication", "texts", "extensions", "images", "stores"):
+    for name in ("resolution", "publication", "texts", "extensions", "images", "stores", "files"):
         importlib.import_module(f"bookloom.plans.{name}")
     return QUERIES
 

@@ -161,7 +161,7 @@ def role_dump(spark, sf_dir):
     names = table(spark, sf_dir, "customer").select(dump.statement("libavtors", c("c_custkey"), F.lit("x"), c("c_nationkey"), c("c_name"), F.lit(0)).alias("value"))
     links.unionByName(names).write.text(at)
     chosen = dialects.choose(at, "roles")
-    return chosen.authors({name: dump.read(spark, at, name, chosen.tables[name]) for name in ("libavtor", "libavtors")})
+    return chosen.authors(dialects.load(spark, at, chosen))
 
 
 @query("compilation_tree", r"""WITH RECURSIVE c AS (SELECT conv_id, turn, role, md5(text) AS id, length(text) AS size, CASE WHEN turn = 0 THEN 0 WHEN role = 'user' THEN 1 ELSE 2 END AS depth FROM conversations),

@@ -82,7 +82,7 @@ def template_fill(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", tx.fill(F.lit("%1 of %2 (%1)"), F.col("n_name"), F.col("n_regionkey").cast("string")).alias("line"))
 
 
-@query("unescape_twice", r"""SELECT page_id, md5(replace(replace(replace(replace(replace(html || ' &amp;lt;b&amp;gt; &QUOT;', '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&QUOT;', '"'), '&apos;', '''')) AS digest FROM pages""")
+@query("unescape_twice", r"""SELECT page_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html || ' &amp;lt;b&amp;gt; &QUOT;', '&lt;', '<', 'gi'), '&gt;', '>', 'gi'), '&quot;', '"', 'gi'), '&apos;', '''', 'gi'), '&amp;', '&', 'gi')) AS digest FROM pages""")
 def unescape_twice(spark, sf_dir):
     """Pages whose entities lose one level of escaping, by digest."""
     twice = F.concat("html", F.lit(" &amp;lt;b&amp;gt; &QUOT;"))

@@ -26,13 +26,14 @@ PARSERS = {".fb2": "fb2", ".epub": "epub", ".fbd": "stub", ".zip": "archive", ".
 TURN = {"fb2": 1, "epub": 2, "stub": 3}
 #: Ends of names of an EPUB's text files.
 TEXTS = (".htm", ".html", ".xhtml", ".xml")
-#: Elements of the book format.
+#: Elements that a book may have, in lower case; names match in any case.
 BOOK_TAGS = (
-    "FictionBook", "stylesheet", "description", "title-info", "src-title-info", "document-info", "publish-info", "custom-info", "output", "part", "output-document-class",
-    "genre", "author", "first-name", "middle-name", "last-name", "nickname", "home-page", "email", "id", "book-title", "annotation", "keywords", "date", "coverpage", "image", "lang", "src-lang", "translator", "sequence",
-    "program-used", "src-url", "src-ocr", "version", "history", "publisher", "book-name", "city", "year", "isbn",
-    "body", "title", "epigraph", "section", "p", "empty-line", "subtitle", "text-author", "poem", "stanza", "v", "cite", "table", "tr", "td", "th",
-    "strong", "emphasis", "style", "a", "strikethrough", "sub", "sup", "code", "binary",
+    "p", "fictionbook", "description", "body", "binary", "title-info", "src-title-info", "document-info", "publish-info", "custom-info",
+    "genre", "author", "first-name", "last-name", "middle-name", "nickname", "nick-name", "nick", "email", "home-page", "book-title", "annotation",
+    "poem", "cite", "subtitle", "empty-line", "keywords", "date", "coverpage", "image", "lang", "src-lang", "translator", "sequence", "program-used",
+    "src-url", "src-ocr", "id", "version", "history", "book-author", "book-name", "publisher", "city", "year", "isbn", "title", "epigraph", "section",
+    "v", "a", "text-author", "strong", "emphasis", "sub", "sup", "strikethrough", "code", "stanza", "i", "b", "u", "table", "tr", "td", "th", "img",
+    "pre", "style", "center", "h1", "h2", "h3", "h4", "h5", "br", "stylesheet", "username", "em", "ol", "li", "col",
 )
 #: The format's name spaces.
 SPACES = {"xmlns": "http://www.gribuser.ru/xml/fictionbook/2.0", "xmlns:l": "http://www.w3.org/1999/xlink"}
@@ -98,75 +99,106 @@ def _decoded(body: bytes, codec: str) -> str:
     return re.sub(r'(<\?xml[^>]*?encoding=["\'])[^"\']*', r"\1UTF-8", text.removeprefix("﻿"), count=1)
 
 
+#: Entities that books hold escaped twice, in the order in which they lose a level.
+TWICE = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+_TWICE = [(re.compile(x, re.I), y) for x, y in TWICE]
+
+
 class _Text(ContentHandler):
-    """Writes a book anew: without binaries and line breaks, foreign tags as text, references by number, the tool named."""
+    """Writes a book anew: without binaries and line breaks, foreign tags as text (but inside custom-info), entities
+    escaped twice freed of one level, references by number, the tool named."""
 
     def __init__(self, ids: dict[str, str], tool: str):
         super().__init__()
-        self.out, self.skip, self.ids, self.tool, self.path, self.named = ['<?xml version="1.0" encoding="UTF-8"?>\n'], 0, ids, tool, [], False
+        self.out, self.skip, self.ids, self.tool, self.named, self.custom = ['<?xml version="1.0" encoding="UTF-8"?>\n'], 0, ids, tool, False, False
+        self.held: list[str] = []
+
+    def _flush(self) -> None:
+        if self.held:
+            text = "".join(self.held)  # an entity may have come in pieces
+            for pattern, char in _TWICE:
+                text = pattern.sub(char, text)
+            self.out.append(escape(text))
+            self.held = []
 
     def startElement(self, name, attributes):  # noqa: N802
-        own = name.rsplit(":", 1)[-1]
-        self.path.append(own)
-        if self.skip or own == "binary":
+        low = name.rsplit(":", 1)[-1].lower()
+        self.custom |= low == "custom-info"
+        if low == "br":
+            return
+        self._flush()
+        if self.skip or low == "binary":
             self.skip += 1
-        elif own == "br":
-            pass
-        elif own not in BOOK_TAGS:
-            self.out.append(escape(f"<{own}>"))
+        elif low not in BOOK_TAGS and not self.custom:
+            self.out.append(escape(f"<{name}>"))
         else:
-            given = {k: v for k, v in attributes.items() if k not in SPACES and not k.startswith("xmlns")}
-            if own == "FictionBook":
+            given = {k: v for k, v in attributes.items() if not k.startswith("xmlns")}
+            if low == "fictionbook":
                 given = SPACES | given
-            self.out.append(f"<{own}" + "".join(f" {a}={quoteattr(b)}" for a, b in map(self._reference, given.items())) + ">")
+            self.out.append(f"<{name}" + "".join(f" {a}={quoteattr(b)}" for a, b in map(self._reference, given.items())) + ">")
 
     def _reference(self, item):
         name, value = item
+        if name.startswith("xlink:"):
+            name = f"l:{name[6:]}"
         if name.endswith(":href"):
             name = "l:href"
-            if value.startswith("#") and value[1:] in self.ids:
-                value = f"#{self.ids[value[1:]]}"
+            if value.startswith("#"):
+                bare = value.lstrip("#")
+                value = f"#{self.ids.get(bare, bare)}"
         return name, value
 
     def endElement(self, name):  # noqa: N802
-        own = self.path.pop()
+        low = name.rsplit(":", 1)[-1].lower()
+        self.custom &= low != "custom-info"
+        if low == "br":
+            return
+        self._flush()
         if self.skip:
             self.skip -= 1
-        elif own == "br":
-            pass
-        elif own not in BOOK_TAGS:
-            self.out.append(escape(f"</{own}>"))
+        elif low not in BOOK_TAGS and not self.custom:
+            self.out.append(escape(f"</{name}>"))
         else:
-            if own == "program-used":
+            used = f"<program-used>{escape(self.tool)}</program-used>"
+            if low == "program-used":
                 self.out.append(f", {escape(self.tool)}")
                 self.named = True
-            elif own == "document-info" and not self.named:
-                self.out.append(f"<program-used>{escape(self.tool)}</program-used>")
+            elif low == "document-info" and not self.named:
+                self.out.append(used)
                 self.named = True
-            self.out.append(f"</{own}>")
+            elif low == "description" and not self.named:
+                self.out.append(f"<document-info>{used}</document-info>")
+                self.named = True
+            self.out.append(f"</{name}>")
 
     def characters(self, content):
         if not self.skip:
-            self.out.append(escape(content))
+            self.held.append(content)
 
 
 def book_text(df: DataFrame, body: str = "body", tool: str = "bookloom") -> DataFrame:
     """Adds text (the book without pictures) and status (valid, repaired, or the parser's error).
 
-    A book that does not parse is repaired (cut ends, stray characters) and tried again. Its pictures are
-    renamed in references: the cover to ``cover``, the others to their numbers. Null bodies give null.
+    A cut end is closed. A book that does not parse is scanned for stray characters (``markup.mended``) and tried
+    again; only such books are. Its pictures are renamed in references: the cover to ``cover``, the others to
+    their numbers. Null bodies give null.
     """
 
-    @F.pandas_udf("string")
-    def renamed(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else _renamed(t, tool) for t in texts], dtype="object")
+    @F.pandas_udf("text string, status string")
+    def read(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(None, None) if t is None else _read(t, tool) for t in texts], columns=["text", "status"])
 
-    mended = markup.repair_markup(markup.repair_tail(F.col("_decoded")), (*BOOK_TAGS, "br"))
-    out = df.withColumn("_decoded", decoded(F.col(body))).withColumn("_first", renamed(F.col("_decoded")))
-    out = out.withColumn("_second", F.when(F.col("_first").startswith("!"), renamed(mended)))
-    text = F.when(~F.col("_first").startswith("!"), F.col("_first")).when(~F.col("_second").startswith("!"), F.col("_second"))
-    status = F.when(F.col("_first").isNull(), None).when(~F.col("_first").startswith("!"), "valid").when(~F.col("_second").startswith("!"), "repaired").otherwise(F.substring("_second", 2, 200))
-    return out.withColumns({"text": text, "status": status}).drop("_decoded", "_first", "_second")
+    return df.withColumn("_read", read(markup.repair_tail(decoded(F.col(body))))).select(*df.columns, "_read.text", "_read.status")
+
+
+def _read(text: str, tool: str) -> tuple[str | None, str]:
+    try:
+        return _renamed(text, tool), "valid"
+    except SAXParseException:
+        try:
+            return _renamed(markup.mended(text, BOOK_TAGS), tool), "repaired"
+        except SAXParseException as e:
+            return None, e.getMessage()
 
 
 def _renamed(text: str, tool: str) -> str:
@@ -179,10 +211,7 @@ def _renamed(text: str, tool: str) -> str:
         else:
             numbers[x], n = str(n), n + 1
     handler = _Text(numbers, tool)
-    try:
-        parseString(text.encode(), handler)
-    except SAXParseException as e:
-        return f"!{e.getMessage()}"
+    parseString(text.encode(), handler)
     return "".join(handler.out)
 
 

@@ -63,8 +63,8 @@ def choose(path: str, name: str | None = None, known: dict[str, Dialect] | None
 
 
 def load(spark: SparkSession, path: str, dialect: Dialect) -> dict[str, DataFrame]:
-    """All tables of a dialect from the dump under ``path``."""
-    return {name: dump.read(spark, path, name, schema) for name, schema in dialect.tables.items()}
+    """All tables of a dialect from the dump under ``path``, in one pass over its files."""
+    return dump.read_tables(spark, path, dialect.tables)
 
 
 def corrected(rows: DataFrame, replacements: DataFrame, libraries: DataFrame, library: str, key: str, columns: list[str]) -> DataFrame:

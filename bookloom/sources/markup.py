@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import functools
 from xml.etree import ElementTree
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: The single-byte encodings that take part in the vote, of Latin and of other letters.
@@ -31,16 +33,57 @@ def repair_tail(text: Column, root: str = "FictionBook") -> Column:
     )
 
 
-def repair_markup(text: Column, tags: tuple[str, ...]) -> Column:
-    """Stray ampersands and angle brackets escaped, control characters dropped, addresses in brackets freed.
+_ADDRESS = regex.compile(r"<([0-9a-z][0-9a-z._+-]*@[0-9a-z][0-9a-z.-]*\.[a-z]{2,6})>", regex.I)
+
+
+@functools.cache
+def _marks(tags: tuple[str, ...]) -> regex.Pattern:
+    """All that a scan stops at, with what has to stand around it."""
+    names = "|".join(map(regex.escape, tags))
+    return regex.compile(
+        rf"(?P<br></?br\s*/?>)|(?P<ends>[\r\n]+)|(?P<control>[\x00-\x08\x0b\x0c\x0e-\x1f])|(?P<amp>&(?!(?:amp|apos|gt|lt|quot);))"
+        rf"|(?P<close></[^a-z<>]+>)|(?P<custom><(?P<end>/?)custom-info(?=[ >/\r\n]))|(?P<lt><(?!!--|/?(?:{names})[ >/\r\n]))|(?P<gt>(?<![\"/]|--|[</](?:{names}))>)",
+        regex.I,
+    )
+
+
+def mended(text: str, tags: tuple[str, ...]) -> str:
+    """Broken mark-up in one scan, from the declaration's end on.
 
-    A bracket opens a tag only before one of ``tags`` (or a declaration or comment).
+    An ampersand that begins none of the five entities, a bracket that opens no known tag or end tag (a name and a
+    space, a slash, a line end or the closing bracket), and one that closes none (before it a quote, a slash or
+    a known name) are escaped; inside ``custom-info`` all brackets stay. Line breaks, control characters and end tags
+    without a letter go, line ends become one. Before that addresses in brackets are put in quotes and bare
+    numbers of sections too.
     """
-    out = F.regexp_replace(text, r"<([\w.+-]+@[\w.-]+)>", "$1")
-    out = F.regexp_replace(out, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
-    out = F.regexp_replace(out, r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)", "&amp;")
-    names = "|".join(tags)
-    return F.regexp_replace(out, rf"<(?!/?(?:{names})(?:[\s/>]|$)|[?!])", "&lt;")
+    out = _ADDRESS.sub(r'"\1"', text)
+    out = regex.sub(r"(?i)<section id=n(\d+)>", r'<section id="n\1">', out)
+    head, sep, rest = out.partition("?>")
+    if not sep:
+        head, rest = "", out
+    custom = False
+
+    def one(m: regex.Match) -> str:
+        nonlocal custom
+        kind = m.lastgroup if m.lastgroup != "end" else "custom"
+        if kind == "custom":
+            custom = not m["end"]
+            return m[0]
+        if kind in ("lt", "gt"):
+            return m[0] if custom else f"&{kind};"
+        return {"ends": "\n", "amp": "&amp;"}.get(kind, "")
+
+    return f"{head}{sep}" + _marks(tags).sub(one, rest)
+
+
+def repair_markup(text: Column, tags: tuple[str, ...]) -> Column:
+    """``mended`` as a column; null stays null."""
+
+    @F.pandas_udf("string")
+    def scan(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else mended(t, tags) for t in texts], dtype="object")
+
+    return scan(text)
 
 
 def encoding(body: Column, declared: str = r'encoding="([\w-]+)"') -> Column:

@@ -22,8 +22,8 @@ def folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, partition: str | None = None) -> DataFrame:
     """``df`` written once and read back: what follows neither plans nor computes it again, and a lost executor costs its tasks only."""
     path = folder(df.sparkSession)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -158,7 +158,7 @@ def test_markup_repair(spark):
 
     tail = lambda t: one(spark, markup.repair_tail(F.col("t"), "b"), t=t)
     assert tail("<b>x</b>junk") == "<b>x</b>" and tail("<b>x<binary>1<binary>2") == "<b>x<binary>1</b>" and tail("<b><body>x</body>y") == "<b><body>x</body></b>" and tail("<b>x") == "<b>x"
-    assert one(spark, markup.repair_markup(F.col("t"), ("p", "b")), t="<p>a & b &amp; <me@x.y> 1 < 2 <q>\x01</p>") == "<p>a &amp; b &amp; me@x.y 1 &lt; 2 &lt;q></p>"
+    assert one(spark, markup.repair_markup(F.col("t"), ("p", "b")), t="<p>a & b &amp; <me@x.yz> 1 < 2 <q>\x01</p>") == '<p>a &amp; b &amp; "me@x.yz" 1 &lt; 2 &lt;q&gt;</p>'
     rows = spark.createDataFrame([("тест слова".encode("cp1251"),), ("é".encode(),), (b"\xff\xfea\0",), (b'<?xml encoding="KOI8-R"?>',), (None,)], "b binary")
     assert [r.e for r in rows.select(markup.encoding(F.col("b")).alias("e")).collect()] == ["cp1251", "utf-8", "utf-16le", "koi8-r", None]
     book = b'<f xmlns:l="l"><coverpage><image l:href="#c.jpg"/></coverpage><binary id="c.jpg">aGk=</binary><binary id="d">?</binary></f>'

@@ -2,6 +2,8 @@
 
 import io
 import json
+import random
+import re
 import zipfile
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bookloom.operators import entries, publish
 from bookloom.sinks import published
-from bookloom.sources import books, dialects, hash_store
+from bookloom.sources import books, dialects, hash_store, markup
 
 
 def zipped(files):
@@ -30,18 +32,70 @@ EPUB = {
 
 
 def test_book_text(spark):
-    broken = FB2.replace("</FictionBook>", "").replace("<p>", "<p>a & b <x@y.z> ")
+    broken = FB2.replace("</FictionBook>", "").replace("<p>", "<p>a & b <x@y.zz> ")
     rows = spark.createDataFrame([(1, FB2.encode("cp1251")), (2, broken.encode("cp1251")), (3, None), (4, b"<FictionBook><p></FictionBook")], "id int, body binary")
     got = {r.id: r for r in books.book_text(rows).collect()}
     assert (got[1].status, got[2].status, got[3].text) == ("valid", "repaired", None) and got[4].text is None
     text = got[1].text
     assert "binary" not in text and "<br" not in text and "&lt;foo&gt;odd&lt;/foo&gt;" in text and "Текст" in text
     assert 'l:href="#cover"' in text and 'l:href="#0"' in text and "<program-used>X, bookloom</program-used>" in text and 'encoding="UTF-8"' in text
-    assert "a &amp; b" in got[2].text and "x@y.z" in got[2].text
+    assert "a &amp; b" in got[2].text and '"x@y.zz"' in got[2].text
     again = books.book_text(spark.createDataFrame([(1, text.encode())], "id int, body binary")).first()
     assert again.status == "valid" and "X, bookloom, bookloom" in again.text
 
 
+def test_book_text_keeps_known_tags_in_any_case(spark):
+    inner = "<p><i>it</i> <B>b</B> &amp;lt;x&amp;GT; &amp;amp;quot;</p><h1>H</h1><P>up<nick>n</nick></P><q>no</q>"
+    book = f"<FictionBook><description><custom-info><any>x</any></custom-info></description><body>{inner}</body></FictionBook>"
+    text = books.book_text(spark.createDataFrame([(1, book.encode())], "id int, body binary")).first().text
+    assert "<p><i>it</i> <B>b</B> &lt;x&gt; &amp;quot;</p><h1>H</h1><P>up<nick>n</nick></P>&lt;q&gt;no&lt;/q&gt;" in text
+    assert "<any>x</any></custom-info><document-info><program-used>bookloom</program-used></document-info></description>" in text
+
+
+def slow_mended(text, tags):
+    """The scan of ``markup.mended`` character by character."""
+    out, i, custom = "", 0, False
+    low = text.lower()
+    starts = lambda at, names: next((t for t in names if low.startswith(t, at) and text[at + len(t) : at + len(t) + 1] in tuple(" >/\r\n")), None)
+    while i < len(text):
+        c = text[i]
+        br = re.match(r"(?i)</?br\s*/?>", text[i:])
+        letterless = re.match(r"(?i)</[^a-z<>]+>", text[i:])
+        if br or letterless:
+            i += (br or letterless).end()
+            continue
+        if c in "\r\n":
+            while i < len(text) and text[i] in "\r\n":
+                i += 1
+            out += "\n"
+            continue
+        if c < " " and c != "\t":
+            i += 1
+            continue
+        if c == "&" and not any(low.startswith(x, i + 1) for x in ("amp;", "apos;", "gt;", "lt;", "quot;")):
+            out += "&amp;"
+        elif c == "<" and starts(i + 1, ("custom-info",)) or c == "<" and text[i + 1 : i + 2] == "/" and starts(i + 2, ("custom-info",)):
+            custom = text[i + 1] != "/"
+            out += c
+        elif c == "<" and not text.startswith("<!--", i) and not starts(i + 1 + (text[i + 1 : i + 2] == "/"), tags) and not custom:
+            out += "&lt;"
+        elif c == ">" and not custom and text[i - 1 : i] not in ('"', "/") and not text[:i].endswith("--") and not any(low[:i].endswith(f"{x}{t}") for t in tags for x in "</"):
+            out += "&gt;"
+        else:
+            out += c
+        i += 1
+    return out
+
+
+def test_scan_against_a_slow_one():
+    rng, tags = random.Random(6), ("p", "b", "section", "br", "custom-info")
+    parts = ["<p>", "</p>", "<P ", '<b a="x">', "<b/>", "<q>", "</q>", "a", " ", "&", "&amp;", "&LT;", "&#160;", "<", ">", "\r\n", "\n", "\x01", "<br>", "<br />", "</1>", "<section\n", "<!-- c -->", "<custom-info>", "</custom-info>", '"', "/", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        assert markup.mended(text, tags) == slow_mended(text, tags), text
+    assert markup.mended("<?xml & ?><a@b.cd> <section id=n3>x", tags) == '<?xml & ?>"a@b.cd" <section id="n3">x'
+
+
 def test_kinds_and_epub(spark):
     rows = spark.createDataFrame([(1, zipped(EPUB)), (2, zipped({"a.fb2": "x"})), (3, FB2.encode()), (4, b"no"), (5, None), (6, b"PK\x03\x04broken")], "id int, body binary")
     assert [r.k for r in rows.select("id", books.kind_of(F.col("body")).alias("k")).orderBy("id").collect()] == ["epub", "archive", "fb2", None, None, None]
