@@ -8,6 +8,7 @@ with characters outside the plain Latin ranges, goes to the library as it is.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 
@@ -106,6 +107,13 @@ class Chunks(dict):
         return self.make(self.encoder.chunk(first)), map(self.__getitem__, rest)
 
 
+@functools.lru_cache(maxsize=1)
+def worker_chunks(path: str, capacity: int) -> tuple[Encoder, Chunks]:
+    """The encoder and its chunks of ids, kept by a worker from one task to its next."""
+    encoder = Encoder(path, capacity)
+    return encoder, Chunks(encoder, bytes)
+
+
 def vocabulary_chunks(path: str) -> list[str]:
     """Pieces of the vocabulary that are a space and a whole word: its most frequent pre-tokens."""
     back = {c: b for b, c in enumerate(_byte_letters())}

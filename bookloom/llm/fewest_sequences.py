@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from bookloom.llm.bpe import Chunks, Encoder
+from bookloom.llm.bpe import worker_chunks
 from bookloom.llm.common import materialise
 
 
@@ -54,13 +54,9 @@ def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", ca
 
     Only documents of more than ``capacity`` ids are cut; all pieces but the first have ``capacity`` ids.
     """
-    kept: dict[str, tuple[Encoder, Chunks]] = {}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if path not in kept:
-            encoder = Encoder(path, cache)
-            kept[path] = encoder, Chunks(encoder, bytes)
-        encoder, chunks = kept[path]
+        encoder, chunks = worker_chunks(path, cache)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
