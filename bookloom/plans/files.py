@@ -35,10 +35,10 @@ UNESCAPED = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_
 
 @query("book_text", rf"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'repaired' ELSE 'valid' END AS status,
  sha256('<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<FictionBook xmlns="http://www.gribuser.ru/xml/fictionbook/2.0" xmlns:l="http://www.w3.org/1999/xlink"><description><title-info><book-title>' || {xml_sql("url")}
- || '</book-title><coverpage><image l:href="#cover"></image></coverpage></title-info><document-info><program-used>bookloom</program-used></document-info></description><body><section><h1>H</h1><P><i>it</i>'
+ || '</book-title><coverpage><image l:href="' || CASE WHEN page_id % 3 = 0 THEN '#c.jpg' ELSE '#cover' END || '"></image></coverpage></title-info><document-info><program-used>bookloom</program-used></document-info></description><body><section><h1>H</h1><P><i>it</i>'
  || CASE WHEN page_id % 3 = 0 THEN 'a &amp; b "me@x.yz" &lt;Hello&gt; 1 &lt; 2 &gt; 1 &amp;#169; ' ELSE '' END || CASE WHEN page_id % 3 = 0 THEN regexp_replace({xml_sql(UNESCAPED)}, '\n+', chr(10), 'g') ELSE {xml_sql(UNESCAPED)} END
  || '<image l:href="#0"></image><image l:href="#lost"></image></P></section></body></FictionBook>') AS digest FROM pages""")
 def book_text(spark, sf_dir):
-    """Books without their pictures, broken ones repaired: there line ends that follow each other are one."""
+    """Books without their pictures, broken ones repaired: there line ends that follow each other are one, and the last picture, the cover, is cut off."""
     found = books.book_text(page_books(spark, sf_dir))
     return found.select("page_id", "status", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
