@@ -84,21 +84,50 @@ def table_files(spark, sf_dir):
     return spark.read.parquet(at).groupBy(F.col("c_nationkey").cast("int").alias("c_nationkey")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
 
 
-@query("hash_store", r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-SELECT CAST(doc_id AS VARCHAR) || '.fb2' AS file, md5(text) AS hash, lang AS title, (SELECT count(*) FROM l WHERE l.doc_id = d.doc_id) AS sections, (SELECT CAST(sum(length(line)) AS BIGINT) FROM l WHERE l.doc_id = d.doc_id) AS size, CAST(doc_id % 3 AS BIGINT) AS images FROM documents d""")
-def hash_store_files(spark, sf_dir):
-    """Fingerprints of documents, their lines as sections, written as XML per archive and read back."""
-    docs = table(spark, sf_dir, "documents")
+STORE = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+ s AS (SELECT doc_id, count(*) AS sections, CAST(sum(length(line)) AS BIGINT) AS size, md5(string_agg(i % 3 || ' ' || md5(line) || ' ' || len(string_split(line, ' ')), ',' ORDER BY i)) AS tree FROM l GROUP BY 1)
+SELECT 'archive-' || doc_id % 4 AS folder, doc_id || '.fb2' AS file, md5(lower(text)) AS id, md5(text) AS hash, lang AS title, CASE WHEN doc_id % 5 = 0 THEN 'archive-0/' || doc_id // 2 || '.fb2' END AS origin, CASE WHEN doc_id % 2 = 0 THEN md5(source) END AS cover,
+ sections, size, tree, array_to_string(list_transform(range(doc_id % 3), lambda i: 'image ' || i || ' 00ff'), ',') AS images FROM documents JOIN s USING (doc_id)"""
+
+
+def fingerprints(spark, sf_dir):
+    """Documents as books of the store, their lines as sections of three depths."""
+    key = F.col("doc_id")
     section = F.transform(F.split("text", "\n"), lambda x, i: F.struct((i % 3).cast("int").alias("depth"), F.md5(x.cast("binary")).alias("id"), F.size(F.split(x, " ")).cast("long").alias("count"), F.char_length(x).cast("long").alias("size")))
-    pictures = F.transform(F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (F.col("doc_id") % 3).cast("int")), lambda x: F.struct(x.alias("id"), x.alias("hash"), F.lit("00ff").alias("phash")))
-    rows = docs.select(
-        F.concat(F.lit("archive-"), (F.col("doc_id") % 4).cast("string")).alias("folder"), F.concat(F.col("doc_id").cast("string"), F.lit(".fb2")).alias("file"), F.md5(F.lower("text").cast("binary")).alias("id"), F.md5(F.col("text").cast("binary")).alias("hash"), F.col("lang").alias("title"),
-        F.lit(None).cast("struct<folder:string,file:string>").alias("origin"), F.lit(None).cast("struct<hash:string,phash:string>").alias("cover"), pictures.alias("images"), section.alias("sections"))
-    at = folder(spark)
-    hash_store.write(rows, at)
-    back = hash_store.read(spark, at)
+    pictures = F.transform(F.slice(F.array(F.lit("0"), F.lit("1")), F.lit(1), (key % 3).cast("int")), lambda x: F.struct(x.alias("id"), F.lit("image").alias("hash"), F.lit("00ff").alias("phash")))
+    origin = F.when(key % 5 == 0, F.struct(F.lit("archive-0").alias("folder"), F.concat(F.expr("doc_id div 2").cast("string"), F.lit(".fb2")).alias("file")))
+    cover = F.when(key % 2 == 0, F.struct(F.md5(F.col("source").cast("binary")).alias("hash"), F.lit("1f").alias("phash")))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("archive-"), (key % 4).cast("string")).alias("folder"), F.concat(key.cast("string"), F.lit(".fb2")).alias("file"), F.md5(F.lower("text").cast("binary")).alias("id"), F.md5(F.col("text").cast("binary")).alias("hash"), F.col("lang").alias("title"),
+        origin.alias("origin"), cover.alias("cover"), pictures.alias("images"), section.alias("sections"), F.col("text"))
+
+
+def told():
+    """What a store gives back of each book: its parts, and a digest of the tree with depths and ids."""
     size = F.aggregate("sections", F.lit(0).cast("long"), lambda n, s: n + s["size"])
-    return back.select("file", "hash", "title", F.size("sections").cast("long").alias("sections"), size.alias("size"), F.size("images").cast("long").alias("images"))
+    tree = F.array_join(F.transform("sections", lambda s: F.concat_ws(" ", s["depth"].cast("string"), s["id"], s["count"].cast("string"))), ",")
+    pictures = F.array_join(F.transform("images", lambda i: F.concat_ws(" ", i["hash"], i["id"], i["phash"])), ",")
+    return ["folder", "file", "id", "hash", "title", F.when(F.col("origin").isNotNull(), F.concat_ws("/", "origin.folder", "origin.file")).alias("origin"), F.col("cover.hash").alias("cover"), F.size("sections").cast("long").alias("sections"), size.alias("size"), F.md5(tree.cast("binary")).alias("tree"), pictures.alias("images")]
+
+
+@query("hash_store", STORE)
+def hash_store_files(spark, sf_dir):
+    """Fingerprints of documents, their lines as sections, written as a line per book in a folder per archive and read back."""
+    at = folder(spark)
+    hash_store.write(fingerprints(spark, sf_dir), at)
+    return hash_store.read(spark, at).select(*told())
+
+
+@query("hash_documents", STORE.replace("SELECT 'archive-'", "SELECT 'lib & \"x\"' AS source, md5(url) AS words, annotation, 'archive-'").replace("FROM documents JOIN s", "FROM (SELECT *, lang || ':' || len(string_split(text, ' ')) || ',<&>:1' AS url, md5(lang || chr(10) || '<' || source || '>') AS annotation FROM documents) documents JOIN s"))
+def hash_documents(spark, sf_dir):
+    """The same as XML documents of many books over many lines, with histogram and annotation."""
+    at = folder(spark)
+    words = F.array(F.struct(F.size(F.split("text", " ")).cast("long").alias("count"), F.col("title").alias("word")), F.struct(F.lit(1).cast("long").alias("count"), F.lit("<&>").alias("word")))
+    note = table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".fb2")).alias("file"), F.array(F.col("lang"), F.concat(F.lit("<"), "source", F.lit(">"))).alias("annotation"))
+    rows = fingerprints(spark, sf_dir).withColumns({"source": F.lit('lib & "x"'), "histogram": words}).join(note, "file")
+    hash_store.write_books(rows, at)
+    counted = F.array_join(F.transform("histogram", lambda w: F.concat_ws(":", w["word"], w["count"].cast("string"))), ",")
+    return hash_store.read_books(spark, at).select("source", F.md5(counted.cast("binary")).alias("words"), F.md5(F.array_join("annotation", "\n").cast("binary")).alias("annotation"), *told())
 
 
 @query("entry_cascade", """WITH e AS (SELECT o_orderkey AS k, 'f' || o_orderkey % 3 AS folder, CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey || '.zip' ELSE CAST(o_orderkey AS VARCHAR) END AS file, md5(CAST(o_custkey AS VARCHAR)) AS md5 FROM orders),

@@ -222,3 +222,41 @@ def test_settings(spark, tmp_path):
     with pytest.raises(Exception, match="holds"):
         rows = spark.createDataFrame([(0.5,)], "x double")
         published.write_checked(rows, f"{tmp_path}/text", "csv", nullValue="0.5")
+
+
+def test_documents_of_books(spark, tmp_path):
+    """Documents as other tools write them: origin behind the sections, siblings and depth of sections, broken books."""
+    deep = "".join(f'\n<section id="d{i}" count="{i}" size="{10 * i}">' for i in range(40)) + "</section>" * 40
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.xml").write_text(f'''<?xml version="1.0"?>
+<books source="lib&amp;x">
+    <book hash="h1" id="i1" folder="f.zip" file="1.fb2" title="A &lt;b&gt;">
+        <cover id="c" pHash="1f">ch</cover><image id="0" pHash="2">ih</image>
+        <section id="i1" count="3" size="9"><section id="s1"/><section id="s2" count="1"></section></section><section id="t" size="4"/>
+        <histogram><item count="2" word="w"/></histogram><annotation><p>one
+two</p></annotation><origin folder="g.zip" file="0.fb2"/>
+    </book>
+    <book hash="h2" id="i2" folder="f.zip" file="2.fb2" title="">{deep}</book>
+    <book hash="h3" broken</book>
+</books>''')
+    (tmp_path / "y.xml").write_text('<books source="other"><book hash="h4" id="i4" folder="g" file="4.fb2" title="T"/></books>'.replace("/></books>", "></book></books>"))
+    got = {r.file: r for r in hash_store.read_books(spark, str(tmp_path)).collect()}
+    assert set(got) == {"1.fb2", "2.fb2", "4.fb2"} and [got[k].source for k in sorted(got)] == ["lib&x", "lib&x", "other"]
+    one = got["1.fb2"]
+    assert [tuple(s) for s in one.sections] == [(0, "i1", 3, 9), (1, "s1", 0, 0), (1, "s2", 1, 0), (0, "t", 0, 4)]
+    assert (tuple(one.cover), tuple(one.origin), [tuple(i) for i in one.images], [tuple(w) for w in one.histogram], one.annotation, one.title) == (("ch", "1f"), ("g.zip", "0.fb2"), [("0", "ih", "2")], [(2, "w")], ["one\ntwo"], "A <b>")
+    assert [s.depth for s in got["2.fb2"].sections] == list(range(40)) and got["2.fb2"].cover is None
+    broken = hash_store.broken_books(spark, str(tmp_path)).collect()
+    assert len(broken) == 1 and "h3" in broken[0].text
+
+
+def test_both_layouts_give_the_same_books(spark, tmp_path):
+    tree = [(0, "a", 1, 2), (1, 'b"', 3, 4), (2, "c", 5, 6), (1, "d", 0, 0), (0, "e", 7, 8)]
+    rows = [("f", f"{k}.fb2", f"i{k}", "h", "T\n'\"", ("o", "p") if k % 2 else None, ("c", "1") if k % 3 else None, [("1", "z", None)] * (k % 3), tree[: k % 6], "s", [(k, "w")], ["p"]) for k in range(12)]
+    schema = f"folder string, {hash_store.COLUMNS}, source string, histogram array<struct<count:long,word:string>>, annotation array<string>"
+    books_ = spark.createDataFrame(rows, schema)
+    hash_store.write(books_.drop("source", "histogram", "annotation"), str(tmp_path / "one"))
+    hash_store.write_books(books_, str(tmp_path / "two"))
+    columns = ["folder", "file", "id", "hash", "title", "origin", "cover", "images", "sections"]
+    one, two = (sorted(map(str, df.select(columns).collect())) for df in (hash_store.read(spark, str(tmp_path / "one")), hash_store.read_books(spark, str(tmp_path / "two"))))
+    assert one == two == sorted(map(str, books_.select(columns).collect()))
