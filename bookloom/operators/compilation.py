@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+
+#: What a text must hold to have a word.
+WORD = r"[\p{L}\p{N}]"
 
 
 def histogram(text: Column) -> Column:
-    """Words of a text with their counts, array of (n, word), most frequent first, then by word.
+    """Words of a text with their counts, array of (n, word), most frequent first, then by word; null without words.
 
     Counted inside the row: the words are sorted, and a run's length is the distance to the next run's start.
+    Rows without a word are best left out by ``WORD``, since a condition on the result would compute it once more.
     """
-    words = F.array_sort(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), ""))
+    words = F.sort_array(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), ""))
 
     def counted(ws: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(0), F.size(ws) - 1), lambda i: (i == 0) | (F.get(ws, i) != F.get(ws, i - 1)))
+        starts = F.filter(F.transform(ws, lambda w, i: F.when((i == 0) | (w != F.get(ws, i - 1)), i)), lambda i: i.isNotNull())
         runs = F.transform(F.array(starts), lambda at: F.transform(at, lambda s, k: F.struct((s - F.coalesce(F.get(at, k + 1), F.size(ws))).alias("less"), F.get(ws, s).alias("word"))))
-        return F.when(F.size(ws) > 0, F.array_sort(F.get(runs, F.lit(0))))
+        return F.when(F.size(ws) > 0, F.sort_array(F.get(runs, F.lit(0))))
 
     found = F.get(F.transform(F.array(words), counted), F.lit(0))
     return F.transform(found, lambda x: F.struct((-x["less"]).alias("n"), x["word"].alias("word")))
@@ -26,7 +34,7 @@ def text_ids(docs: DataFrame, key: str, text: str, top: int | None = None) -> Da
 
     A text without words has none. One map, no shuffle.
     """
-    found = docs.select(key, histogram(F.col(text)).alias("x")).where("x is not null")
+    found = docs.where(F.col(text).rlike(WORD)).select(key, histogram(F.col(text)).alias("x"))
     kept = F.col("x") if top is None else F.slice("x", 1, top)
     return found.select(key, F.md5(F.array_join(F.transform(kept, lambda w: F.concat_ws(" ", w["n"].cast("string"), w["word"])), ",").cast("binary")).alias("text_id"))
 
@@ -37,17 +45,60 @@ def last_at_depth(rows: DataFrame, doc: str, order: str, depth: str, wanted: int
     return rows.withColumn("parent", F.max(F.when(F.col(depth) == wanted, F.col(order))).over(before))
 
 
-def parents(rows: DataFrame, doc: str, order: str, depth: str, depths: int) -> DataFrame:
-    """Adds parent: the order of the nearest earlier row with a smaller depth; null for roots.
+def intervals(rows: DataFrame, doc: str, order: str, depth: str) -> DataFrame:
+    """Adds parent (the order of the nearest earlier row of smaller depth, null for roots) and leave (the last order inside).
 
-    One running maximum per depth, so a document's sections are read once, in order.
+    A row's subtree is all of its document from ``order`` to ``leave``, so one row lies in another where its order does,
+    whatever the depth. One fold over each document's rows in order, which holds the open rows alone (one a level).
+    Columns must be scalars.
     """
-    before = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.max(F.when(F.col(depth) == d, F.col(order))).over(before) for d in range(depths)]
-    pick = F.lit(None).cast("long")
-    for d in range(1, depths):
-        pick = F.when(F.col(depth) == d, F.greatest(*last[:d]) if d > 1 else last[0]).otherwise(pick)
-    return rows.withColumn("parent", pick)
+    names = rows.columns
+    at_doc, at_order, at_depth = (names.index(c) for c in (doc, order, depth))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_: list[tuple] = []  # (row, parent)
+        last = None
+        for batch in batches:
+            done = []
+
+            def close(least: int) -> None:
+                while open_ and open_[-1][0][at_depth] >= least:
+                    row, parent = open_.pop()
+                    done.append((*row, parent, last[at_order]))
+
+            for row in batch.astype(object).where(batch.notna(), None).itertuples(index=False, name=None):
+                close(row[at_depth] if last is not None and row[at_doc] == last[at_doc] else _BELOW_ALL)
+                open_.append((row, open_[-1][0][at_order] if open_ else None))
+                last = row
+            yield pd.DataFrame(done, columns=[*names, "parent", "leave"])
+        done = []
+        while open_:
+            row, parent = open_.pop()
+            done.append((*row, parent, last[at_order]))
+        yield pd.DataFrame(done, columns=[*names, "parent", "leave"])
+
+    kind = rows.schema[order].dataType
+    schema = T.StructType([*rows.schema.fields, T.StructField("parent", kind), T.StructField("leave", kind)])
+    return rows.repartition(doc).sortWithinPartitions(doc, order).mapInPandas(_nullable(fold, schema), schema)
+
+
+_BELOW_ALL = -(1 << 62)
+
+
+def _nullable(fold, schema: T.StructType):
+    """Whole numbers with nulls in them stay whole on their way to Arrow."""
+    whole = {f.name: "Int64" for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in fold(batches):
+            yield out.astype(whole)
+
+    return run
+
+
+def parents(rows: DataFrame, doc: str, order: str, depth: str) -> DataFrame:
+    """Adds parent: the order of the nearest earlier row with a smaller depth; null for roots."""
+    return intervals(rows, doc, order, depth).drop("leave")
 
 
 def compilations(sections: DataFrame, published: DataFrame, doc: str, book: str, least_size: int, least_parts: int = 2) -> DataFrame:
@@ -75,17 +126,13 @@ def tree_compilations(sections: DataFrame, published: DataFrame, doc: str = "doc
     ``covered`` says that none is. Parts are numbered by the place of their first section.
     """
     known = published.select("section").distinct().withColumn("known", F.lit(True))
-    rows = sections.join(known, "section", "left").withColumns({"part_of": (F.col("section") != F.col("own")) & F.coalesce("known", F.lit(False)), "small": F.col("size") < least_size})
-    levels = (sections.agg(F.max("depth").alias("n")).first()["n"] or 0) + 1
+    rows = intervals(sections.select(doc, "own", "ord", "depth", "section", "size"), doc, "ord", "depth").join(known, "section", "left")
+    rows = rows.withColumns({"part_of": (F.col("section") != F.col("own")) & F.coalesce("known", F.lit(False)), "small": F.col("size") < least_size})
     order = Window.partitionBy(doc).orderBy("ord")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    stops = F.struct("ord", (F.col("small") | F.col("part_of")).alias("stop"))
-    last = [F.max(F.when(F.col("depth") == d, stops)).over(before) for d in range(levels - 1)]  # the ancestor at depth d is the last row of that depth
-    above = F.lit(False)
-    for d, x in enumerate(last):
-        above = above | (F.col("depth") > d) & F.coalesce(x["stop"], F.lit(False))
-    walked = rows.withColumns({"above": above, "below": F.lead("depth").over(order)}).where(~F.col("above") & ~F.col("small"))
-    missing = ~F.col("part_of") & (F.col("section") != F.col("own")) & (F.coalesce("below", F.lit(0)) <= F.col("depth"))
+    # intervals nest, so a row lies below a stop if any stop before it reaches this far
+    reach = F.max(F.when(F.col("small") | F.col("part_of"), F.col("leave"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    walked = rows.withColumn("above", F.coalesce(reach >= F.col("ord"), F.lit(False))).where(~F.col("above") & ~F.col("small"))
+    missing = ~F.col("part_of") & (F.col("section") != F.col("own")) & (F.col("leave") == F.col("ord"))
     covered = walked.groupBy(doc).agg((~F.bool_or(missing)).alias("covered"))
     parts = walked.where("part_of").groupBy(doc, "section").agg(F.min("ord").alias("ord"))
     hit = parts.withColumn("part", F.row_number().over(Window.partitionBy(doc).orderBy("ord")) - 1).join(published.distinct(), "section")

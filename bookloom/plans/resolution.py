@@ -46,6 +46,18 @@ def merged_ratings(spark, sf_dir):
     return merged.withColumn("series", F.array_join("series", "|"))
 
 
+@query("merged_series", f"""{CLOSURE}, own AS (SELECT coalesce(root, doc_id) AS book_id, doc_id, source, lang FROM documents LEFT JOIN roots ON dup = doc_id),
+ every AS (SELECT book_id, doc_id, 0 AS nth, source AS title FROM own UNION ALL SELECT book_id, doc_id, 1, lang FROM own WHERE doc_id % 2 = 0),
+ once AS (SELECT book_id, title, min((doc_id, nth)) AS came FROM every GROUP BY 1, 2)
+SELECT book_id, string_agg(title, '|' ORDER BY came) AS series FROM once GROUP BY 1""")
+def merged_series(spark, sf_dir):
+    """The different series of all that lead to one book, in the order in which they first come."""
+    docs = table(spark, sf_dir, "documents")
+    series = F.when(F.col("doc_id") % 2 == 0, F.array("source", "lang")).otherwise(F.array("source"))
+    books = docs.select(F.col("doc_id").alias("book_id"), F.lit(0.0).alias("rate_sum"), F.lit(0).alias("rate_count"), F.lit(False).alias("deleted"), series.alias("series"))
+    return resolve.merge_into_roots(books, dup_closure(spark, sf_dir), unique=True).select("book_id", F.array_join("series", "|").alias("series"))
+
+
 @query("hamming_pairs", """WITH h AS (SELECT vec_id, label, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b FROM embeddings)
 SELECT a.vec_id AS left_id, b.vec_id AS right_id, CAST(list_sum(list_transform(list_zip(a.b, b.b), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) AS BIGINT) AS distance
 FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_sum(list_transform(list_zip(a.b, b.b), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) <= 24""")
@@ -95,7 +107,7 @@ def word_histogram(spark, sf_dir):
 SELECT doc_id, string_agg(word || ' ' || n, ',' ORDER BY rn) AS words FROM r WHERE rn <= 3 GROUP BY 1""")
 def histogram_top_words(spark, sf_dir):
     """The three most frequent words of each document."""
-    found = table(spark, sf_dir, "documents").select("doc_id", F.slice(compilation.histogram(F.col("text")), 1, 3).alias("x")).where("x is not null")
+    found = table(spark, sf_dir, "documents").where(F.col("text").rlike(compilation.WORD)).select("doc_id", F.slice(compilation.histogram(F.col("text")), 1, 3).alias("x"))
     return found.select("doc_id", F.array_join(F.transform("x", lambda w: F.concat_ws(" ", w["word"], w["n"].cast("string"))), ",").alias("words"))
 
 
@@ -123,7 +135,7 @@ def section_parents(spark, sf_dir):
     """Nearest earlier section of smaller depth, in a list of (depth, section) in page order."""
     order = F.row_number().over(compilation.Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), order.cast("long").alias("ord"), (F.col("l_suppkey") % 3).cast("int").alias("depth"))
-    return compilation.parents(rows, "doc", "ord", "depth", 3).select("doc", "ord", "parent")
+    return compilation.parents(rows, "doc", "ord", "depth").select("doc", "ord", "parent")
 
 
 @query("compilations", r"""WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ord FROM documents),
@@ -146,3 +158,12 @@ def title_overlap(spark, sf_dir):
     words = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.explode(tx.title_tokens(F.col("text"))).alias("word")).where(F.char_length("word") >= 5)
     a, b = words.alias("a"), words.alias("b")
     return a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id")).distinct()
+
+
+@query("title_groups", r"""WITH RECURSIVE w AS (SELECT item_id AS id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: length(x) >= 9))) AS word FROM benchmark),
+ r(id, other) AS (SELECT id, id FROM w UNION SELECT r.id, b.id FROM r JOIN w a ON a.id = r.other JOIN w b ON b.word = a.word)
+SELECT id, min(other) AS component FROM r GROUP BY 1""")
+def title_groups(spark, sf_dir):
+    """Titles joined by long words that they share, each word's titles by its first one."""
+    words = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.explode(tx.title_tokens(F.col("text"))).alias("word")).where(F.char_length("word") >= 9)
+    return resolve.sharing(words)

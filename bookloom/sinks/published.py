@@ -6,7 +6,7 @@ an archive, and within it the names of the parts follow the order of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from bookloom.operators import publish
 
@@ -17,15 +17,21 @@ def _in_order(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
 
 
 def write_checked(rows: DataFrame, path: str, format: str = "parquet", partition: str | None = None, **options: str) -> int:
-    """Writes and reads back; the number of rows, or an error if that or the rows' digests differ."""
-    writer = rows.write.format(format).options(**options)
+    """Writes and reads back; the number of rows, or an error if that or the rows' digests differ.
+
+    What is written is counted and digested on its way, so its plan runs once. Digests add up, so a row that
+    came twice does not make up for another that was lost.
+    """
+    own = F.xxhash64(*[F.col(c).cast("string") for c in sorted(rows.columns)]).cast("decimal(38,0)")
+    totals = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(own), F.lit(0).cast("decimal(38,0)")).alias("digest")]
+    seen = Observation()
+    writer = rows.observe(seen, *totals).write.format(format).options(**options)
     (writer.partitionBy(partition) if partition else writer).save(path)
-    digest = lambda df: tuple(df.select(F.xxhash64(*[F.col(c).cast("string") for c in sorted(rows.columns)]).alias("h")).agg(F.count(F.lit(1)), F.coalesce(F.bit_xor("h"), F.lit(0))).first())
-    back = rows.sparkSession.read.schema(rows.schema).format(format).options(**options).load(path)
-    want, got = digest(rows), digest(back)
-    if want != got:
-        raise OSError(f"{path} holds {got[0]} rows of {want[0]}, or other ones")
-    return want[0]
+    got = rows.sparkSession.read.schema(rows.schema).format(format).options(**options).load(path).agg(*totals).first()
+    want = seen.get
+    if (want["n"], want["digest"]) != (got["n"], got["digest"]):
+        raise OSError(f"{path} holds {got['n']} rows of {want['n']}, or other ones")
+    return want["n"]
 
 
 def write_tables(tables: dict[str, DataFrame], path: str, partition: dict[str, str] | None = None) -> None:

@@ -1,11 +1,12 @@
 import io
+import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from bookloom.functions import text as tx
-from bookloom.operators import catalogue, corrections, images, publish, resolve
+from bookloom.operators import catalogue, compilation, corrections, images, publish, resolve
 from bookloom.sources import archive, dump, image_stats
 from bookloom.streaming import incremental
 
@@ -176,3 +177,56 @@ def test_whole_texts(spark, tmp_path):
     assert "<i>t</i>" in got["replace_tags"].html and '<a href="http://q.r/s">http://q.r/s</a> end' in got["replace_tags"].html
     assert got["contents_by_lang"].line == "src1\t" + " ".join(text.split()) + "\t1"
     assert got["author_packs"].body == text
+
+
+def test_intervals_equal_a_scan(spark):
+    rng = random.Random(3)
+    rows = [(d, i, rng.randint(0, 3)) for d in (1, 2, 3) for i in range(60)] + [(4, i, i) for i in range(500)] + [(5, i, 499 - i) for i in range(500)]
+    rng.shuffle(rows)
+    got = {tuple(r) for r in compilation.intervals(spark.createDataFrame(rows, "doc long, ord long, depth int"), "doc", "ord", "depth").collect()}
+    want = set()
+    for d in range(1, 6):
+        own = sorted(r for r in rows if r[0] == d)
+        for k, (_, i, depth) in enumerate(own):
+            parent = next((j for _, j, e in reversed(own[:k]) if e < depth), None)
+            end = next((m for m in range(k + 1, len(own)) if own[m][2] <= depth), len(own))
+            want.add((d, i, depth, parent, own[end - 1][1]))
+    assert got == want
+
+
+def test_wide_hamming_pairs(spark):
+    rng = random.Random(5)
+    base = [rng.getrandbits(63) for _ in range(8)]
+    rows = [(k, k % 3, rng.choice(base) ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 20)))) for k in range(300)]
+    frame = spark.createDataFrame(rows, "id long, block long, bits long")
+    for most in (0, 3, 17, 24, 40):
+        want = {(a, b, (x ^ y).bit_count()) for a, p, x in rows for b, q, y in rows if a < b and p == q and (x ^ y).bit_count() <= most}
+        got = [tuple(r) for r in resolve.hamming_pairs(frame, "block", "id", "bits", most).collect()]
+        assert set(got) == want and len(got) == len(want)
+    parts = resolve._pairs_by_parts(frame, 24, part=30)
+    assert {tuple(r) for r in parts.collect()} == {(a, b, (x ^ y).bit_count()) for a, p, x in rows for b, q, y in rows if a < b and p == q and (x ^ y).bit_count() <= 24} and parts.count() == len(set(parts.collect()))
+
+
+def test_histogram_is_computed_once(spark):
+    plan = compilation.text_ids(spark.createDataFrame([(1, "a b a")], "k long, t string"), "k", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") <= 2 and plan.count("split(") == 1
+
+
+def test_sharing_reaches_what_pairs_reach(spark):
+    rng = random.Random(7)
+    rows = sorted({(i, f"w{rng.randint(0, 60)}") for i in range(80) for _ in range(2)})
+    got = {r.id: r.component for r in resolve.sharing(spark.createDataFrame(rows, "id long, word string")).collect()}
+    want = {i: i for i, _ in rows}
+    while True:
+        new = {i: min(want[j] for j, v in rows for k, w in rows if k == i and v == w) for i in want}
+        if new == want:
+            break
+        want = new
+    assert got == want and len(set(want.values())) > 1
+    assert resolve.sharing(spark.createDataFrame([], "id long, word string")).count() == 0
+
+
+def test_unique_series(spark):
+    books = spark.createDataFrame([(1, 1.0, 1, True, ["a", "b"]), (2, 2.0, 1, False, ["c", "a"]), (3, 0.0, 0, True, ["b", "d"]), (9, 0.0, 0, True, [])], "book_id long, rate_sum double, rate_count long, deleted boolean, series array<string>")
+    got = {r.book_id: (r.rate_sum, r.deleted, r.series) for r in resolve.merge_into_roots(books, spark.createDataFrame([(1, 3), (2, 3)], "dup long, root long"), unique=True).collect()}
+    assert got == {3: (3.0, False, ["a", "b", "c", "d"]), 9: (0.0, True, [])}

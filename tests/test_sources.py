@@ -260,3 +260,15 @@ def test_both_layouts_give_the_same_books(spark, tmp_path):
     columns = ["folder", "file", "id", "hash", "title", "origin", "cover", "images", "sections"]
     one, two = (sorted(map(str, df.select(columns).collect())) for df in (hash_store.read(spark, str(tmp_path / "one")), hash_store.read_books(spark, str(tmp_path / "two"))))
     assert one == two == sorted(map(str, books_.select(columns).collect()))
+
+
+def test_a_doubled_row_does_not_hide_a_lost_one(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k long, t string")
+    read = type(spark.read).load
+
+    def other(reader, path, **options):
+        return read(reader, path, **options).where("k <> 2").unionByName(read(reader, path, **options).where("k = 1"))
+
+    monkeypatch.setattr(type(spark.read), "load", other)
+    with pytest.raises(OSError):
+        published.write_checked(rows, str(tmp_path / "x"))
