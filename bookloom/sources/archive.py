@@ -11,6 +11,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
+def listed(files: DataFrame) -> DataFrame:
+    """path, name, number of archives (path): the first number after ``fb2`` in the lower-cased name, 0 if there is none; of equal names the first path."""
+    named = files.select("path", F.lower(F.regexp_extract("path", r"([^/]*)$", 1)).alias("name"))
+    number = F.coalesce(F.regexp_extract("name", r"fb2.*?(\d+)", 1).try_cast("long"), F.lit(0))
+    return named.groupBy("name").agg(F.min("path").alias("path")).select("path", "name", number.alias("number"))
+
+
+def with_fingerprints(archives: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds hash: the file of fingerprints (path) that has the archive's name but for the suffix, null if none has."""
+    stem = lambda c: F.regexp_replace(F.lower(F.regexp_extract(c, r"([^/]*)$", 1)), r"\.[^.]*$", "")
+    known = files.groupBy(stem("path").alias("stem")).agg(F.min("path").alias("hash"))
+    return archives.withColumn("stem", stem("name")).join(known, "stem", "left").drop("stem")
+
+
 def listing(spark: SparkSession, path: str, pattern: str = "*.zip", hashes: str | None = None) -> DataFrame:
     """path, name, number, latest number first: archives by the first number after ``fb2`` in their name; of equal names (any case) one.
 
@@ -20,14 +34,9 @@ def listing(spark: SparkSession, path: str, pattern: str = "*.zip", hashes: str
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
     if not files.limit(1).count():
         raise FileNotFoundError(f"no archives {pattern} under {path}")
-    named = files.withColumn("name", F.lower(F.regexp_extract("path", r"([^/]*)$", 1)))
-    one = Window.partitionBy("name").orderBy("path")
-    number = F.coalesce(F.regexp_extract("name", r"fb2.*?(\d+)", 1).try_cast("long"), F.lit(0))
-    out = named.withColumn("at", F.row_number().over(one)).where("at = 1").select("path", "name", number.alias("number"))
+    out = listed(files)
     if hashes is not None:
-        stem = lambda c: F.regexp_replace(F.lower(F.regexp_extract(c, r"([^/]*)$", 1)), r"\.[^.]*$", "")
-        known = spark.read.format("binaryFile").load(hashes).select(F.col("path").alias("hash"), stem("path").alias("stem")).groupBy("stem").agg(F.min("hash").alias("hash"))
-        out = out.withColumn("stem", stem("name")).join(known, "stem", "left").drop("stem")
+        out = with_fingerprints(out, spark.read.format("binaryFile").load(hashes).select("path"))
         lost = [r["name"] for r in out.where("hash is null").limit(5).collect()]
         if lost:
             raise FileNotFoundError(f"no fingerprints of {', '.join(lost)} under {hashes}")

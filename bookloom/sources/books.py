@@ -281,7 +281,7 @@ def _parts(body: bytes) -> list[tuple]:
 def image_numbers(images: DataFrame, book: str, image: str, digest: str) -> DataFrame:
     """Adds number: equal pictures of a book share one, in the order of their first id; and is_first among them."""
     first = images.groupBy(book, digest).agg(F.min(image).alias("first_id"))
-    numbered = first.withColumn("number", F.row_number().over(Window.partitionBy(book).orderBy("first_id")) - 1)
+    numbered = first.withColumn("number", F.row_number().over(Window.partitionBy(book).orderBy("first_id", digest)) - 1)
     return images.join(numbered, [book, digest]).withColumn("is_first", F.col(image) == F.col("first_id")).drop("first_id")
 
 
