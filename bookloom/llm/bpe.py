@@ -9,7 +9,6 @@ with characters outside the plain Latin ranges, goes to the library as it is.
 from __future__ import annotations
 
 import functools
-import json
 import re
 
 import numpy as np
@@ -22,7 +21,7 @@ _PLAIN = re.compile(rf"[!-~ \n{_LETTERS}]+")
 #: The pre-token pattern of the vocabulary, its classes written out for the plain ranges.
 _PRE_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \n{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 #: Longer chunks are encoded but not kept, so that a cache entry has a size bound.
-_KEPT = 48
+LONGEST = 48
 
 
 def _byte_letters() -> str:
@@ -59,7 +58,7 @@ class Encoder:
             ids = kept.get(x)
             if ids is None:
                 ids = self._piece(x)
-                if len(x) <= _KEPT:
+                if len(x) <= LONGEST:
                     if len(kept) >= self.capacity:
                         kept.clear()
                     kept[x] = ids
@@ -92,7 +91,7 @@ class Chunks(dict):
     def __missing__(self, chunk: str):
         ids = self.line_feed + self.encoder.chunk(chunk[1:]) if chunk[0] == "\n" else self.encoder.chunk(f" {chunk}")
         value = self.make(ids)
-        if len(chunk) <= _KEPT:
+        if len(chunk) <= LONGEST:
             if len(self) >= self.encoder.capacity + len(self.first):
                 self.clear()
                 self.update(self.first)
@@ -112,18 +111,3 @@ def worker_chunks(path: str, capacity: int) -> tuple[Encoder, Chunks]:
     """The encoder and its chunks of ids, kept by a worker from one task to its next."""
     encoder = Encoder(path, capacity)
     return encoder, Chunks(encoder, bytes)
-
-
-def vocabulary_chunks(path: str) -> list[str]:
-    """Pieces of the vocabulary that are a space and a whole word: its most frequent pre-tokens."""
-    back = {c: b for b, c in enumerate(_byte_letters())}
-    vocab = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
-    out = []
-    for piece in vocab:
-        try:
-            word = bytes(back[c] for c in piece).decode()
-        except (KeyError, UnicodeDecodeError):
-            continue
-        if len(word) > 1 and word[0] == " " and word[1:].isalpha() and _PLAIN.fullmatch(word):
-            out.append(word[1:])
-    return out

@@ -201,3 +201,18 @@ def test_planted_slips():
     slips = [i for i in range(300) if queries.planted_slip(i, "spelling") != "spelling"]
     assert slips == [i for i in range(300) if zlib.crc32(f"{i}:spelling".encode()) % 31 == 0]
     assert all(len(queries.planted_slip(i, "spelling")) == 7 for i in slips) and queries.planted_slip(None, "abc")
+
+
+# --- the first tier of token counts
+
+
+def test_frequent_words_are_counted_in_bounded_summaries(spark):
+    from bookloom.llm import token_count
+
+    rows = [(i, f"start common common\nusual rare{i} {'x' * 60} common") for i in range(300)] + [(None, None), (1, "")]
+    assert token_count.frequent_words(docs(spark, rows), "text", 2) == ["common", "\nusual"]
+    assert set(token_count.frequent_words(docs(spark, rows), "text", 2, task_words=3, summary=50)) == {"common", "\nusual"}
+    words, lengths = token_count.frequent_lengths(["common", "\nusual"], VOCABULARY)
+    library = Tokenizer.from_file(VOCABULARY)
+    assert words.split(" ") == ["common", "\nusual"] and list(lengths) == [len(library.encode(x, add_special_tokens=False).ids) for x in (" common", "\nusual")]
+    assert token_count.frequent_words(docs(spark, []), "text", 5) == []
