@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from bookloom.llm.common import materialise
+from bookloom.llm.common import materialise, trimmed
 
 BLOCK_BITS, STEP = 20, 64
 
@@ -116,7 +116,7 @@ def build(df: DataFrame, hashes: Callable[[Iterator[pd.DataFrame]], Iterator[np.
         return next(out.rows(int(parts["part"].iloc[0]) // STEP))
 
     step = lambda parts: materialise(parts.groupBy("block", F.expr(f"part div {STEP}").alias("next")).applyInPandas(merge, schema), "filter")
-    parts = step(df.mapInPandas(positions, schema))
+    parts = step(df.mapInPandas(trimmed(positions), schema))
     while (parts.agg(F.max("part").alias("n")).first()["n"] or 0) > 0:
         parts = step(parts)
     found = parts.select("block", "twice").collect()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bookloom.llm import bloom
-from bookloom.llm.common import discard, materialise, release
+from bookloom.llm.common import discard, materialise, release, trimmed
 from bookloom.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK, RANGES, PARITY = 21, 16, 64, 4
@@ -149,7 +149,7 @@ def _summary(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
         yield pd.DataFrame({"id": pd.array([None] * len(blocks), dtype="Int64"), "n": 0, "cls": None, "ranges": None, "parity": None, "block": pd.array([b for b, _ in blocks], dtype="Int32"), "counts": [x for _, x in blocks]})
 
     schema = "id long, n long, cls binary, ranges binary, parity array<long>, block int, counts binary"
-    return df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(run, schema)
+    return df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(trimmed(run), schema)
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -222,7 +222,7 @@ def _postings(df: DataFrame, text: str, n: int, percent: int, sketch, bits: int)
         if held:
             yield frame(held)
 
-    return texts.mapInPandas(run, "h long, key long, pos int").dropDuplicates()
+    return texts.mapInPandas(trimmed(run), "h long, key long, pos int").dropDuplicates()
 
 
 def _near(apart: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -298,7 +298,7 @@ def _sets(df: DataFrame, key: str, text: str, n: int, needed: DataFrame, few: bo
                     found.append((c, s.tobytes()))
             yield pd.DataFrame(found, columns=["c", "grams"])
 
-    return rows.select("c", "cls", "t").mapInPandas(run, "c long, grams binary")
+    return rows.select("c", "cls", "t").mapInPandas(trimmed(run), "c long, grams binary")
 
 
 def _meet(left: DataFrame, right: DataFrame, unlike: Column, percent: int, on: tuple[str, ...] = ("h",)) -> DataFrame:

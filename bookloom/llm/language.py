@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bookloom.llm.common import free_name
+from bookloom.llm.common import free_name, trim
 
 ORDER = 3
 
@@ -180,6 +180,7 @@ def identify(df: DataFrame, counts: Counts, text: str = "text", unknown: str = "
             rate = bits[np.arange(len(raw)), best] / n
             weight = np.exp2(-8 * (bits / n[:, None] - rate[:, None]))
             yield pd.DataFrame({"lang_pred": [model.languages[i] for i in best], "score": 1 / weight.sum(axis=1), "bits_per_byte": rate})
+        trim()
 
     known = F.lit(bool(counts.languages)) & letters(F.col(text))
     held = free_name(df, "prediction")

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from bookloom.llm import bloom
-from bookloom.llm.common import free_name, materialise
+from bookloom.llm.common import free_name, materialise, trimmed
 
 #: White space that a key loses at both ends.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -54,7 +54,7 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least
             ids = batch["k"].repeat([len(own) for own in keys])
             yield pd.DataFrame({"line": np.array(lines, dtype=object)[may], "id": ids.array[may]})
 
-    rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(suspects, "line binary, id long")
+    rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(trimmed(suspects), "line binary, id long")
     confirmed = rows.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keep")).where(F.col("n") >= min_docs)
     return rows, confirmed.select("line", "keep")
 

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from bookloom.llm.bpe import Chunks, Encoder
+from bookloom.llm.common import trimmed
 
 
 def differencing(lengths: list[int], k: int) -> tuple[np.ndarray, list[int]]:
@@ -148,5 +149,5 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capa
         return out.astype({"doc_id": "Int64"} | {c: "int64" for c in _COLUMNS[1:]})
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    out = df.selectExpr(f"cast(`{key}` as long) as k", f"coalesce(`{text}`, '') as t").mapInPandas(run, schema)
+    out = df.selectExpr(f"cast(`{key}` as long) as k", f"coalesce(`{text}`, '') as t").mapInPandas(trimmed(run), schema)
     return out.withColumnRenamed("doc_id", key) if key != "doc_id" else out
