@@ -138,3 +138,15 @@ def tree_compilations(sections: DataFrame, published: DataFrame, doc: str = "doc
     hit = parts.withColumn("part", F.row_number().over(Window.partitionBy(doc).orderBy("ord")) - 1).join(published.distinct(), "section")
     made = hit.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("part", "book"))).alias("x"), F.countDistinct("section").alias("parts")).where(F.col("parts") >= least_parts)
     return made.join(covered, doc).select(doc, F.array_join(F.transform("x", lambda s: F.concat_ws(":", s["part"].cast("string"), s["book"].cast("string"))), ",").alias("found"), "parts", "covered")
+
+
+def documents(made: DataFrame, books: DataFrame, doc: str = "doc") -> DataFrame:
+    """folder, file, compilation (array of part, folder, file in the order of parts), covered: what is published of compilations.
+
+    ``made``: of ``compilations`` or ``tree_compilations``; ``books``: book, folder, file of documents and parts alike.
+    """
+    each = made.select(doc, "covered", F.explode(F.split("found", ",")).alias("one"))
+    each = each.select(doc, "covered", F.substring_index("one", ":", 1).cast("int").alias("part"), F.substring_index("one", ":", -1).alias("book"))
+    named = books.select(F.col("book").cast("string").alias("book"), "folder", "file")
+    parts = each.join(named, "book").groupBy(doc, "covered").agg(F.array_sort(F.collect_list(F.struct("part", "folder", "file"))).alias("compilation"))
+    return parts.withColumn("book", F.col(doc).cast("string")).join(named, "book").select("folder", "file", "compilation", "covered")

@@ -77,6 +77,57 @@ def saved(tree: DataFrame) -> DataFrame:
     return below.select("language", F.concat(F.lit('{"language":'), _quoted(F.col("language")), F.lit(',"items":['), "items", F.lit("]}")).alias("json"))
 
 
+def filled(text: Column, lines: Column) -> Column:
+    """A text whose markers ``%1`` to ``%99`` are replaced in the order of their numbers, each by one of ``lines``; further markers or lines stay out."""
+    numbers = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"%(\d{1,2})"), F.lit(1)), lambda n: n.cast("int"))))
+    pairs = F.filter(F.arrays_zip(numbers.alias("n"), lines.alias("line")), lambda x: x["n"].isNotNull() & x["line"].isNotNull())
+    put = lambda t, x: F.call_function("array_join", F.split(t, F.concat(F.lit("%0?"), x["n"].cast("string"), F.lit(r"(?!\d)"))), F.replace(x["line"], F.lit("%"), F.lit("\x00")))
+    return F.replace(F.aggregate(pairs, text, put), F.lit("\x00"), F.lit("%"))
+
+
+def exported(tree: DataFrame, questions: dict[str, tuple[str, str]], tags: list[tuple[str, str]], head: str = "", tail: str = "", macros: DataFrame | None = None) -> DataFrame:
+    """language, html: each language's tree as one document, entries inside the entries that name them.
+
+    An entry's answer in the template goes through ``tags`` (pattern, replacement) in order; its markers are filled
+    with the lines of the language's answer, and ``[q0]``, ``[q1]`` ... become the texts of its children. What stands before
+    and behind it is chosen by its type, the template's question (``questions``: type -> before, behind, with
+    ``#QUESTION#``); entries of other types are left out. ``macros`` (name, language, value) are replaced in
+    ``head`` and ``tail``. Built from the leaves up, a level at a time.
+    """
+    own = tree.where(F.col("language") != TEMPLATE).select("language", "path", "question", "answer")
+    shape = tree.where(F.col("language") == TEMPLATE).select("path", F.col("question").alias("type"), F.col("answer").alias("pattern"))
+    rows = stored(own.join(shape, "path").withColumn("depth", F.size("path")))
+    text = F.coalesce("pattern", F.lit(""))
+    for pattern, replacement in tags:
+        text = F.regexp_replace(text, pattern, replacement)
+    text = filled(text, F.split(F.coalesce("answer", F.lit("")), "\n"))
+    asked = lambda x: F.replace(F.lit(x), F.lit("#QUESTION#"), F.coalesce("question", F.lit("")))
+    around = lambda side: F.coalesce(*[F.when(F.col("type") == k, asked(x[side])) for k, x in questions.items()], F.lit(""))
+    known = F.col("type").isin(*questions)
+    below = None
+    for depth in range(rows.agg(F.max("depth").alias("n")).first()["n"] or 0, 0, -1):
+        level = rows.where(F.col("depth") == depth).select("language", "path", text.alias("text"), around(0).alias("before"), around(1).alias("behind"), known.alias("known"))
+        if below is not None:
+            level = level.join(below, ["language", "path"], "left")
+            inside = F.aggregate(F.coalesce("children", F.array().cast("array<struct<row:int,html:string>>")), F.col("text"), lambda t, c: F.replace(t, F.concat(F.lit("[q"), c["row"].cast("string"), F.lit("]")), c["html"]))
+        else:
+            inside = F.col("text")
+        html = F.when(F.col("known"), F.concat("before", inside, "behind")).otherwise("")
+        child = F.struct(F.element_at("path", -1).alias("row"), html.alias("html"))
+        up = F.slice("path", F.lit(1), F.size("path") - 1)
+        below = stored(level.groupBy("language", up.alias("path")).agg(F.array_sort(F.collect_list(child)).alias("children")))
+    if below is None:
+        return tree.select("language", F.lit("").alias("html")).where(F.lit(False))
+    out = below.select("language", F.array_join(F.col("children.html"), "").alias("body"))
+    ends = {"head": F.lit(head), "tail": F.lit(tail)}
+    if macros is not None:
+        named = macros.groupBy("language").agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("macros"))  # a profile's few names
+        out = out.join(named, "language", "left")
+        given = F.coalesce("macros", F.array().cast("array<struct<name:string,value:string>>"))
+        ends = {k: F.aggregate(given, x, lambda t, m: F.replace(t, m["name"], F.coalesce(m["value"], F.lit("")))) for k, x in ends.items()}
+    return out.select("language", F.concat(ends["head"], "body", ends["tail"]).alias("html"))
+
+
 def aligned(tree: DataFrame, languages: list[str]) -> DataFrame:
     """path and, for each language, its question and answer (``q_`` and ``a_`` columns), by place in the tree."""
     pick = lambda c, x: F.max(F.when(F.col("language") == x, F.col(c)))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bookloom.functions import text as tx
-from bookloom.operators import entries, images, resolve
+from bookloom.operators import compilation, entries, faq_tree, images, resolve
 from bookloom.plans.registry import query, table
 from bookloom.plans.resolution import dup_closure, sign_bits
-from bookloom.plans.stores import fingerprints
+from bookloom.plans.stores import TREE, conversation_sections, fingerprints, trees
 from bookloom.sinks import published
 from bookloom.sinks.published import xml_text
-from bookloom.sources import archive, books, dialects, markup
+from bookloom.sources import archive, books, dialects, locales, markup
 from bookloom.sources.shared import folder
 
 
@@ -276,3 +276,48 @@ def built_once(spark, sf_dir):
     made = lambda: table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
     published.open_or_build(spark, at, made)
     return published.open_or_build(spark, at, lambda: made().where(F.lit(False)))
+
+
+@query("localised_names", """SELECT c_custkey, CASE WHEN n_nationkey % 4 = 0 THEN n_name ELSE '<' || lower(n_name) || '> & ' || n_regionkey END AS nation FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def localised_names(spark, sf_dir):
+    """Names by dictionaries of messages in three languages, written and read; what a dictionary lacks stays."""
+    nations = table(spark, sf_dir, "nation")
+    own = F.concat(F.lit("<"), F.lower("n_name"), F.lit("> & "), F.col("n_regionkey").cast("string"))
+    languages = F.explode(F.array(*map(F.lit, ("en", "de", "fr")))).alias("language")
+    rows = nations.select(languages, F.col("n_name").alias("source"), "n_nationkey", own.alias("own")).select("language", "source", F.when((F.col("n_nationkey") % 4 != 0) & (F.col("language") == "de"), F.col("own")).when(F.col("language") == "de", "").otherwise(F.col("language")).alias("translation"))
+    at = folder(spark)
+    locales.write_messages(rows, at)
+    people = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("nation"))
+    return locales.localised(people, "nation", locales.read_messages(spark, at), "de")
+
+
+@query("faq_export", TREE + r""", x AS (SELECT *, 'lang' || conv_id AS language, string_split(coalesce(a, ''), chr(10)) AS lines FROM n),
+ html AS (SELECT p.language, p.nth, '<h2>' || coalesce(p.q, '') || '</h2><b>' || p.lines[1] || '</b> ' || CASE WHEN len(p.lines) > 1 THEN p.lines[2] ELSE '%2' END || ' 100% '
+   || coalesce('<h3>' || coalesce(c.q, '') || '</h3>(' || c.lines[1] || ')', CASE WHEN c.nth IS NULL THEN '[q0]' END) || '<hr/>' AS html FROM x p LEFT JOIN x c ON c.conv_id = p.conv_id AND c.nth = p.nth + 1 WHERE p.nth % 2 = 0)
+SELECT language, md5('<title>T ' || language || '</title>' || string_agg(html, '' ORDER BY nth) || '<!-- T -->') AS digest FROM html GROUP BY 1""")
+def faq_export(spark, sf_dir):
+    """Question trees as documents, entries inside those that name them, with macros in their heads."""
+    rows = trees(spark, sf_dir).select("language", "path", "question", "answer")
+    shape = faq_tree.template(rows)
+    pattern = F.when(F.size("path") == 1, "[b]%1[/b] %2 100% [q0]").otherwise("(%1)")
+    tree = rows.unionByName(shape.withColumn("answer", pattern))
+    macros = rows.select("language").distinct().select("language", F.lit("%NAME%").alias("name"), F.concat(F.lit("T "), "language").alias("value"))
+    out = faq_tree.exported(tree, {"main": ("<h2>#QUESTION#</h2>", "<hr/>"), "subtitle": ("<h3>#QUESTION#</h3>", "")}, [(r"\[(/?b)\]", "<$1>")], "<title>%NAME%</title>", "<!-- T -->", macros)
+    return out.select("language", F.md5(F.col("html").cast("binary")).alias("digest"))
+
+
+@query("compilation_files", r"""WITH s AS (SELECT conv_id, role, md5(text) AS id, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ord, CASE WHEN turn = 0 THEN 0 WHEN role = 'user' THEN 1 ELSE 2 END AS depth FROM conversations),
+ own AS (SELECT conv_id, id AS own FROM s WHERE ord = 1), b AS (SELECT id, min(conv_id) AS book FROM s WHERE conv_id % 3 = 0 AND depth > 0 GROUP BY 1),
+ m AS (SELECT s.conv_id, s.ord, s.depth, s.id, s.size < 20 AS small, s.id <> own AND EXISTS (SELECT 1 FROM b WHERE b.id = s.id) AS part FROM s JOIN own USING (conv_id)),
+ w AS (SELECT m.*, EXISTS (SELECT 1 FROM m p WHERE p.conv_id = m.conv_id AND p.ord < m.ord AND p.depth < m.depth AND (p.small OR p.part) AND NOT EXISTS (SELECT 1 FROM m q WHERE q.conv_id = m.conv_id AND q.ord > p.ord AND q.ord < m.ord AND q.depth <= p.depth)) AS above FROM m),
+ p AS (SELECT conv_id, id, row_number() OVER (PARTITION BY conv_id ORDER BY min(ord)) - 1 AS part FROM w WHERE part AND NOT above AND NOT small GROUP BY 1, 2)
+SELECT 'f' || conv_id % 7 AS folder, conv_id || '.fb2' AS file, string_agg(part || ' f' || book % 7 || ' ' || book || '.fb2', ',' ORDER BY part) AS compilation FROM p JOIN b USING (id) GROUP BY conv_id HAVING count(*) > 1""")
+def compilation_files(spark, sf_dir):
+    """Books made of other books as published documents, read back."""
+    rows, known = conversation_sections(spark, sf_dir)
+    made = compilation.tree_compilations(rows, known, "doc", 20)
+    named = rows.select(F.col("doc").alias("book")).distinct().select("book", F.concat(F.lit("f"), (F.col("book") % 7).cast("string")).alias("folder"), F.concat(F.col("book").cast("string"), F.lit(".fb2")).alias("file"))
+    at = folder(spark)
+    published.write_json(compilation.documents(made, named), at)
+    back = spark.read.schema("folder string, file string, compilation array<struct<part: int, folder: string, file: string>>, covered boolean").json(at)
+    return back.select("folder", "file", F.array_join(F.transform("compilation", lambda x: F.concat_ws(" ", x["part"].cast("string"), x["folder"], x["file"])), ",").alias("compilation"))

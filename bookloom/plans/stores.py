@@ -203,12 +203,16 @@ SELECT p.conv_id AS doc, string_agg(p.part || ':' || book, ',' ORDER BY p.part,
 FROM p JOIN b ON b.id = p.id GROUP BY 1 HAVING count(DISTINCT p.id) > 1""".replace("WITH RECURSIVE", "WITH"))
 def compilation_tree(spark, sf_dir):
     """Conversations as trees: the first turn is the root, users' turns its sections, answers theirs; turns of every third one are published."""
+    rows, known = conversation_sections(spark, sf_dir)
+    return compilation.tree_compilations(rows, known, "doc", 20)
+
+
+def conversation_sections(spark, sf_dir):
     order = F.row_number().over(compilation.Window.partitionBy("conv_id").orderBy("turn"))
     first = compilation.Window.partitionBy("conv_id").orderBy("ord")
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.md5(F.col("text").cast("binary")).alias("section"), F.char_length("text").alias("size"), order.alias("ord"), F.when(F.col("turn") == 0, 0).when(F.col("role") == "user", 1).otherwise(2).alias("depth"))
-    rows = rows.withColumnRenamed("doc", "conv_id").withColumn("own", F.first("section").over(first)).withColumnRenamed("conv_id", "doc")
-    known = rows.where("doc % 3 = 0 and depth > 0").groupBy("section").agg(F.min("doc").alias("book"))
-    return compilation.tree_compilations(rows, known, "doc", 20)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.md5(F.col("text").cast("binary")).alias("section"), F.char_length("text").alias("size"), order.alias("ord"), F.when(F.col("turn") == 0, 0).when(F.col("role") == "user", 1).otherwise(2).alias("depth"))
+    rows = rows.withColumn("own", F.first("section").over(first)).withColumnRenamed("conv_id", "doc")
+    return rows, rows.where("doc % 3 = 0 and depth > 0").groupBy("section").agg(F.min("doc").alias("book"))
 
 
 TREE = """WITH t AS (SELECT conv_id, turn // 2 AS row, max(CASE WHEN role = 'user' THEN text END) AS q, max(CASE WHEN role = 'assistant' THEN text END) AS a FROM conversations WHERE role IN ('user', 'assistant') GROUP BY 1, 2),

@@ -116,10 +116,15 @@ def _vote(body: bytes) -> str:
     return best if 6 * letters(best) >= 5 * len(high) else "utf-8"
 
 
+#: How pictures begin that are still base64.
+CODED = (b"/9j/4A", b"iVBORw")
+
+
 def binaries(df: DataFrame, body: str = "body") -> DataFrame:
     """The rows once per embedded binary: binary_id, is_cover, content; a book without any gives no row.
 
-    Broken mark-up and broken base64 give a row with ``error`` set instead.
+    A picture that was encoded twice is decoded twice. Broken mark-up and broken base64 give a row with ``error``
+    set instead.
     """
 
     @F.pandas_udf("array<struct<binary_id:string,is_cover:boolean,content:binary,error:string>>")
@@ -141,7 +146,10 @@ def _binaries(body: bytes) -> list[tuple]:
         if local(x) == "binary":
             name = x.attrib.get("id", "").lstrip("#")
             try:
-                out.append((name, name in covers, base64.b64decode("".join((x.text or "").split()), validate=True), "nested element" if len(x) else None))
+                content = base64.b64decode("".join((x.text or "").split()), validate=True)
+                if content.startswith(CODED):  # it was encoded twice
+                    content = base64.b64decode(content)
+                out.append((name, name in covers, content, "nested element" if len(x) else None))
             except binascii.Error as e:
                 out.append((name, name in covers, None, str(e)))
     return out

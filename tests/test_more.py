@@ -88,3 +88,29 @@ def test_macros_and_small_tree_functions(spark):
     assert faq_tree.incomplete(rows, ["en", "ru"], "New item").count() == 2 and faq_tree.incomplete(rows, ["en"], "New item").count() == 0
     with pytest.raises(Exception, match="language must be specified"):
         faq_tree.read_tree(spark.createDataFrame([("f", "{}")], "file string, value string")).count()
+
+
+def test_markers_are_filled_in_order(spark):
+    fill = lambda text, lines: spark.createDataFrame([(text, lines)], "t string, l array<string>").select(faq_tree.filled(F.col("t"), F.col("l")).alias("x")).first().x
+    assert fill("%2 %1 %10 %1 100%", ["a%2", "b$1\\", "c"]) == "b$1\\ a%2 c a%2 100%"
+    assert fill("%3 %7", ["x"]) == "x %7" and fill("none", ["x"]) == "none" and fill("%1", []) == "%1" and fill("", ["x"]) == ""
+
+
+def test_export_of_a_deep_tree(spark):
+    rows = [("en", [0], "Q0", "a\nb"), ("en", [0, 0], "Q00", "c"), ("en", [0, 0, 0], "Q000", None), ("en", [1], "Q1", "d"), ("de", [0], "F0", "x"),
+            ("template", [0], "main", "%1-%2 [q0] [q5]"), ("template", [0, 0], "sub", "[b]%1[/b][q0]"), ("template", [0, 0, 0], "sub", "deep"), ("template", [1], "other", "%1")]
+    tree = spark.createDataFrame(rows, "language string, path array<int>, question string, answer string")
+    got = {r.language: r.html for r in faq_tree.exported(tree, {"main": ("<#QUESTION#>", "."), "sub": ("(", "#QUESTION#)")}, [(r"\[(/?b)\]", "<$1>")]).collect()}
+    assert got == {"en": "<Q0>a-b (<b>c</b>(deepQ000)Q00) [q5].", "de": "<F0>x-%2 [q0] [q5]."}
+    assert faq_tree.exported(tree.where("false"), {"main": ("", "")}, []).count() == 0
+
+
+def test_pictures_encoded_twice(spark):
+    import base64
+
+    from bookloom.sources import markup
+
+    png = b"\x89PNG\r\n\x1a\n"
+    twice = base64.b64encode(base64.b64encode(png)).decode()
+    rows = spark.createDataFrame([(1, f'<FictionBook><binary id="a">{twice}</binary><binary id="b">!</binary></FictionBook>'.encode())], "id int, body binary")
+    assert [(r.binary_id, None if r.content is None else bytes(r.content), r.error is None) for r in markup.binaries(rows).collect()] == [("a", png, True), ("b", None, False)]
