@@ -79,7 +79,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     and no window that does is missed (for windows of which the masks cannot promise that, it is an error).
     An item of fewer than ``exact`` words must occur in full; ``least`` above 1 leaves shorter items out. Null
     and empty texts have no words. Rows of the same id or item count together (the best window), null ids
-    among them; equal texts are compared once. Only the named columns are read, so others may have any name.
+    among them; equal texts are compared once. Empty tables, of either kind, give no rows. Only the named columns are read, so others may have any name.
     Seeds, and the words of items, are broadcast if what is sent takes at most ``broadcast_bytes``, as are
     the digests and results of texts with hits; otherwise Spark joins by shuffle. A text's places are
     compared ``chunk`` at a time.

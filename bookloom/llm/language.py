@@ -37,11 +37,12 @@ def _packed(text: bytes) -> np.ndarray:
     return (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs: int = 1500, max_bytes: int = 8 << 20) -> Counts:
+def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs: int = 1500, max_bytes: int = 8 << 20, total_bytes: int = 256 << 20) -> Counts:
     """Counts over a bounded sample of labelled rows: about ``max_docs`` whole texts or ``max_bytes`` per label, whichever is less.
 
     Rows are chosen by a hash of their text, so the sample is the same on every run; where a label's texts
-    take more than ``max_bytes`` the share taken is smaller. Every label is learned; rows with a null label
+    take more than ``max_bytes`` the share taken is smaller, as it is where all labels' texts would take more than
+    ``total_bytes``. Every label is learned; rows with a null label
     or text are left out. What reaches the driver is one row per label, and one per different 4-byte string
     and label, bounded by the sample.
     """
@@ -49,7 +50,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs:
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
     if not sizes:
         return Counts((), (), ())
-    spark = labelled.sparkSession
+    spark, max_bytes = labelled.sparkSession, min(max_bytes, total_bytes // len(sizes))
     share = spark.createDataFrame([(r["lang"], min(1.0, max_docs / r["n"], max_bytes / max(r["bytes"], 1))) for r in sizes], "lang string, share double")
     dice = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
     chosen = rows.join(F.broadcast(share), "lang").where(dice < F.col("share")).select("lang", "text")
@@ -160,7 +161,7 @@ def identify(df: DataFrame, counts: Counts, text: str = "text", unknown: str = "
     The language with the shortest code wins, ties going to the first by name; the score is the winner's
     share of exp2(-excess bits per byte * 8), so it is 0.5 between two languages that code equally well and
     does not saturate with length. ``unknown`` with score 0 where the text is null or empty or has no
-    letter, or nothing was learned. Repeated rows get equal results; columns of the same names are replaced,
+    letter, or nothing was learned. A text of any length counts whole; an empty table gives no rows. Repeated rows get equal results; columns of the same names are replaced,
     all others stay. A later filter on the results would have Spark evaluate the model twice: filter by
     ``letters`` before instead, which rejects the same rows.
     """

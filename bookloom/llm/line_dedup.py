@@ -65,7 +65,7 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
     A text splits at line feeds; null and empty texts are one empty line and come out empty. A line whose
     key (white space stripped, A-Z lower-cased) has at least ``least`` code points and is held by at least
     ``min_docs`` rows goes everywhere but in the rows with the largest id that hold it, where all its
-    copies stay. The confirmed lines are broadcast if they take at most ``broadcast_bytes``; otherwise each
+    copies stay. Texts of any length are cut whole, one at a time; an empty table gives no rows. The confirmed lines are broadcast if they take at most ``broadcast_bytes``; otherwise each
     id gets its own lines by joins. Input columns named n_lines or n_dropped are replaced.
     """
     rows, confirmed = repeated_lines(df, key, text, least, min_docs, bits)

@@ -38,10 +38,11 @@ _UNLIKELY = {
     "social", "share", "sharing", "related", "recommended", "recommendations", "comment", "comments", "commentlist", "disqus", "respond", "replies",
     "widget", "widgets", "toolbar", "pagination", "pager", "copyright", "hidden", "form",
 }
-#: With these after them, and numbers, such words are whole names of furniture; the words in _BARE are none by themselves.
+#: With these after them, and numbers, such words are whole names of furniture, as are comments of those in _WHOSE; the words in _BARE are none by themselves.
 _PARTS = ("area", "articles", "banner", "bar", "block", "body", "box", "button", "buttons", "container", "content", "footer", "form", "icons", "inner", "item", "links", "list", "menu", "modal", "nav", "notice", "popup", "posts", "section", "slot", "thread", "unit", "widget", "wrap", "wrapper")
+_WHOSE = ("reader", "readers", "user", "users", "visitor", "visitors", "guest")
 _BARE = {"header", "form", "notice", "overlay", "copyright", "subscription", "promotion"}
-_KNOWN = re.compile(rf"(?:(?:{'|'.join(sorted(_UNLIKELY - _BARE))})(?:-(?:{'|'.join(_PARTS)}))*|(?:notice|subscription|form)(?:-(?:{'|'.join(_PARTS)}))+)(?:-?\d+)?")
+_KNOWN = re.compile(rf"(?:(?:{'|'.join(sorted(_UNLIKELY - _BARE))})(?:-(?:{'|'.join(_PARTS)}))*|(?:{'|'.join(_WHOSE)})-(?:comment|comments|replies)(?:-(?:{'|'.join(_PARTS)}))*|(?:notice|subscription|form)(?:-(?:{'|'.join(_PARTS)}))+)(?:-?\d+)?")
 _NEVER = {"html", "body", "main", "article", "h1"}
 _ARTICLE = ("article", "main")
 
@@ -237,7 +238,7 @@ def extract(df: DataFrame, html: str = "html") -> DataFrame:
     Menus, page headers and footers, sidebars, notices, adverts, forms, reader comments, scripts and styles
     are left out; inside the article only by tag, role or a whole known name, so an id or class that merely
     has such a word in it, and a list of links, stay. Repeated rows are treated each for itself; columns
-    named text or n_chars are replaced. One map, no shuffle.
+    named text or n_chars are replaced; an empty table gives no rows. One map, no shuffle.
     """
 
     @F.pandas_udf("string")

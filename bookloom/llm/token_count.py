@@ -64,7 +64,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 1024
     """Adds n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) to every row.
 
     ``path``: a byte-level vocabulary file. A null text counts as empty: 0 bytes, 0 tokens. Repeated rows
-    are counted each for itself; an input column of the same name as a result is replaced. No row moves:
+    are counted each for itself; an empty table gives no rows; an input column of the same name as a result is replaced. No row moves:
     the operator is two maps over the input's partitions, of which the first counts its words for the first
     tier (``first_tier`` words, 2 MB at most). A worker keeps two caches of at most ``capacity``
     chunks of at most 48 characters, some 150 bytes each (100 MB a cache when full); a full one starts anew.

@@ -142,7 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def score(df: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
     """Adds score (0 to 1) and predicted (1 if score >= 0.5) for every whole text.
 
-    Null and empty texts get the score of a text without words. Columns of the same names are replaced, all
+    Null and empty texts get the score of a text without words; a text of any length counts whole, and
+    repeated rows get equal scores. Columns of the same names are replaced, all
     others stay; an empty table gives no rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)

@@ -216,3 +216,15 @@ def test_frequent_words_are_counted_in_bounded_summaries(spark):
     library = Tokenizer.from_file(VOCABULARY)
     assert words.split(" ") == ["common", "\nusual"] and list(lengths) == [len(library.encode(x, add_special_tokens=False).ids) for x in (" common", "\nusual")]
     assert token_count.frequent_words(docs(spark, []), "text", 5) == []
+
+
+# --- reader comments inside an article
+
+
+@pytest.mark.parametrize("name", ["reader-comments", "user_comments", "comments", "visitor-comments-list"])
+def test_reader_comments_inside_an_article_go(name):
+    from bookloom.llm import main_text
+
+    words = "A sentence of the article, long enough to be told from its furniture, with commas. " * 5
+    page = f'<html><body><article><p>{words}</p><div class="{name}"><p>{"I agree, first. " * 20}</p></div><div class="user-guide"><p>{words}</p></div></article></body></html>'
+    assert main_text.main_text(page).count("A sentence") == 10 and "agree" not in main_text.main_text(page)
