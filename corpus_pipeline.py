@@ -1,5 +1,7 @@
 """From raw documents to packed sequences: five stages, each one corpus operator over all that the stage before kept.
 
+Texts are read whole by every stage, however long, one at a time by a worker.
+
 Every stage's result is written as Parquet into the folder all executors share and read again as the next
 one's ``docs``. All but the last return the columns of ``documents``.
 """
