@@ -95,12 +95,15 @@ def library_index(books: DataFrame) -> DataFrame:
     return keyed.unionByName(common).groupBy("key").agg(F.min("book").alias("book"))
 
 
-def canonical_language(code: Column, table: DataFrame | None = None, unknown: str = "un") -> Column:
-    """A lower-cased code by the dictionary (rows of code, language, few); unknown codes are ``unknown``."""
+def canonical_language(code: Column, table: DataFrame | None = None, unknown: str = "un", most: int = 10_000) -> Column:
+    """A lower-cased code by the dictionary (rows of code, language, ``most`` at most); unknown codes are ``unknown``."""
     low = F.lower(F.trim(code))
     if table is None:
         return F.coalesce(F.nullif(low, F.lit("")), F.lit(unknown))
-    pairs = [F.lit(x) for r in table.select("code", "language").collect() for x in r]  # a dictionary of languages
+    found = table.select("code", "language").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"a dictionary of languages has no more than {most} codes")
+    pairs = [F.lit(x) for r in found for x in r]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), low), F.lit(unknown)) if pairs else F.lit(unknown)
 
 

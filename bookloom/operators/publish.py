@@ -50,9 +50,11 @@ def contents(rows: DataFrame, group: str, keys: list[Column], line: Column, name
     Rows are dealt by ranges of group and keys and sorted inside a range; a row's place is its place there and
     the number of its group's rows in the ranges before. So one group may hold most of the rows.
     """
-    names = [f"key{i}" for i in range(len(keys))]
-    keyed = rows.select(F.col(group).alias("group"), *[k.alias(n) for k, n in zip(keys, names)], line.alias("line"))
-    dealt = stored(keyed.repartitionByRange("group", *names).withColumn("part", F.spark_partition_id()))
+    names = [f"_key{i}" for i in range(len(keys))]
+    keyed = rows.withColumns(dict(zip(["_group", *names], [F.col(group), *keys])))
+    # lines are made behind the exchange: the ranges are drawn from a run of what stands before it
+    spread = keyed.repartitionByRange("_group", *names).withColumn("part", F.spark_partition_id())
+    dealt = stored(spread.select(F.col("_group").alias("group"), *names, line.alias("line"), "part"))
     sizes = dealt.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"))  # a row per group and range
     before = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("group").alias("of"), F.col("part").alias("in"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

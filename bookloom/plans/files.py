@@ -321,3 +321,14 @@ def compilation_files(spark, sf_dir):
     published.write_json(compilation.documents(made, named), at)
     back = spark.read.schema("folder string, file string, compilation array<struct<part: int, folder: string, file: string>>, covered boolean").json(at)
     return back.select("folder", "file", F.array_join(F.transform("compilation", lambda x: F.concat_ws(" ", x["part"].cast("string"), x["folder"], x["file"])), ",").alias("compilation"))
+
+
+@query("followed_chains", """SELECT c_custkey AS dup, c_custkey - c_custkey % 3 AS root FROM customer WHERE c_custkey % 3 <> 0""")
+def followed_chains(spark, sf_dir):
+    """Duplicates of duplicates to the book where the chain ends; origins are known by uid or by their library's file."""
+    people = table(spark, sf_dir, "customer")
+    key, before = F.col("c_custkey").cast("string"), (F.col("c_custkey") - 1).cast("string")
+    edges = people.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("dup"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("f#"), before)).otherwise("-").alias("uid"), F.lit("lib").alias("source"), F.concat(before, F.lit(".fb2")).alias("file"))
+    by_uid = people.where("c_custkey % 5 <> 0").select(F.concat(F.lit("f#"), key).alias("key"), F.col("c_custkey").alias("book"))
+    by_library = people.select(F.concat(F.lit("lib_"), key).alias("key"), F.col("c_custkey").alias("book"))
+    return resolve.roots(resolve.edges_to_books(edges, by_uid, by_library))

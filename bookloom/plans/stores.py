@@ -39,7 +39,8 @@ def contents_files(spark, sf_dir):
     return spark.read.text(at).select("lang", F.md5(F.col("value").cast("binary")).alias("digest"))
 
 
-@query("review_files", """SELECT strftime(ts, '%Y%m') AS month, user_id % 20 AS book, count(DISTINCT (ts, user_id)) AS n FROM events GROUP BY 1, 2""")
+@query("review_files", """WITH r AS (SELECT strftime(ts, '%Y%m') AS month, user_id % 20 AS book, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, ts, CAST(user_id AS VARCHAR) AS name, min(coalesce(props, '')) AS text FROM events GROUP BY 1, 2, 3, 4, 5)
+SELECT month, book, count(*) AS n, md5(string_agg(time || ' ' || name || ' ' || text, '|' ORDER BY time, name, text)) AS digest FROM r GROUP BY 1, 2""")
 def review_files(spark, sf_dir):
     """Reviews as a folder of JSON documents per month, one per book."""
     rows = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyyMM").alias("month"), (F.col("user_id") % 20).alias("book"), F.col("ts").alias("time"), F.col("user_id").cast("string").alias("name"), F.coalesce("props", F.lit("")).alias("text"))
@@ -47,7 +48,8 @@ def review_files(spark, sf_dir):
     entry = F.struct(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "name", "text")
     at = folder(spark)
     published.write_reviews(first.groupBy("month", "book").agg(F.array_sort(F.collect_list(entry)).alias("reviews")), at)
-    return spark.read.schema("book long, reviews array<struct<time:string,name:string,text:string>>, month string").json(at).select("month", "book", F.size("reviews").cast("long").alias("n"))
+    told = F.array_join(F.transform("reviews", lambda r: F.concat_ws(" ", r["time"], r["name"], r["text"])), "|")
+    return spark.read.schema("book long, reviews array<struct<time:string,name:string,text:string>>, month string").json(at).select("month", "book", F.size("reviews").cast("long").alias("n"), F.md5(told.cast("binary")).alias("digest"))
 
 
 @query("rating_files", "SELECT l_orderkey AS book, sum(l_quantity) AS total, count(*) AS n FROM lineitem GROUP BY 1 HAVING sum(l_quantity) > 2.22e-16")

@@ -3,7 +3,7 @@ import pytest
 from bookloom.plans import catalogue
 from oracle import same
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.all_oracles()))
