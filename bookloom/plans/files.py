@@ -89,10 +89,10 @@ def nested_books(spark, sf_dir):
 
 
 @query("archive_totals", f"""WITH {ENTRIES}, a AS (SELECT archive, count(*) AS n, sum(octet_length(encode(html))) AS bytes FROM e JOIN pages USING (page_id) GROUP BY 1)
-SELECT count(*) AS archives, CAST(sum(n) AS BIGINT) AS entries, CAST(sum(bytes) AS BIGINT) AS bytes, max_by(archive, (n, archive)) AS largest FROM a""")
+SELECT count(*) AS archives, CAST(sum(n) AS BIGINT) AS entries, CAST(sum(bytes) AS BIGINT) AS bytes, max_by(archive, (n, archive)) AS largest, (SELECT CAST(DATE '2020-01-01' + CAST(max(page_id) AS INT) AS DATE) FROM pages) AS latest FROM a""")
 def archive_totals(spark, sf_dir):
-    """How many archives, entries and bytes there are to be read."""
-    return archive.totals(page_entries(spark, sf_dir))
+    """How many archives, entries and bytes there are to be read, and how late the last one is."""
+    return archive.totals(page_entries(spark, sf_dir).withColumn("time", F.date_add(F.lit("2020-01-01").cast("date"), F.col("page_id").cast("int"))))
 
 
 @query("mostly_books", f"""WITH {ENTRIES} SELECT archive, count(*) AS total, avg(CASE WHEN lower(entry) LIKE '%.fb2' THEN 1.0 ELSE 0 END) > 0.3 AS mostly FROM e GROUP BY 1""")

@@ -44,9 +44,11 @@ def listing(spark: SparkSession, path: str, pattern: str = "*.zip", hashes: str
 
 
 def totals(found: DataFrame) -> DataFrame:
-    """archives, entries, bytes of ``entries``, and the largest archive."""
-    each = found.groupBy("archive").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("body")).alias("bytes"))
-    return each.agg(F.count(F.lit(1)).alias("archives"), F.coalesce(F.sum("n"), F.lit(0)).alias("entries"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.max_by("archive", F.struct("n", "archive")).alias("largest"))
+    """archives, entries, bytes of ``entries``, the largest archive, and, where entries have a time, the latest."""
+    time = F.max("time") if "time" in found.columns else F.lit(None)
+    each = found.groupBy("archive").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("body")).alias("bytes"), time.alias("time"))
+    latest = [F.max("time").alias("latest")] if "time" in found.columns else []
+    return each.agg(F.count(F.lit(1)).alias("archives"), F.coalesce(F.sum("n"), F.lit(0)).alias("entries"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.max_by("archive", F.struct("n", "archive")).alias("largest"), *latest)
 
 
 def entries(spark: SparkSession, path: str, pattern: str = "*.zip", nested: bool = True) -> DataFrame:

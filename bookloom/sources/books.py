@@ -278,6 +278,24 @@ def _parts(body: bytes) -> list[tuple]:
         return []
 
 
+def epub_files(df: DataFrame, name: str, body: str = "body") -> DataFrame:
+    """``name``, kind, path, content: an EPUB as the files it is kept as.
+
+    Texts lie under the book's own name, pictures under ``cover`` or their number (equal ones once), and a book with pictures
+    has an index of them in JSON.
+    """
+    parts = epub_parts(df.select(F.col(name).alias("name"), body), body)
+    texts = parts.where("kind = 'text'").select("name", "kind", F.concat("name", F.lit("/"), "part_id").alias("path"), "content")
+    pictures = parts.where("kind = 'image'").withColumn("digest", F.md5("content"))
+    rest = image_numbers(pictures.where("not is_cover"), "name", "part_id", "digest").select("name", "part_id", F.col("number").cast("string").alias("number"), "is_first", "content")
+    numbered = rest.unionByName(pictures.where("is_cover").select("name", "part_id", F.lit("cover").alias("number"), F.lit(True).alias("is_first"), "content"))
+    kept = numbered.where("is_first").select("name", F.lit("image").alias("kind"), F.concat("name", F.lit("/"), "number").alias("path"), "content")
+    entry = F.struct(F.col("part_id").alias("id"), F.col("number").alias("num"))
+    index = numbered.groupBy("name").agg(F.to_json(F.array_sort(F.collect_list(entry))).cast("binary").alias("content"))
+    out = texts.unionByName(kept).unionByName(index.select("name", F.lit("index").alias("kind"), F.concat("name", F.lit("/index.json")).alias("path"), "content"))
+    return out.withColumnRenamed("name", name)
+
+
 def image_numbers(images: DataFrame, book: str, image: str, digest: str) -> DataFrame:
     """Adds number: equal pictures of a book share one, in the order of their first id; and is_first among them."""
     first = images.groupBy(book, digest).agg(F.min(image).alias("first_id"))

@@ -272,3 +272,12 @@ def test_a_doubled_row_does_not_hide_a_lost_one(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark.read), "load", other)
     with pytest.raises(OSError):
         published.write_checked(rows, str(tmp_path / "x"))
+
+
+def test_epub_as_files(spark):
+    twins = EPUB | {"O/p.opf": EPUB["O/p.opf"].replace('<item id="i"', '<item id="j" href="j.png" media-type="image/png"/><item id="i"'), "O/j.png": EPUB["O/i.png"]}
+    rows = spark.createDataFrame([("b", zipped(twins)), ("none", b"no")], "book string, body binary")
+    got = {(r.book, r.kind, r.path): bytes(r.content) for r in books.epub_files(rows, "book").collect()}
+    index = json.loads(got.pop(("b", "index", "b/index.json")))
+    assert index == [{"id": "O/c.jpg", "num": "cover"}, {"id": "O/i.png", "num": "0"}, {"id": "O/j.png", "num": "0"}]
+    assert got == {("b", "text", "b/O/t.xhtml"): b"<html><p>two words</p></html>", ("b", "image", "b/cover"): b"\xff\xd8", ("b", "image", "b/0"): b"\x89PNG"}
