@@ -332,3 +332,63 @@ def followed_chains(spark, sf_dir):
     by_uid = people.where("c_custkey % 5 <> 0").select(F.concat(F.lit("f#"), key).alias("key"), F.col("c_custkey").alias("book"))
     by_library = people.select(F.concat(F.lit("lib_"), key).alias("key"), F.col("c_custkey").alias("book"))
     return resolve.roots(resolve.edges_to_books(edges, by_uid, by_library))
+
+
+@query("language_codes", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR lang IS NULL OR NOT EXISTS (SELECT 1 FROM documents d WHERE d.lang = documents.lang AND d.doc_id % 2 = 0) THEN 'un' ELSE 'language ' || lang END AS lang FROM documents""")
+def language_codes(spark, sf_dir):
+    """Codes in any case and with spaces by a dictionary; what it lacks is unknown."""
+    docs = table(spark, sf_dir, "documents")
+    known = docs.where("doc_id % 2 = 0 and lang is not null").select(F.col("lang").alias("code"), F.concat(F.lit("language "), "lang").alias("language")).distinct()
+    code = F.when(F.col("doc_id") % 3 == 0, "x-none").otherwise(F.concat(F.lit(" "), F.upper("lang")))
+    return docs.select("doc_id", entries.canonical_language(code, known).alias("lang"))
+
+
+@query("original_names", """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'own' || page_id ELSE 'given' END AS libid, CASE WHEN page_id % 3 = 0 THEN 'own' || page_id ELSE 'given' END AS file, CASE WHEN page_id % 2 = 0 THEN 'djvu' ELSE 'fbd' END AS ext FROM pages""")
+def original_names(spark, sf_dir):
+    """Described files under their own names, where they have one."""
+    key = F.col("page_id")
+    rows = table(spark, sf_dir, "pages").select(
+        "page_id", F.lit("given").alias("libid"), F.lit("given").alias("file"), F.lit("fbd").alias("ext"),
+        F.when(key % 3 == 0, F.concat(F.lit("own"), key.cast("string"))).when(key % 3 == 1, "").alias("origin_base"), F.when(key % 2 == 0, "djvu").alias("origin_suffix"))
+    return entries.with_original_names(rows)
+
+
+@query("macro_texts", r"""WITH m AS (SELECT 'k' || turn AS name, 'lang' || conv_id % 3 AS language, max(substr(text, 1, 40)) AS value FROM conversations WHERE conv_id > 2 GROUP BY 1, 2),
+ n AS (SELECT name, language, value FROM m WHERE NOT (language = 'lang1' AND name IN ('k0', 'k1')) UNION ALL SELECT 'k0', 'lang1', '' UNION ALL SELECT 'k1', 'lang1', 'a=b' UNION ALL SELECT 'new', 'lang1', 'x'),
+ u AS (SELECT DISTINCT name FROM n WHERE coalesce(value, '') <> ''), l AS (SELECT n.* FROM n JOIN u USING (name))
+SELECT language, md5(string_agg(name || '=' || coalesce(value, ''), chr(10) ORDER BY name)) AS digest FROM (SELECT g.language, u.name, l.value FROM (SELECT 'lang1' AS language UNION ALL SELECT 'lang2') g, u LEFT JOIN l ON l.name = u.name AND l.language = g.language) GROUP BY 1""")
+def macro_texts(spark, sf_dir):
+    """Macros of languages, one language's written anew, told as lines."""
+    rows = table(spark, sf_dir, "conversations").where("conv_id > 2").groupBy(F.concat(F.lit("k"), F.col("turn").cast("string")).alias("name"), F.concat(F.lit("lang"), (F.col("conv_id") % 3).cast("string")).alias("language")).agg(F.max(F.substring("text", 1, 40)).alias("value"))
+    now = faq_tree.set_macros(rows, "lang1", "k0=\nk1=a=b\nnew=w\nnew=x\n=none\nno macro")
+    told = [faq_tree.macro_lines(now, x).select(F.lit(x).alias("language"), F.md5(F.col("text").cast("binary")).alias("digest")) for x in ("lang1", "lang2")]
+    return told[0].unionByName(told[1])
+
+
+@query("profile_values", r"""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'out.md' WHEN 1 THEN 'f' || p_partkey || '.txt' ELSE 'f' || p_partkey || '.html' END AS output, CAST(CASE WHEN p_size % 3 = 0 THEN -1 ELSE p_size % 3 - 1 END AS INT) AS line,
+ CASE WHEN p_partkey % 2 = 0 THEN 'img/a/' || p_partkey || '.jpg,img/b/c.jpg' ELSE 'img/b/c.jpg' END AS images FROM part""")
+def profile_values(spark, sf_dir):
+    """Names of outputs, places of markers and pictures named by lines."""
+    key, none = F.col("p_partkey"), F.lit(None).cast("string")
+    text = F.concat(F.when(F.col("p_size") % 3 == 1, "%7").otherwise("-"), F.lit("\n"), F.when(F.col("p_size") % 3 == 2, "x %7 y").otherwise("-"))
+    answer = F.concat(F.when(key % 2 == 0, F.concat(F.lit("see [img a "), key.cast("string"), F.lit(" 3] [img x y z]\n"))).otherwise("none [img a b]\n"), F.lit("[img b c 1]"))
+    output = faq_tree.output_name(F.concat(F.lit("/in/f"), key.cast("string"), F.lit(".json")), F.when(key % 3 == 0, "out.md"), F.when(key % 3 == 1, "txt").otherwise(none))
+    return table(spark, sf_dir, "part").select("p_partkey", output.alias("output"), faq_tree.line_of_argument(text, F.lit(7)).alias("line"), F.array_join(faq_tree.images(answer), ",").alias("images"))
+
+
+@query("missing_languages", """SELECT n_name AS key, 'Title ' || n_nationkey AS title FROM nation WHERE n_name <> 'un' AND n_nationkey NOT IN (SELECT DISTINCT c_nationkey FROM customer WHERE c_nationkey % 3 = 0)""")
+def missing_languages(spark, sf_dir):
+    """Languages that can still be added."""
+    nations = table(spark, sf_dir, "nation")
+    every = nations.select(F.col("n_name").alias("key"), F.concat(F.lit("Title "), F.col("n_nationkey").cast("string")).alias("title"), F.col("n_regionkey").alias("priority"))
+    there = table(spark, sf_dir, "customer").where("c_nationkey % 3 = 0").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("key"))
+    return faq_tree.languages_to_add(every, there)
+
+
+@query("incomplete_entries", TREE + """, p AS (SELECT DISTINCT nth FROM n), x AS (SELECT p.nth, l.lang, n.q, n.a FROM p, (VALUES (0), (1), (2)) l(lang) LEFT JOIN n ON n.nth = p.nth AND n.conv_id = l.lang)
+SELECT CASE WHEN nth % 2 = 0 THEN CAST(nth // 2 AS VARCHAR) ELSE nth // 2 || '/0' END AS id FROM x GROUP BY nth HAVING bool_or(coalesce(q, '') = '' OR coalesce(a, '') = '') AND count(q) > 0""")
+def incomplete_entries(spark, sf_dir):
+    """Entries that one of three languages has not said yet."""
+    names = ["lang0", "lang1", "lang2"]
+    rows = faq_tree.aligned(trees(spark, sf_dir).where(F.col("language").isin(names)), names)
+    return faq_tree.incomplete(rows, names, "New item").select(faq_tree.item_id(F.col("path")).alias("id"))
