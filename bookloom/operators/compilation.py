@@ -66,7 +66,8 @@ def intervals(rows: DataFrame, doc: str, order: str, depth: str) -> DataFrame:
                     row, parent = open_.pop()
                     done.append((*row, parent, last[at_order]))
 
-            for row in batch.astype(object).where(batch.notna(), None).itertuples(index=False, name=None):
+            rows_ = batch if batch.notna().all(axis=None) else batch.astype(object).where(batch.notna(), None)
+            for row in rows_.itertuples(index=False, name=None):
                 close(row[at_depth] if last is not None and row[at_doc] == last[at_doc] else _BELOW_ALL)
                 open_.append((row, open_[-1][0][at_order] if open_ else None))
                 last = row
