@@ -106,8 +106,11 @@ class Chunks(dict):
         return self.make(self.encoder.chunk(first)), map(self.__getitem__, rest)
 
 
-@functools.lru_cache(maxsize=1)
-def worker_chunks(path: str, capacity: int) -> tuple[Encoder, Chunks]:
-    """The encoder and its chunks of ids, kept by a worker from one task to its next."""
+def token_chunks(path: str, capacity: int) -> tuple[Encoder, Chunks]:
+    """An encoder and its chunks of ids."""
     encoder = Encoder(path, capacity)
     return encoder, Chunks(encoder, bytes)
+
+
+#: The same, kept by a worker from one task to its next.
+worker_chunks = functools.lru_cache(maxsize=1)(token_chunks)

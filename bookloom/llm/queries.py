@@ -76,7 +76,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY), keep=True)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
