@@ -112,5 +112,7 @@ def token_chunks(path: str, capacity: int) -> tuple[Encoder, Chunks]:
     return encoder, Chunks(encoder, bytes)
 
 
-#: The same, kept by a worker from one task to its next.
-worker_chunks = functools.lru_cache(maxsize=1)(token_chunks)
+@functools.lru_cache(maxsize=1)
+def worker_chunks(path: str, capacity: int) -> tuple[Encoder, Chunks]:
+    """The same, kept by a worker from one task to its next."""
+    return token_chunks(path, capacity)
