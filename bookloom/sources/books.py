@@ -185,10 +185,12 @@ def book_text(df: DataFrame, body: str = "body", tool: str = "bookloom") -> Data
     """
 
     @F.pandas_udf("text string, status string")
-    def read(texts: pd.Series) -> pd.DataFrame:
+    def read(bodies: pd.Series, codecs: pd.Series) -> pd.DataFrame:
+        texts = (None if b is None else markup.closed(_decoded(bytes(b), c or markup._vote(bytes(b)))) for b, c in zip(bodies, codecs))
         return pd.DataFrame([(None, None) if t is None else _read(t, tool) for t in texts], columns=["text", "status"])
 
-    return df.withColumn("_read", read(markup.repair_tail(decoded(F.col(body))))).select(*df.columns, "_read.text", "_read.status")
+    own = F.col(body)  # one pass: a worker of its own for each step would hold the book again
+    return df.withColumn("_read", read(own, markup.declared_encoding(own))).select(*df.columns, "_read.text", "_read.status")
 
 
 def _read(text: str, tool: str) -> tuple[str | None, str]:

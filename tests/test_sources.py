@@ -281,3 +281,22 @@ def test_epub_as_files(spark):
     index = json.loads(got.pop(("b", "index", "b/index.json")))
     assert index == [{"id": "O/c.jpg", "num": "cover"}, {"id": "O/i.png", "num": "0"}, {"id": "O/j.png", "num": "0"}]
     assert got == {("b", "text", "b/O/t.xhtml"): b"<html><p>two words</p></html>", ("b", "image", "b/cover"): b"\xff\xd8", ("b", "image", "b/0"): b"\x89PNG"}
+
+
+def test_book_is_read_in_one_pass(spark):
+    """One worker holds a book, not one for each of its encoding, its text and its repair; tables are read in small batches."""
+    from bookloom.plans import files, registry
+
+    plan = files.book_text(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    spark.conf.unset(registry.BATCH)
+    files.page_books(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get(registry.BATCH)) <= 4 << 20
+
+
+def test_tails_are_closed_as_by_the_column(spark):
+    from bookloom.sources import markup
+
+    texts = ["<FictionBook>a</FictionBook>rest</FictionBook>", "a<binary>b<binary>c", "<body>x</body>y</body>z", "<body>x</body><binary", "none", "", "é<body></body>ü", "<binary>"]
+    got = spark.createDataFrame([(x,) for x in texts], "t string").select("t", markup.repair_tail(F.col("t")).alias("r")).collect()
+    assert [r.r for r in got] == [markup.closed(r.t) for r in got]
