@@ -75,7 +75,7 @@ def pack_files(spark, sf_dir):
     """Author packs as a folder per bucket."""
     at = folder(spark)
     published.write_packs(packs(spark, sf_dir, F.col("text")), at)
-    return spark.read.parquet(at).select(F.col("bucket").cast("int").alias("bucket"), "author_key", F.md5(F.col("body").cast("binary")).alias("digest"), "files")
+    return spark.read.schema("author_key string, body string, files string, bucket long").parquet(at).select(F.col("bucket").cast("int").alias("bucket"), "author_key", F.md5(F.col("body").cast("binary")).alias("digest"), "files")
 
 
 @query("table_files", "SELECT c_nationkey, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer GROUP BY 1")

@@ -113,8 +113,12 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_packs(packs: DataFrame, path: str) -> None:
-    """``packs``: bucket, author_key, body, files. A folder per bucket."""
-    packs.write.partitionBy("bucket").parquet(path)
+    """``packs``: bucket, author_key, body, files. A folder per bucket.
+
+    A bucket, which is a bounded range of ids, is written by one task: if every task had some of every bucket, files would be
+    as many as tasks times buckets, which both grow with the notes.
+    """
+    packs.repartition("bucket").write.partitionBy("bucket").parquet(path)
 
 
 def quarantine(rows: DataFrame, reason: Column, path: str) -> DataFrame:

@@ -114,3 +114,12 @@ def test_pictures_encoded_twice(spark):
     twice = base64.b64encode(base64.b64encode(png)).decode()
     rows = spark.createDataFrame([(1, f'<FictionBook><binary id="a">{twice}</binary><binary id="b">!</binary></FictionBook>'.encode())], "id int, body binary")
     assert [(r.binary_id, None if r.content is None else bytes(r.content), r.error is None) for r in markup.binaries(rows).collect()] == [("a", png, True), ("b", None, False)]
+
+
+def test_a_bucket_of_packs_is_one_file(spark, tmp_path):
+    from bookloom.sinks import published
+
+    rows = spark.range(400).selectExpr("id % 20 AS bucket", "CAST(id AS STRING) AS author_key", "'b' AS body", "'f' AS files").repartition(8, "author_key")
+    published.write_packs(rows, str(tmp_path / "packs"))
+    assert len(list((tmp_path / "packs").glob("*/*.parquet"))) == 20
+    assert spark.read.parquet(str(tmp_path / "packs")).count() == 400
