@@ -123,3 +123,12 @@ def test_a_bucket_of_packs_is_one_file(spark, tmp_path):
     published.write_packs(rows, str(tmp_path / "packs"))
     assert len(list((tmp_path / "packs").glob("*/*.parquet"))) == 20
     assert spark.read.parquet(str(tmp_path / "packs")).count() == 400
+
+
+def test_fingerprints_are_written_in_small_batches(spark):
+    """Documents of many lines pass a worker about 4 MB at a time."""
+    from bookloom.plans import registry, stores
+
+    spark.conf.unset(registry.BATCH)
+    stores.fingerprints(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get(registry.BATCH)) <= 4 << 20
