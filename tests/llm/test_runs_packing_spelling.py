@@ -228,3 +228,30 @@ def test_reader_comments_inside_an_article_go(name):
     words = "A sentence of the article, long enough to be told from its furniture, with commas. " * 5
     page = f'<html><body><article><p>{words}</p><div class="{name}"><p>{"I agree, first. " * 20}</p></div><div class="user-guide"><p>{words}</p></div></article></body></html>'
     assert main_text.main_text(page).count("A sentence") == 10 and "agree" not in main_text.main_text(page)
+
+
+def test_the_packing_stage_of_the_pipeline_keeps_small_caches(spark, monkeypatch):
+    """Its workers stand beside heaps that four stages have grown: what their caches hold does not follow the texts."""
+    import inspect
+    import tracemalloc
+
+    import corpus_pipeline
+    from bookloom.llm import packing
+    from bookloom.llm.bpe import token_chunks
+
+    given = {p.name: p.default for p in inspect.signature(packing.pack).parameters.values()}
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    with monkeypatch.context() as m:
+        m.setattr(packing, "pack", lambda df, path, **more: given.update(more))
+        corpus_pipeline.packed(spark, docs, "")
+    encoder, chunks = token_chunks(public_tokenizers.path(corpus_pipeline.VOCABULARY), given["cache"])
+    tracemalloc.start()
+    for at in range(0, 300_000, 1000):
+        text = " ".join(f"x{i:x}.y" for i in range(at, at + 1000))
+        first, rest = chunks.split(text)
+        ids = b"".join([first, *rest])
+        assert at or ids == encoder.whole(text)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 40e6
+    assert not given["keep"]
