@@ -15,6 +15,7 @@ from xml.etree import ElementTree
 from xml.sax.saxutils import escape, unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bookloom.functions import text as tx
@@ -47,15 +48,32 @@ def _element(x: dict) -> str:
     return f"<book{given(x, ('file', 'id', 'hash', 'title'))}>{inner}{nested(x['sections'] if x['sections'] is not None else [])}</book>".replace("\n", "&#10;").replace("\r", "&#13;")
 
 
+#: Books that a worker holds as Python objects at once, which take many times their bytes in a batch.
+_AT_ONCE = 64
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The books of batches, a few at a time; what Arrow has freed goes back to the system at the end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _AT_ONCE):
+            yield batch.slice(at, _AT_ONCE).to_pylist()
+    pa.default_memory_pool().release_unused()
+
+
+def _lines(made: list[tuple]) -> pa.RecordBatch:
+    """Pairs of folder and line."""
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.string()) for k in (0, 1)], names=["folder", "value"])
+
+
 def write(rows: DataFrame, path: str) -> None:
     """``rows``: folder and the columns of a book; null parts are left out. Written by ranges of folder and file."""
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [_element(x) for x in batch.astype(object).where(batch.notna(), None).to_dict("records")]
-            yield pd.DataFrame({"folder": batch["folder"], "value": made})
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for books in _few(batches):
+            yield _lines([(x["folder"], _element(x)) for x in books])
 
     names = [c.split()[0] for c in ("folder", "file", "id", "hash", "title", "origin", "cover", "images", "sections")]
-    made = rows.select(names).repartitionByRange("folder", "file").sortWithinPartitions("folder", "file").mapInPandas(lines, "folder string, value string")
+    made = rows.select(names).repartitionByRange("folder", "file").sortWithinPartitions("folder", "file").mapInArrow(lines, "folder string, value string")
     made.write.partitionBy("folder").text(path)
 
 
@@ -172,19 +190,19 @@ def _indented(x: dict) -> str:
 def write_books(rows: DataFrame, path: str) -> None:
     """``rows``: source, folder, the columns of a book, histogram, annotation. A document for each folder and task."""
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = None
-        for batch in batches:
+        for books in _few(batches):
             out = []
-            for x in batch.astype(object).where(batch.notna(), None).to_dict("records"):
+            for x in books:
                 if open_ != x["folder"]:
                     out += [(open_, "</books>")] * (open_ is not None)
                     open_ = x["folder"]
                     out.append((open_, f'<?xml version="1.0" encoding="UTF-8"?>\n<books source={_quoted(x["source"] or "")}>'))
                 out.append((open_, _indented(x)))
-            yield pd.DataFrame(out, columns=["folder", "value"])
-        yield pd.DataFrame([(open_, "</books>")] * (open_ is not None), columns=["folder", "value"])
+            yield _lines(out)
+        yield _lines([(open_, "</books>")] * (open_ is not None))
 
     names = ["source", "folder", "file", "id", "hash", "title", "origin", "cover", "images", "sections", "histogram", "annotation"]
-    made = rows.select(names).repartitionByRange("folder", "file").sortWithinPartitions("folder", "file").mapInPandas(lines, "folder string, value string")
+    made = rows.select(names).repartitionByRange("folder", "file").sortWithinPartitions("folder", "file").mapInArrow(lines, "folder string, value string")
     made.withColumnRenamed("folder", "archive").write.partitionBy("archive").text(path)

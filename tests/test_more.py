@@ -132,3 +132,16 @@ def test_fingerprints_are_written_in_small_batches(spark):
     spark.conf.unset(registry.BATCH)
     stores.fingerprints(spark, "/root/testdata/sf0.001")
     assert int(spark.conf.get(registry.BATCH)) <= 4 << 20
+
+
+def test_writers_of_fingerprints_hold_few_books_at_once(spark, tmp_path, monkeypatch):
+    """Of a batch, a few books are Python objects at a time, and both layouts are as they were."""
+    import pyarrow as pa
+
+    from bookloom.sources import hash_store
+
+    batch = pa.RecordBatch.from_pylist([{"folder": "a", "sections": [{"depth": 0, "id": str(k), "count": None, "size": 1}]} for k in range(1000)])
+    parts = list(hash_store._few(iter([batch, batch])))
+    assert max(map(len, parts)) <= 64
+    assert [x["sections"][0]["id"] for part in parts for x in part] == [str(k) for k in range(1000)] * 2
+    assert parts[0][0]["sections"][0]["count"] is None
