@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bookloom.llm.common import free_name, trim
+from bookloom.llm.common import free_name, trimmed
 
 ORDER = 3
 
@@ -61,7 +61,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", max_docs:
                 grams, n = np.unique(np.concatenate([_packed(t.encode()) for t in texts]), return_counts=True)
                 yield pd.DataFrame({"lang": lang, "gram": grams.astype(np.int64), "n": n.astype(np.int64)})
 
-    found = chosen.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    found = chosen.mapInPandas(trimmed(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     names = tuple(sorted(found["lang"].unique()))
     parts = [found[found["lang"] == x].sort_values("gram") for x in names]
     return Counts(names, tuple(p["gram"].to_numpy(np.uint32) for p in parts), tuple(p["n"].to_numpy(np.float64) for p in parts))
@@ -166,13 +166,9 @@ def identify(df: DataFrame, counts: Counts, text: str = "text", unknown: str = "
     ``letters`` before instead, which rejects the same rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(counts)
-    kept: dict[str, Model] = {}
 
-    @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if "model" not in kept:
-            kept["model"] = Model(shared.value)
-        model = kept["model"]
+        model = Model(shared.value)
         for texts in batches:
             raw = [(t or "").encode() for t in texts]
             bits = model.bits(raw)
@@ -181,11 +177,11 @@ def identify(df: DataFrame, counts: Counts, text: str = "text", unknown: str = "
             rate = bits[np.arange(len(raw)), best] / n
             weight = np.exp2(-8 * (bits / n[:, None] - rate[:, None]))
             yield pd.DataFrame({"lang_pred": [model.languages[i] for i in best], "score": 1 / weight.sum(axis=1), "bits_per_byte": rate})
-        trim()
 
     known = F.lit(bool(counts.languages)) & letters(F.col(text))
     held = free_name(df, "prediction")
-    out = df.withColumn(held, predict(F.col(text)) if counts.languages else F.lit(None).cast("struct<lang_pred:string,score:double,bits_per_byte:double>"))
+    guess = F.pandas_udf(trimmed(predict), "lang_pred string, score double, bits_per_byte double")
+    out = df.withColumn(held, guess(F.col(text)) if counts.languages else F.lit(None).cast("struct<lang_pred:string,score:double,bits_per_byte:double>"))
     pick = lambda c, other: F.when(known, F.col(f"{held}.{c}")).otherwise(other)
     return out.withColumns({"lang_pred": pick("lang_pred", F.lit(unknown)), "score": pick("score", F.lit(0.0)), "bits_per_byte": pick("bits_per_byte", F.lit(None))}).drop(held)
 

@@ -85,7 +85,6 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
     if total <= broadcast_bytes:
         known = df.sparkSession.sparkContext.broadcast({bytes(r["line"]): r["keep"] for r in confirmed.collect()})
 
-        @F.pandas_udf(schema)
         def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
             keep = known.value
             for texts, ids in batches:
@@ -93,7 +92,7 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
                 yield apply(texts, lambda i, k: k in keep and keep[k] != own[i])
 
         own_id = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)).cast("long"))
-        out = df.withColumn(result, cut(F.col(text), own_id))
+        out = df.withColumn(result, F.pandas_udf(trimmed(cut), schema)(F.col(text), own_id))
     else:
         lost = rows.join(confirmed, "line").where(~F.col("id").eqNullSafe(F.col("keep"))).groupBy(F.col("id").alias(gone_from)).agg(F.collect_set("line").alias(gone_lines))
 

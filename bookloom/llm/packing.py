@@ -127,12 +127,9 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capa
     some 200 MB a worker for as long as it lives. Ids of rows may be null or repeat; extra columns are not
     read. An empty table gives no rows.
     """
-    kept: dict[str, tuple] = {}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if path not in kept:
-            kept[path] = worker_chunks(path, cache) if keep else token_chunks(path, cache)
-        encoder, chunks = kept[path]
+        encoder, chunks = worker_chunks(path, cache) if keep else token_chunks(path, cache)
         end = np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(capacity, piece, windows, TaskContext.get().partitionId() << 33)
         for batch in batches:

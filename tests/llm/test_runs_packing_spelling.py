@@ -255,3 +255,50 @@ def test_the_packing_stage_of_the_pipeline_keeps_small_caches(spark, monkeypatch
     tracemalloc.stop()
     assert held < 40e6
     assert not given["keep"]
+
+
+@pytest.mark.parametrize("stage", ["language", "packing"])
+def test_a_worker_has_let_its_model_go_when_it_trims_its_memory(spark, monkeypatch, stage):
+    """It waits for its next task beside the executor's heap, with what is still held then."""
+    import types
+    import weakref
+
+    import pandas as pd
+
+    from bookloom.llm import common, language, packing
+
+    held, maps, alive = [], [], []
+    module, name = (language, "Model") if stage == "language" else (packing, "token_chunks")
+    make = getattr(module, name)
+
+    def noted(*given):
+        out = make(*given)
+        held.append(weakref.ref(out if stage == "language" else out[1]))
+        return out
+
+    def trim():
+        alive.append([x() is not None for x in held])
+
+    monkeypatch.setattr(module, name, noted)
+    monkeypatch.setattr(common, "trim", trim)
+    monkeypatch.setattr(language, "trim", trim, raising=False)
+    texts = ["a b c", "", "d e"]
+    if stage == "language":
+        empty = language.F.lit(None).cast("struct<lang_pred:string,score:double,bits_per_byte:double>")
+        learned = language.Counts(("de", "en"), (np.array([97], np.uint32), np.array([98], np.uint32)), (np.ones(1), np.ones(1)))
+
+        def udf(*given):
+            if not callable(given[0]):
+                return udf
+            maps.append(given[0])
+            return lambda *columns: empty
+
+        monkeypatch.setattr(language.F, "pandas_udf", udf)
+        language.identify(spark.createDataFrame([(1, "a")], "doc_id long, text string"), learned)
+        found = list(maps[0](iter([pd.Series(texts)])))
+    else:
+        monkeypatch.setattr(packing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+        table = types.SimpleNamespace(selectExpr=lambda *given: types.SimpleNamespace(mapInPandas=lambda run, schema: maps.append(run)))
+        packing.pack(table, VOCABULARY)
+        found = list(maps[0](iter([pd.DataFrame({"k": [1, 2, 3], "t": texts})])))
+    assert sum(map(len, found)) == 3 and alive == [[False]]
