@@ -302,3 +302,20 @@ def test_a_worker_has_let_its_model_go_when_it_trims_its_memory(spark, monkeypat
         packing.pack(table, VOCABULARY)
         found = list(maps[0](iter([pd.DataFrame({"k": [1, 2, 3], "t": texts})])))
     assert sum(map(len, found)) == 3 and alive == [[False]]
+
+
+def test_stages_of_the_pipeline_pass_small_batches(spark):
+    """Also where a stage is called by itself, on documents that something else has read."""
+    import corpus_pipeline
+    from bookloom.llm.common import BATCH
+
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get(BATCH)
+    try:
+        for asked, expected in ((64 << 20, 1 << 20), (1 << 18, 1 << 18)):
+            for name, stage in corpus_pipeline.STAGES:
+                spark.conf.set(BATCH, str(asked))
+                stage(spark, docs, "/root/testdata/sf0.001")
+                assert int(spark.conf.get(BATCH).rstrip("bB")) == expected, name
+    finally:
+        spark.conf.set(BATCH, before)
